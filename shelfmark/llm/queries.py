@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.llm.bpe import op6_bpe_codec
 from shelfmark.llm.quality_rules import op3_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules,)}
+    return {f.__name__: f for f in (op3_quality_rules, op6_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
