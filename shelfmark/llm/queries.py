@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.bpe import op6_bpe_codec
+from shelfmark.llm.line_dedup import op10_line_dedup
 from shelfmark.llm.near_dedup import op2_minhash_dedup
 from shelfmark.llm.quality_rules import op3_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_minhash_dedup, op3_quality_rules, op6_bpe_codec)}
+    return {f.__name__: f for f in (op2_minhash_dedup, op3_quality_rules, op6_bpe_codec, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
