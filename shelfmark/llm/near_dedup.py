@@ -4,10 +4,11 @@ Documents with the same shingle set form a class at once; the smallest doc_id st
 of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair shares none with probability (1 - 0.8 ** 4) ** 32,
 below 5e-8. Within a bucket not all pairs are made: first every class is held against the bucket's centre, the class
 with the most company over all its buckets. Links confirmed on the full sets give components. In buckets that still
-hold several components, up to LEADERS classes at a time from outside the centre's component are held against all
-others, until each class outside has been. So every pair of a bucket that isn't connected yet is tested, and the rows
-per round grow with the bucket, not with its square. Signatures drop pairs whose agreement is far below 0.8 before sets
-are read.
+hold several components, pairs must share a second band to go on: at J = 0.8 fewer than two are shared with probability
+below 2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
+classes at a time from outside the least class's component are held against all others, until each class outside has
+been. So every such pair that isn't connected yet is tested, and the rows per round grow with the bucket, not with its
+square. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
 
 Null or empty text, and text without words: an empty set, linked with nothing. Rows that repeat a doc_id are one
 document with each of their texts. A row without doc_id is kept, with no component. Extra columns are ignored.
@@ -32,24 +33,28 @@ PERCENT = 80
 #: Signature rows that must agree before sets are compared. At J = 0.8 fewer of the 128 agree with probability below 1e-8.
 MIN_AGREE = 72
 #: Classes of a bucket that are held against all others in one round, after the first.
-LEADERS = 8
+LEADERS = 16
+#: Rounds of leaders before links are confirmed on full sets and components formed anew.
+SUBROUNDS = 4
 #: Ids up to which they are broadcast to find their documents (8 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_IDS = 1_000_000
 #: Shingles hashed at once, to bound memory for very long texts.
-CHUNK = 4096
+CHUNK = 1024
 
 _RNG = np.random.Generator(np.random.PCG64(20240501))
-_MULTIPLY = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+_MULTIPLY = _RNG.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """Minima of BANDS * ROWS multiply-add-shift hashes, 32 bits each."""
+    """Minima of BANDS * ROWS multiply-add hashes modulo 2 ** 32 of the shingles' upper halves."""
+    x = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
-    for at in range(0, len(shingles), CHUNK):
-        h = shingles[at : at + CHUNK, None] * _MULTIPLY
+    work = np.empty((min(CHUNK, len(x)), BANDS * ROWS), np.uint32)
+    for at in range(0, len(x), CHUNK):
+        h = np.multiply(x[at : at + CHUNK, None], _MULTIPLY, out=work[: min(CHUNK, len(x) - at)])
         h += _ADD
-        np.minimum(least, (h.min(axis=0) >> np.uint64(32)).astype(np.uint32), out=least)
+        np.minimum(least, h.min(axis=0), out=least)
     return least
 
 
@@ -129,44 +134,53 @@ def pair(leader: str, other: str) -> list:
     return [F.greatest(leader, other).alias("u"), F.least(leader, other).alias("v")]
 
 
+def open_rows(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """bucket, rep, comp: the rows (bucket, rep) of buckets that hold more than one component."""
+    of = edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    known = rows.join(of, rows["rep"] == of["node"], "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
+    mixed_ = known.groupBy(F.col("bucket").alias("b")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("b")
+    return known.join(mixed_, known["bucket"] == mixed_["b"], "left_semi")
+
+
 def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """Component edges (u, v) between class representatives; v is the smallest of the component."""
     rows = bucketed(reps)
     shared = rows.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = stored(rows.join(shared, rows["bucket"] == shared["b"]).select("bucket", "rep", "n"), "buckets")
     company = rows.groupBy(F.col("rep").alias("r")).agg(F.sum("n").alias("score"))
-    rows2 = rows.join(company, rows["rep"] == company["r"]).select("bucket", "rep", "score")
-    centre = rows2.groupBy(F.col("bucket").alias("b")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
-    centre = stored(centre, "centres")
+    scored = rows.join(company, rows["rep"] == company["r"]).select("bucket", "rep", "score")
+    centre = scored.groupBy(F.col("bucket").alias("b")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
     tested = rows.join(centre, rows["bucket"] == centre["b"]).where("rep <> leader").select(*pair("rep", "leader")).distinct()
     near = stored(agreeing(tested, reps), "near-pairs")
     edges = components(confirmed(near, docs, size))
-    # rows still to be held against others: all but the centres
-    left = rows.join(centre, rows["bucket"] == centre["b"]).where("rep <> leader").select("bucket", "rep", "leader")
+    # what the centres left apart must share a second band: its rows are dealt anew by pairs of bands
+    left = stored(open_rows(rows.select("bucket", "rep"), edges).select("bucket", "rep"), "open-buckets")
+    other = rows.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
+    both = left.join(other, (left["rep"] == other["r2"]) & (left["bucket"] != other["b2"]))
+    left = both.select(F.xxhash64(F.least("bucket", "b2"), F.greatest("bucket", "b2")).alias("bucket"), "rep").distinct()
     while True:
-        of = edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        lead = edges.select(F.col("u").alias("lnode"), F.col("v").alias("lcomp"))
-        state = left.join(of, left["rep"] == of["node"], "left").join(lead, left["leader"] == lead["lnode"], "left")
-        state = state.select("bucket", "rep", "leader", F.coalesce("comp", "rep").alias("comp"), F.coalesce("lcomp", "leader").alias("main"))
-        # buckets whose remaining classes are of one component are done
-        open_ = state.groupBy(F.col("bucket").alias("b")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("b")
-        state = stored(state.join(open_, state["bucket"] == open_["b"], "left_semi"), "open-buckets")
+        state = stored(open_rows(left, edges), "open-buckets")
         if not state.limit(1).count():
-            discard(state)
             return edges
-        # of each bucket, up to LEADERS classes outside the centre's component, dealt by hash so that no group meets in one task
-        picked = state.where("comp <> main").groupBy(F.col("bucket").alias("b"), F.expr(f"pmod(xxhash64(rep), {LEADERS})").alias("slot")).agg(F.min("rep").alias("pick"), F.expr("min_by(comp, rep)").alias("pcomp"))
-        picked = stored(picked, "leaders")
-        tested = state.join(picked, state["bucket"] == picked["b"]).where("rep <> pick AND comp <> pcomp").select(*pair("rep", "pick")).distinct()
-        near = stored(agreeing(tested, reps), "near-pairs")
-        done = picked.select(F.col("b").alias("db"), F.col("pick").alias("dp"))
-        left_next = state.join(done, (state["bucket"] == done["db"]) & (state["rep"] == done["dp"]), "left_anti").select("bucket", "rep", "leader")
-        left_next = stored(left_next, "left-in-buckets")
-        if near.limit(1).count():
-            merged = confirmed(near, docs, size).union(edges).distinct()
-            edges = components(merged)
-        discard(state)
-        left = left_next
+        # of each bucket, up to LEADERS classes that aren't of the component of its least class, dealt by hash
+        near = None
+        for _ in range(SUBROUNDS):
+            main = state.groupBy(F.col("bucket").alias("mb")).agg(F.min("comp").alias("main"))
+            slot = F.expr(f"pmod(xxhash64(rep), {LEADERS})")
+            stray = state.join(main, state["bucket"] == main["mb"]).where("comp <> main")
+            picked = stray.groupBy(F.col("bucket").alias("b"), slot.alias("slot")).agg(F.min("rep").alias("pick"), F.expr("min_by(comp, rep)").alias("pcomp"))
+            picked = stored(picked.drop("slot"), "leaders")
+            if not picked.limit(1).count():
+                break
+            tested = state.join(picked, state["bucket"] == picked["b"]).where("rep <> pick AND comp <> pcomp").select(*pair("rep", "pick")).distinct()
+            found = stored(agreeing(tested, reps), "near-pairs")
+            near = found if near is None else near.union(found)
+            done = picked.select(F.col("b").alias("db"), F.col("pick").alias("dp"))
+            state = stored(state.join(done, (state["bucket"] == done["db"]) & (state["rep"] == done["dp"]), "left_anti"), "open-buckets")
+        left = state.select("bucket", "rep")
+        near = stored(near.distinct(), "near-pairs") if near is not None else None
+        if near is not None and near.limit(1).count():
+            edges = components(confirmed(near, docs, size).union(edges).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
