@@ -8,8 +8,11 @@ Shorter lines always stay, as headings and list marks repeat for good reason.
 Similar classes are found as follows. A line of length l is cut into threshold + 1 even segments; an edit distance up to
 the threshold leaves one of them whole. Every line's segments are indexed by (l, segment number, content); a line of
 length L probes the indexes of lengths L - threshold to L with the few substrings whose shift the multi-match-aware rule
-allows. Keys are hashes made where the line is read, so line texts aren't shuffled. The texts of candidates alone are
-read again, and each pair is verified with a banded bit-parallel edit distance.
+allows. Keys are hashes made where the line is read, so line texts aren't shuffled. A segment that more than HOT lines
+share isn't joined: what remains of these lines besides it must be within the threshold as well, so it is cut into
+segments in turn and the lines are dealt by both segments, and so on until few lines share a key or so little remains
+that only as many different lines can exist as the alphabet allows. The texts of candidates alone are read again, and
+each pair is verified with a banded bit-parallel edit distance.
 
 Null and empty texts have no long line and stay as they are. A null doc_id sorts first and its rows are treated alike.
 Rows that repeat both doc_id and text keep the same lines; rows that repeat doc_id with other text are other documents
@@ -19,6 +22,7 @@ that come in the order of their text's hash. Extra columns pass through dedup_li
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,7 +31,9 @@ from shelfmark.llm.common import bounded, documents, stored
 
 #: Edits within which lines count as copies, and the length from which lines take part.
 THRESHOLD, MIN_CHARS = 1, 30
-#: Documents with candidate lines up to which their keys are broadcast (16 bytes each); beyond, a shuffle join does it.
+#: Lines that may share a segment before they are dealt by a further one.
+HOT = 32
+#: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_DOCS = 500_000
 _TRIM = " \t\r\x0b\x0c"
 _ONES = (1 << 64) - 1
@@ -73,17 +79,77 @@ def line_classes(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     return keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
-def candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs of classes (a1, a2, b1, b2) that share a segment; the class a is less than b."""
-    own = threshold + 1
-    index = classes.select(F.explode(F.slice("first.keys", 1, own)).alias("ki"), F.col("h1").alias("i1"), F.col("h2").alias("i2"))
-    probe = classes.select(F.explode("first.keys").alias("kp"), F.col("h1").alias("p1"), F.col("h2").alias("p2")).where("kp IS NOT NULL")
-    met = index.join(probe, (index["ki"] == probe["kp"]) & ((index["i1"] != probe["p1"]) | (index["i2"] != probe["p2"])))
+def pairs_of(index: DataFrame, probe: DataFrame) -> DataFrame:
+    """Pairs of classes (a1, a2, b1, b2) that meet in a key k; the class a is less than b."""
+    i, p = index.select(F.col("k").alias("ki"), F.col("h1").alias("i1"), F.col("h2").alias("i2")), probe.select(F.col("k").alias("kp"), F.col("h1").alias("p1"), F.col("h2").alias("p2"))
+    met = i.join(p, (i["ki"] == p["kp"]) & ((i["i1"] != p["p1"]) | (i["i2"] != p["p2"])))
     low = "i1 < p1 OR (i1 = p1 AND i2 < p2)"
     pick = lambda a, b: F.expr(f"CASE WHEN {low} THEN {a} ELSE {b} END")
     return met.select(pick("i1", "p1").alias("a1"), pick("i2", "p2").alias("a2"), pick("p1", "i1").alias("b1"), pick("p2", "i2").alias("b2")).distinct()
 
 
+def hot_keys(index: DataFrame) -> DataFrame:
+    return stored(index.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select(F.col("k").alias("hk")), "hot-segments")
+
+
+def parted(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key isn't hot, and the others."""
+    hot = bounded(hot, MAX_BROADCAST_DOCS)
+    return rows.join(hot, rows["k"] == hot["hk"], "left_anti"), rows.join(hot, rows["k"] == hot["hk"], "left_semi")
+
+
+def rest_of(line: str, length: str, less: int, i: int, shift: int, parts: int) -> str:
+    """SQL for a struct of a substring of the line, as in segment_keys, and what remains without it."""
+    start, size = segment(f"({length} - {less})", i, parts)
+    at = f"({start} + {shift})"
+    ok = f"{at} >= 0 AND {at} + {size} <= {length}"
+    return f"CASE WHEN {ok} THEN struct({i} AS i, substring({line}, {at} + 1, {size}) AS seg, concat(substring({line}, 1, {at}), substring({line}, {at} + {size} + 1)) AS rest) END"
+
+
+def candidates(classes: DataFrame, docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+    """Distinct pairs of classes (a1, a2, b1, b2) that share as many segments as it takes; the class a is less than b."""
+    own = threshold + 1
+    kinds = [(0, i, 0) for i in range(own)]
+    kinds += [p for p in probes(threshold) if p not in kinds]
+    rows = classes.select(F.posexplode("first.keys").alias("p", "k"), "h1", "h2").where("k IS NOT NULL")
+    index, probe = rows.where(f"p < {own}"), rows
+    hot = hot_keys(index)
+    if not hot.limit(1).count():
+        return pairs_of(index, probe)
+    (cold_i, hot_i), (cold_p, hot_p) = parted(index, hot), parted(probe, hot)
+    found = [pairs_of(cold_i, cold_p)]
+    some = hot_p.select(F.col("h1").alias("x1"), F.col("h2").alias("x2")).distinct()
+    lines = stored(lines_of(classes, some, docs, min_chars).select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), "line"), "hot-lines")
+    rest = "CASE p " + " ".join(f"WHEN {p} THEN {rest_of('line', 'length(line)', *kind, own)}.rest" for p, kind in enumerate(kinds)) + " END"
+    less = "element_at(array(" + ", ".join(str(kind[0]) for kind in kinds) + "), p + 1)"
+    with_line = lambda x: x.join(lines, (x["h1"] == lines["l1"]) & (x["h2"] == lines["l2"])).select("k", "h1", "h2", F.expr(rest).alias("rest"), F.expr(less).alias("less"))
+    index, probe = with_line(hot_i), with_line(hot_p)
+    while True:
+        # little remains: as many different lines as the alphabet allows
+        index, probe = stored(index, "hot-index"), stored(probe, "hot-probes")
+        short = f"length(rest) - less <= {2 * threshold}"
+        found.append(pairs_of(index.where(short), probe.where(short)))
+        index, probe = index.where(f"NOT ({short})"), probe.where(f"NOT ({short})")
+        deeper = lambda x, which: x.select("k", "h1", "h2", "less", F.explode(F.expr("filter(array(" + ", ".join(f"CASE WHEN less = {kind[0]} THEN {rest_of('rest', 'length(rest)', *kind, own)} END" for kind in which) + "), x -> x IS NOT NULL)")).alias("x")).select(F.expr("xxhash64(k, x.i, x.seg)").alias("k"), "h1", "h2", F.col("x.rest").alias("rest"), "less")
+        index, probe = stored(deeper(index, kinds[:own]).distinct(), "hot-index"), stored(deeper(probe, sorted(probes(threshold))).distinct(), "hot-probes")
+        hot = hot_keys(index)
+        (cold_i, index), (cold_p, probe) = parted(index, hot), parted(probe, hot)
+        found.append(pairs_of(cold_i, cold_p))
+        if not hot.limit(1).count():
+            return reduce(DataFrame.union, found).distinct()
+
+
+def lines_of(classes: DataFrame, some: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
+    """h1, h2, place and line of the classes some (x1, x2, distinct), read again at their first occurrence."""
+    places = stored(classes.join(some, (classes["h1"] == some["x1"]) & (classes["h2"] == some["x2"]), "left_semi").select("h1", "h2", F.struct("first.doc_id", "first.mark", "first.line_no").alias("place")), "line-places")
+    where = places.select(F.col("place.doc_id").alias("wd"), F.col("place.mark").alias("wm")).distinct()
+    here = docs.select("doc_id", "text").withColumn("wm2", mark(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    found = here.join(bounded(where, MAX_BROADCAST_DOCS), here["doc_id"].eqNullSafe(where["wd"]) & (here["wm2"] == where["wm"]), "left_semi")
+    text = occurrences(found, min_chars).select(F.xxhash64("line").alias("t1"), F.xxhash64(F.lit(7), "line").alias("t2"), F.struct("doc_id", "mark", "line_no").alias("at"), "line")
+    met = text.join(places, (text["t1"] == places["h1"]) & (text["t2"] == places["h2"]) & text["at"].eqNullSafe(places["place"]))
+    return met.select("h1", "h2", "place", "line").dropDuplicates(["h1", "h2"])
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance of a and b is at most `most` (0 to 31), by a band of bit-vectors (Hyyro 2003) along the diagonal."""
     if a == b:
@@ -146,14 +212,9 @@ def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     """doc_id, mark, kept: the numbers of the long lines that stay, for documents that keep any."""
     docs = docs.select("doc_id", "text")
     classes = stored(line_classes(docs, threshold, min_chars), "line-classes")
-    pairs = stored(candidates(classes, threshold), "line-pairs")
+    pairs = stored(candidates(classes, docs, threshold, min_chars), "line-pairs")
     met = pairs.select(F.explode(F.array(F.struct(F.col("a1").alias("x1"), F.col("a2").alias("x2")), F.struct(F.col("b1").alias("x1"), F.col("b2").alias("x2")))).alias("x")).select("x.*").distinct()
-    places = stored(classes.join(met, (classes["h1"] == met["x1"]) & (classes["h2"] == met["x2"]), "left_semi").select("h1", "h2", F.struct("first.doc_id", "first.mark", "first.line_no").alias("place")), "line-places")
-    where = places.select(F.col("place.doc_id").alias("wd"), F.col("place.mark").alias("wm")).distinct()
-    here = docs.withColumn("wm2", mark(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    some = here.join(bounded(where, MAX_BROADCAST_DOCS), here["doc_id"].eqNullSafe(where["wd"]) & (here["wm2"] == where["wm"]), "left_semi")
-    text = occurrences(some, min_chars).select(F.xxhash64("line").alias("t1"), F.xxhash64(F.lit(7), "line").alias("t2"), F.struct("doc_id", "mark", "line_no").alias("at"), "line")
-    lines = text.join(places, (text["t1"] == places["h1"]) & (text["t2"] == places["h2"]) & text["at"].eqNullSafe(places["place"])).select("h1", "h2", "place", "line").dropDuplicates(["h1", "h2"])
+    lines = lines_of(classes, met, docs, min_chars)
     copies = verified(pairs, stored(lines, "lines"), threshold)
     stay = classes.select("h1", "h2", "first.doc_id", "first.mark", "first.line_no").join(copies.select(F.col("h1").alias("c1"), F.col("h2").alias("c2")), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left_anti")
     return stay.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
