@@ -34,13 +34,23 @@ def tokens(text: str) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def by_mask(values: list[int]) -> str:
+    """SQL for the value of the mask in column `mask`."""
+    return "".join(f"if(mask = {m}, {v}, " for m, v in enumerate(values[:-1])) + str(values[-1]) + ")" * (len(values) - 1)
+
+
 def seeds(df: DataFrame, at: str) -> DataFrame:
-    """df (with a token array `h`) at every position and mask: adds `at`, mask and key."""
-    n = len(MASKS)
-    keys = " ".join(f"WHEN {m} THEN CASE WHEN _x DIV {n} + {len(mask)} <= size(h) THEN xxhash64({m}, {', '.join(f'get(h, cast(_x DIV {n} AS int) + {k})' for k, c in enumerate(mask) if c == '1')}) END" for m, mask in enumerate(MASKS))
+    """df (with a token array `h`) at every position and mask: adds `at`, mask and key.
+
+    The expressions are kept small: the explosion, the hash and the join that follows are one generated method, which
+    the JVM only compiles up to 8,000 bytes.
+    """
+    n, spans = len(MASKS), [len(m) for m in MASKS]
+    ones = [[k for k, c in enumerate(m) if c == "1"] for m in MASKS]
     x = df.withColumn("_x", F.expr(f"explode(CASE WHEN size(h) >= {MIN_TOKENS} THEN sequence(0, {n} * size(h) - 1) END)"))
-    x = x.withColumn("key", F.expr(f"CASE _x % {n} {keys} END")).where("key IS NOT NULL")
-    return x.withColumns({at: F.expr(f"cast(_x DIV {n} AS int)"), "mask": F.expr(f"cast(_x % {n} AS int)")}).drop("_x")
+    x = x.withColumns({at: F.expr(f"cast(_x DIV {n} AS int)"), "mask": F.expr(f"_x % {n}")}).drop("_x")
+    x = x.where(f"{at} + {by_mask(spans)} <= size(h)")
+    return x.withColumn("key", F.expr(f"xxhash64(mask, {', '.join(f'get(h, {at} + {by_mask(list(o))})' for o in zip(*ones, strict=True))})"))
 
 
 def aligned(k: str) -> str:
