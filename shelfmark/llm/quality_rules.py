@@ -98,9 +98,12 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     statistics are taken of the labelled rows first, then of every row where it stands."""
     ids = labels.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
     some = docs.join(bounded(ids, MAX_BROADCAST_LABELS), docs["doc_id"] == ids["_id"], "left_semi")
-    cuts = select_cutoffs(labelled_rates(statistics(some.select("doc_id", stratum(), "text"), ["doc_id", "stratum"]), labels), alpha, delta)
+    table = stored(statistics(some.select("doc_id", stratum(), "text"), ["doc_id", "stratum"]), "quality-statistics")
+    cuts = select_cutoffs(labelled_rates(table, labels), alpha, delta)
     rows = docs.select(F.struct("*").alias("_row"), stratum(), "text")
-    return verdicts(statistics(rows, ["_row", "stratum"]), cuts).where("kept").select("_row.*")
+    judged_rows = verdicts(statistics(rows, ["_row", "stratum"]), cuts).withColumn("_n", F.monotonically_increasing_id())
+    # the id holds the filter here; moved below, it would repeat the statistics' expressions inside one another
+    return judged_rows.where("kept AND _n >= 0").select("_row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
