@@ -4,8 +4,9 @@ Documents with the same shingle set form a class at once; the smallest doc_id st
 of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair shares none with probability (1 - 0.8 ** 4) ** 32,
 below 5e-8. Within a bucket not all pairs are made: first every class is held against the bucket's centre, the class
 with the most company over all its buckets. Links confirmed on the full sets give components. In buckets that still
-hold several components, pairs must share a second band to go on: at J = 0.8 fewer than two are shared with probability
-below 2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
+hold several components, classes leave whose shingles are so often their own that no partner in the bucket can reach the
+threshold; and pairs must share a second band to go on: at J = 0.8 fewer than two are shared with probability below
+2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
 classes at a time from outside the least class's component are held against all others, until each class outside has
 been. So every such pair that isn't connected yet is tested, and the rows per round grow with the bucket, not with its
 square. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
@@ -30,12 +31,14 @@ from shelfmark.llm.shingles import mixed, shingle_set
 BANDS, ROWS = 32, 4
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Signature rows that must agree before sets are compared. At J = 0.8 fewer of the 128 agree with probability below 1e-8.
-MIN_AGREE = 72
+#: Signature rows that must agree before sets are compared. At J = 0.8 fewer of the 128 agree with probability below 2e-6.
+MIN_AGREE = 80
 #: Classes of a bucket that are held against all others in one round, after the first.
 LEADERS = 16
 #: Rounds of leaders before links are confirmed on full sets and components formed anew.
 SUBROUNDS = 4
+#: How often classes without a possible partner are taken out; each time those left have fewer shingles in common.
+PRUNINGS = 2
 #: Ids up to which they are broadcast to find their documents (8 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_IDS = 1_000_000
 #: Shingles hashed at once, to bound memory for very long texts.
@@ -103,13 +106,21 @@ def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Those of the stored pairs (u, v) that satisfy the threshold on their full shingle sets."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """id and shingle set (bytes of sorted 64-bit hashes) of the documents in ids (column i, distinct), stored."""
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield pd.DataFrame({"id": f["doc_id"], "s": [shingle_set(t, size).tobytes() for t in f["text"]]})
 
+    here = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL")
+    found = here.join(bounded(ids, MAX_BROADCAST_IDS), here["doc_id"] == ids["i"], "left_semi").mapInPandas(sets, "id long, s binary")
+    return stored(found, "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Those of the stored pairs (u, v) that satisfy the threshold on their full shingle sets."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             keep = []
@@ -119,10 +130,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
             yield f.loc[keep, ["u", "v"]] if len(f) else f[["u", "v"]]
 
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("i")).distinct()
-    here = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL")
-    found = here.join(bounded(ids, MAX_BROADCAST_IDS), here["doc_id"] == ids["i"], "left_semi").mapInPandas(sets, "id long, s binary")
-    found = stored(found, "shingle-sets")
+    found = shingle_sets(docs, pairs.select(F.col("u").alias("i")).union(pairs.select("v")).distinct(), size)
     a, b = (found.select(F.col("id").alias(f"i{c}"), F.col("s").alias(c)) for c in "ab")
     joined = pairs.join(a, pairs["u"] == a["ia"]).select("u", "v", "a").join(b, F.col("v") == b["ib"]).select("u", "v", "a", "b")
     out = stored(joined.mapInPandas(run, "u long, v long").distinct(), "confirmed")
@@ -135,13 +143,38 @@ def pair(leader: str, other: str) -> list:
 
 
 def open_rows(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """bucket, rep, comp: the rows (bucket, rep) of buckets that hold more than one component."""
-    of = edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-    known = rows.join(of, rows["rep"] == of["node"], "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
+    """rows (bucket, rep and others) of buckets that hold more than one component, with comp."""
+    of = edges.select(F.col("u").alias("node"), F.col("v").alias("_comp"))
+    kept = [c for c in rows.columns if c != "comp"]
+    known = rows.join(of, rows["rep"] == of["node"], "left").select(*kept, F.coalesce("_comp", "rep").alias("comp"))
     mixed_ = known.groupBy(F.col("bucket").alias("b")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("b")
     return known.join(mixed_, known["bucket"] == mixed_["b"], "left_semi")
 
 
+def reachable(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """rows (bucket, rep) that may yet have a partner in their bucket, with size and shared.
+
+    shared is how many of the class's shingles any other class of rows has; no partner can have more in common with it.
+    With the least size in the bucket this bounds J, and what stays below the threshold leaves.
+    """
+    reps = rows.select(F.col("rep").alias("r")).distinct()
+    here = sets.join(reps, sets["id"] == reps["r"], "left_semi")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for i, s in zip(f["id"], f["s"], strict=True):
+                yield pd.DataFrame({"s": np.frombuffer(s, np.int64), "i": i})
+
+    once = here.mapInPandas(run, "s long, i long").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("i")).where("n = 1")
+    own = once.groupBy(F.col("i").alias("o")).agg(F.count(F.lit(1)).alias("lone"))
+    size = here.select("id", (F.length("s") / 8).cast("long").alias("size"))
+    known = size.join(own, size["id"] == own["o"], "left").select("id", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))
+    x = rows.select("bucket", "rep").join(known, rows["rep"] == known["id"]).select("bucket", "rep", "size", "shared")
+    least = x.groupBy(F.col("bucket").alias("b")).agg(F.min("size").alias("least"))
+    x = x.join(least, x["bucket"] == least["b"]).where(f"100 * shared >= {PERCENT} * (size + greatest(least, shared) - shared)")
+    return x.select("bucket", "rep", "size", "shared")
+
+
 def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """Component edges (u, v) between class representatives; v is the smallest of the component."""
     rows = bucketed(reps)
@@ -152,12 +185,21 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     centre = scored.groupBy(F.col("bucket").alias("b")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
     tested = rows.join(centre, rows["bucket"] == centre["b"]).where("rep <> leader").select(*pair("rep", "leader")).distinct()
     near = stored(agreeing(tested, reps), "near-pairs")
-    edges = components(confirmed(near, docs, size))
-    # what the centres left apart must share a second band: its rows are dealt anew by pairs of bands
+    links = confirmed(near, docs, size)
+    discard(near)
+    edges = components(links)
+    # what the centres left apart must share a second band
     left = stored(open_rows(rows.select("bucket", "rep"), edges).select("bucket", "rep"), "open-buckets")
-    other = rows.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
-    both = left.join(other, (left["rep"] == other["r2"]) & (left["bucket"] != other["b2"]))
-    left = both.select(F.xxhash64(F.least("bucket", "b2"), F.greatest("bucket", "b2")).alias("bucket"), "rep").distinct()
+    if not left.limit(1).count():
+        return edges
+    sets = shingle_sets(docs, left.select(F.col("rep").alias("i")).distinct(), size)
+    for _ in range(PRUNINGS):
+        new = stored(open_rows(reachable(left, sets), edges), "open-buckets")
+        discard(left)
+        left = new
+    other = left.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
+    both = left.join(other, (left["rep"] == other["r2"]) & (left["bucket"] < other["b2"]))
+    left = both.select(F.xxhash64("bucket", "b2").alias("bucket"), "rep", "size", "shared").distinct()
     while True:
         state = stored(open_rows(left, edges), "open-buckets")
         if not state.limit(1).count():
@@ -168,19 +210,24 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
             main = state.groupBy(F.col("bucket").alias("mb")).agg(F.min("comp").alias("main"))
             slot = F.expr(f"pmod(xxhash64(rep), {LEADERS})")
             stray = state.join(main, state["bucket"] == main["mb"]).where("comp <> main")
-            picked = stray.groupBy(F.col("bucket").alias("b"), slot.alias("slot")).agg(F.min("rep").alias("pick"), F.expr("min_by(comp, rep)").alias("pcomp"))
-            picked = stored(picked.drop("slot"), "leaders")
+            pick = F.expr("min_by(struct(rep AS pick, comp AS pcomp, size AS psize, shared AS pshared), rep)").alias("p")
+            picked = stored(stray.groupBy(F.col("bucket").alias("b"), slot.alias("slot")).agg(pick).select("b", "p.*"), "leaders")
             if not picked.limit(1).count():
                 break
-            tested = state.join(picked, state["bucket"] == picked["b"]).where("rep <> pick AND comp <> pcomp").select(*pair("rep", "pick")).distinct()
+            may = f"rep <> pick AND comp <> pcomp AND 100 * least(shared, pshared) >= {PERCENT} * (size + psize - least(shared, pshared))"
+            tested = state.join(picked, state["bucket"] == picked["b"]).where(may).select(*pair("rep", "pick")).distinct()
             found = stored(agreeing(tested, reps), "near-pairs")
             near = found if near is None else near.union(found)
             done = picked.select(F.col("b").alias("db"), F.col("pick").alias("dp"))
-            state = stored(state.join(done, (state["bucket"] == done["db"]) & (state["rep"] == done["dp"]), "left_anti"), "open-buckets")
-        left = state.select("bucket", "rep")
-        near = stored(near.distinct(), "near-pairs") if near is not None else None
-        if near is not None and near.limit(1).count():
-            edges = components(confirmed(near, docs, size).union(edges).distinct())
+            new = stored(state.join(done, (state["bucket"] == done["db"]) & (state["rep"] == done["dp"]), "left_anti"), "open-buckets")
+            discard(state)
+            discard(picked)
+            state = new
+        left = state.select("bucket", "rep", "size", "shared")
+        if near is not None:
+            near = stored(near.distinct(), "near-pairs")
+            if near.limit(1).count():
+                edges = components(confirmed(near, docs, size).union(edges).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
