@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.llm.bpe import op6_bpe_codec
 from shelfmark.llm.decontamination import op1_benchmark_decontamination
 from shelfmark.llm.line_dedup import op10_line_dedup
+from shelfmark.llm.html_text import op5_html_extraction
 from shelfmark.llm.near_dedup import op2_minhash_dedup
 from shelfmark.llm.quality_rules import op3_quality_rules
+from shelfmark.llm.secrets import op4_secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_minhash_dedup, op3_quality_rules, op6_bpe_codec, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_minhash_dedup, op3_quality_rules, op4_secret_scan, op5_html_extraction, op6_bpe_codec, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
