@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from shelfmark.llm.common import documents
 
@@ -111,7 +111,8 @@ def written(found: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame, model: RandomnessModel, keys: list[str]) -> DataFrame:
     """keys and found: an array of (kind, start, end) for every row of docs."""
-    schema = docs.select(*keys).schema.add("found", "array<struct<kind:string,start:bigint,end:bigint>>")
+    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    schema = docs.select(*keys).schema.add("found", T.ArrayType(span))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
