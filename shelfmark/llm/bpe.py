@@ -21,16 +21,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import documents
+from shelfmark.llm.common import documents, mapped
 
 #: The vocabulary of the contract, by its name among the public tokenizers.
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces and pairs that a worker remembers at most; beyond that its memory starts anew. Results don't depend on it.
-MAX_PIECES, MAX_PAIRS = 800_000, 1_000_000
+MAX_PIECES, MAX_PAIRS = 250_000, 200_000
 #: Longer pieces aren't remembered.
 MAX_REMEMBERED = 64
+#: Bytes up to which a piece is merged by scanning; the rank of a pair that doesn't merge.
+SHORT, NO_MERGE = 40, (1 << 60, -1)
 
 
 def byte_characters() -> dict[str, int]:
@@ -79,11 +81,27 @@ class BytePairCodec:
         return out
 
     def merged(self, raw: bytes) -> list[int]:
-        """Exact BPE: the pair of lowest rank is merged first, the leftmost among equals. A heap over a linked list, n log n."""
+        """Exact BPE: the pair of lowest rank is merged first, the leftmost among equals. Short pieces are scanned for it;
+        long ones use a heap over a linked list, n log n."""
         import heapq
 
         ids = [self.ids[raw[k : k + 1]] for k in range(len(raw))]
         n = len(ids)
+        if n <= SHORT:
+            get = self.merges.get
+            ranks = [get(p, NO_MERGE) for p in zip(ids, ids[1:])]
+            while ranks:
+                low = min(ranks)
+                if low is NO_MERGE:
+                    break
+                k = ranks.index(low)
+                ids[k : k + 2] = [low[1]]
+                del ranks[k]
+                if k < len(ranks):
+                    ranks[k] = get((low[1], ids[k + 1]), NO_MERGE)
+                if k:
+                    ranks[k - 1] = get((ids[k - 1], low[1]), NO_MERGE)
+            return ids
         after, before, merges = [*range(1, n), -1], [*range(-1, n - 1)], self.merges
         heap = [(m[0], k, ids[k], ids[k + 1], m[1]) for k in range(n - 1) if (m := merges.get((ids[k], ids[k + 1])))]
         heapq.heapify(heap)
@@ -190,7 +208,7 @@ def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
         for f in frames:
             yield f.assign(**{ids: [x.astype(np.int32) for x in c.encode_batch(f[text].fillna("").tolist())]})
 
-    return docs.mapInPandas(run, schema)
+    return mapped(docs, run, schema)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -202,7 +220,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
         for f in frames:
             yield f.assign(**{text: [c.decode(x) if x is not None else "" for x in f[ids]]})
 
-    return tokens.mapInPandas(run, schema)
+    return mapped(tokens, run, schema)
 
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -221,7 +239,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 backs.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": backs})
 
-    return docs.selectExpr("doc_id", "cast(text AS string) AS text").mapInPandas(run, DIGEST)
+    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, DIGEST)
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

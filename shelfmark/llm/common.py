@@ -6,9 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+#: Arrow batches: rows and bytes at most.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 #: White space that parts words: space and U+0009 to U+000D.
 SPACE = r"\x20\x09-\x0D"
 
@@ -49,6 +53,13 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def mapped(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """df.mapInPandas in batches of bounded size, as a worker holds one batch of whole texts at a time."""
+    for name, most in BATCH.items():
+        df.sparkSession.conf.set(name, most)
+    return df.mapInPandas(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.llm.common import mapped
+
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp".split())
@@ -150,7 +152,14 @@ def content(body: Node) -> set[int]:
         node = node.parent
         threshold = min(threshold, node.density)
     chosen: set[int] = set()
-    stack = [body]
+    # nodes on the path reach the threshold; an article element there is the article
+    node, article = best, None
+    while node is not body:
+        article = node if node.tag == "article" else article
+        node = node.parent
+    if article is not None:
+        chosen.add(id(article))
+    stack = [body] if article is None else []
     while stack:
         node = stack.pop()
         if id(node) in chosen or not node.chars or node.density < threshold:
@@ -229,7 +238,7 @@ def extract(pages: DataFrame, text: str = "text", source: str = "html") -> DataF
         for f in frames:
             yield f[kept].assign(**{text: [main_text(p) for p in f[source]]})
 
-    return pages.select(*kept, pages[source].cast("string").alias(source)).mapInPandas(run, schema)
+    return mapped(pages.select(*kept, pages[source].cast("string").alias(source)), run, schema)
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import bounded, documents, stored
+from shelfmark.llm.common import bounded, documents, mapped, stored
 
 #: Edits within which lines count as copies, and the length from which lines take part.
 THRESHOLD, MIN_CHARS = 1, 30
@@ -205,7 +205,7 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     x = pairs.join(a, (pairs["a1"] == a["ah1"]) & (pairs["a2"] == a["ah2"])).select("a1", "a2", "b1", "b2", "pa", "la")
     x = x.join(b, (F.col("b1") == b["bh1"]) & (F.col("b2") == b["bh2"]))
     later = lambda k: F.when(F.col("pa") < F.col("pb"), F.col(f"b{k}")).otherwise(F.col(f"a{k}")).alias(f"h{k}")
-    return x.select(later(1), later(2), "la", "lb").mapInPandas(run, "h1 long, h2 long").distinct()
+    return mapped(x.select(later(1), later(2), "la", "lb"), run, "h1 long, h2 long").distinct()
 
 
 def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -237,7 +237,7 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
                 out.append(text)
             yield f[["_row"]].assign(_t=out)
 
-    done = met.mapInPandas(run, met.select("_row", "_t").schema)
+    done = mapped(met, run, met.select("_row", "_t").schema)
     return done.select(*[F.col("_t").cast(docs.schema[c].dataType).alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import bounded, discard, documents, stored
+from shelfmark.llm.common import bounded, discard, documents, mapped, stored
 from shelfmark.llm.components import components
 from shelfmark.llm.shingles import mixed, shingle_set
 
@@ -74,7 +74,7 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
                 sigs.append(signature(s).tobytes() if len(s) else None)
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_shingles": ns, "digest": digests, "sig": sigs})
 
-    return docs.selectExpr("doc_id", "cast(text AS string) AS text").mapInPandas(run, "doc_id long, n_shingles long, digest string, sig binary")
+    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, "doc_id long, n_shingles long, digest string, sig binary")
 
 
 def bucketed(reps: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def bucketed(reps: DataFrame) -> DataFrame:
                     key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
                 yield pd.DataFrame({"bucket": key.ravel().view(np.int64), "rep": np.repeat(f["rep"].to_numpy(np.int64), BANDS)})
 
-    return reps.select("rep", "sig").mapInPandas(run, "bucket long, rep long")
+    return mapped(reps.select("rep", "sig"), run, "bucket long, rep long")
 
 
 def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
     a, b = (reps.select(F.col("rep").alias(f"r{c}"), F.col("sig").alias(c)) for c in "ab")
     joined = pairs.join(a, pairs["u"] == a["ra"]).select("u", "v", "a").join(b, F.col("v") == b["rb"]).select("u", "v", "a", "b")
-    return joined.mapInPandas(run, "u long, v long")
+    return mapped(joined, run, "u long, v long")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -114,7 +114,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             yield pd.DataFrame({"id": f["doc_id"], "s": [shingle_set(t, size).tobytes() for t in f["text"]]})
 
     here = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL")
-    found = here.join(bounded(ids, MAX_BROADCAST_IDS), here["doc_id"] == ids["i"], "left_semi").mapInPandas(sets, "id long, s binary")
+    found = mapped(here.join(bounded(ids, MAX_BROADCAST_IDS), here["doc_id"] == ids["i"], "left_semi"), sets, "id long, s binary")
     return stored(found, "shingle-sets")
 
 
@@ -133,7 +133,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     found = shingle_sets(docs, pairs.select(F.col("u").alias("i")).union(pairs.select("v")).distinct(), size)
     a, b = (found.select(F.col("id").alias(f"i{c}"), F.col("s").alias(c)) for c in "ab")
     joined = pairs.join(a, pairs["u"] == a["ia"]).select("u", "v", "a").join(b, F.col("v") == b["ib"]).select("u", "v", "a", "b")
-    out = stored(joined.mapInPandas(run, "u long, v long").distinct(), "confirmed")
+    out = stored(mapped(joined, run, "u long, v long").distinct(), "confirmed")
     discard(found)
     return out
 
@@ -165,7 +165,7 @@ def reachable(rows: DataFrame, sets: DataFrame) -> DataFrame:
             for i, s in zip(f["id"], f["s"], strict=True):
                 yield pd.DataFrame({"s": np.frombuffer(s, np.int64), "i": i})
 
-    once = here.mapInPandas(run, "s long, i long").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("i")).where("n = 1")
+    once = mapped(here, run, "s long, i long").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("i")).where("n = 1")
     own = once.groupBy(F.col("i").alias("o")).agg(F.count(F.lit(1)).alias("lone"))
     size = here.select("id", (F.length("s") / 8).cast("long").alias("size"))
     known = size.join(own, size["id"] == own["o"], "left").select("id", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from shelfmark.llm.common import documents
+from shelfmark.llm.common import documents, mapped
 
 #: The patterns of the contract, in their order, with the group and length that count.
 PATTERNS = [
@@ -118,7 +118,7 @@ def scan(docs: DataFrame, model: RandomnessModel, keys: list[str]) -> DataFrame:
         for f in frames:
             yield f[keys].assign(found=[[{"kind": KINDS[k], "start": s, "end": e} for s, e, k in spans(t or "", model)] for t in f["text"]])
 
-    return docs.select(*keys, docs["text"].cast("string").alias("text")).mapInPandas(run, schema)
+    return mapped(docs.select(*keys, docs["text"].cast("string").alias("text")), run, schema)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,4 +134,4 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), **counts, "base_sha256": [hashlib.sha256(written(g).encode()).hexdigest() for g in base], "spans": [written(g) for g in found]})
 
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-    return docs.selectExpr("doc_id", "cast(text AS string) AS text").mapInPandas(run, schema)
+    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, schema)

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hash a worker remembers at most; then its memory starts anew.
-MAX_WORDS = 500_000
+MAX_WORDS = 150_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 

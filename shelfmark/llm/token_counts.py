@@ -19,12 +19,12 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import documents
+from shelfmark.llm.common import documents, mapped
 
 #: The piece file, by its name among the public tokenizers.
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
-MAX_WORDS, MAX_REMEMBERED = 600_000, 64
+MAX_WORDS, MAX_REMEMBERED = 300_000, 64
 #: Fixed value: what an uncovered character costs beside the least score.
 UNKNOWN_PENALTY = 10.0
 
@@ -109,7 +109,7 @@ def counted(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
             rows = [c.text(t) for t in f["text"]]
             yield f[keys].assign(n_tokens=[r[0] for r in rows], n_byte_tokens=[r[1] for r in rows], score=[r[2] for r in rows])
 
-    return docs.select(*keys, docs["text"].cast("string").alias("text")).mapInPandas(run, schema)
+    return mapped(docs.select(*keys, docs["text"].cast("string").alias("text")), run, schema)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

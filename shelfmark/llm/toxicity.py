@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from shelfmark.llm.common import documents
+from shelfmark.llm.common import documents, mapped
 from shelfmark.llm.labelled import fold, sample_labels
 
 #: Labelled documents read for training, and the longest text among them: this bounds the driver's memory.
@@ -27,7 +27,7 @@ MAX_TRAINING, MAX_CHARS = 6_000, 20_000
 #: Lengths of word beginnings; features kept for the fit, with their least association (z) and least number of documents.
 PREFIXES, MAX_FEATURES, LEAST_Z, LEAST_DOCS = (4, 5, 6), 2_000, 4.0, 4
 #: Penalty and steps of the fit; words a worker remembers.
-L1, STEPS, MAX_REMEMBERED = 5e-5, 300, 500_000
+L1, STEPS, MAX_REMEMBERED = 5e-5, 300, 200_000
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORD, SENTENCE = re.compile(r"[^\W\d_]+"), re.compile(r"[^.!?\n]+")
 
@@ -144,7 +144,7 @@ def scored(docs: DataFrame, model: NoisyOr, keys: list[str]) -> DataFrame:
         for f in frames:
             yield f[keys].assign(score=[model.score(t) for t in f["text"]], offending=[[{"start": a, "end": b, "p": p} for a, b, p in model.offending(t)] for t in f["text"]])
 
-    return docs.select(*keys, docs["text"].cast("string").alias("text")).mapInPandas(run, schema)
+    return mapped(docs.select(*keys, docs["text"].cast("string").alias("text")), run, schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
