@@ -5,8 +5,8 @@ of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair shares none
 below 5e-8. Within a bucket not all pairs are made: first every class is held against the bucket's centre, the class
 with the most company over all its buckets. Links confirmed on the full sets give components. In buckets that still
 hold several components, classes leave whose shingles are so often their own that no partner in the bucket can reach the
-threshold; and pairs must share a second band to go on: at J = 0.8 fewer than two are shared with probability below
-2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
+threshold; and pairs in buckets of more than LEADERS classes must share a second band to go on: at J = 0.8 fewer than
+two are shared with probability below 2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
 classes at a time from outside the least class's component are held against all others, until each class outside has
 been. So every such pair that isn't connected yet is tested, and the rows per round grow with the bucket, not with its
 square. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
@@ -38,7 +38,7 @@ LEADERS = 16
 #: Rounds of leaders before links are confirmed on full sets and components formed anew.
 SUBROUNDS = 4
 #: How often classes without a possible partner are taken out; each time those left have fewer shingles in common.
-PRUNINGS = 2
+PRUNINGS = 3
 #: Ids up to which they are broadcast to find their documents (8 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_IDS = 1_000_000
 #: Shingles hashed at once, to bound memory for very long texts.
@@ -188,7 +188,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     links = confirmed(near, docs, size)
     discard(near)
     edges = components(links)
-    # what the centres left apart must share a second band
+    # what the centres left apart
     left = stored(open_rows(rows.select("bucket", "rep"), edges).select("bucket", "rep"), "open-buckets")
     if not left.limit(1).count():
         return edges
@@ -197,9 +197,13 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         new = stored(open_rows(reachable(left, sets), edges), "open-buckets")
         discard(left)
         left = new
-    other = left.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
-    both = left.join(other, (left["rep"] == other["r2"]) & (left["bucket"] < other["b2"]))
-    left = both.select(F.xxhash64("bucket", "b2").alias("bucket"), "rep", "size", "shared").distinct()
+    # buckets of few classes take one round as they are; the rows of the others are dealt anew by pairs of bands
+    large = left.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where(f"n > {LEADERS}").select("b")
+    many = left.join(large, left["bucket"] == large["b"], "left_semi")
+    few = left.join(large, left["bucket"] == large["b"], "left_anti").select("bucket", "rep", "size", "shared")
+    other = many.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
+    both = many.join(other, (many["rep"] == other["r2"]) & (many["bucket"] < other["b2"]))
+    left = few.union(both.select(F.xxhash64("bucket", "b2").alias("bucket"), "rep", "size", "shared"))
     while True:
         state = stored(open_rows(left, edges), "open-buckets")
         if not state.limit(1).count():
