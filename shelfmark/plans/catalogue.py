@@ -1,15 +1,330 @@
-"""Driver-facing queries over the benchmark tables, one per catalogue operator, with equivalent SQL."""
+"""Driver-facing queries over the benchmark tables, one per catalogue operator, with equivalent SQL.
+
+The benchmark tables hold no retail records, so titles, keys and places are made from them the same way on both sides.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from shelfmark.functions import text, values
+from shelfmark.operators import dimensions, history, identity, migration, outbox
+from shelfmark.plans import titles
+from shelfmark.streaming import sync
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("""SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE ts > TIMESTAMP '2024-01-02' OR (ts = TIMESTAMP '2024-01-02' AND event_id > 100) ORDER BY ts, event_id LIMIT 500""")
+def keyset_page(spark, d):
+    """The page after a cursor; its size is the feature."""
+    at = F.lit("2024-01-02").cast("timestamp_ntz")
+    e = table(spark, d, "events").where((F.col("ts") > at) | ((F.col("ts") == at) & (F.col("event_id") > 100)))
+    return e.orderBy("ts", "event_id").limit(500).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("""SELECT l_orderkey, l_linenumber, o_custkey, c_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON o_custkey = c_custkey""")
+def fetch_join(spark, d):
+    c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_custkey", "c_name")
+
+
+@query("""SELECT o_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS lines, count(l_linenumber) AS n_lines
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def child_collect(spark, d):
+    kids = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("k"))
+    o = table(spark, d, "orders").select("o_orderkey").join(kids, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = F.array_join(F.transform("k", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",")
+    return o.select("o_orderkey", joined.alias("lines"), F.coalesce(F.size("k"), F.lit(0)).cast("long").alias("n_lines"))
+
+
+@query("""WITH f AS (SELECT p_brand, lower(p_type) AS k, min(p_partkey) AS pk, arg_min(p_type, p_partkey) AS t FROM part GROUP BY ALL)
+SELECT p_brand, string_agg(t, ' / ' ORDER BY pk) AS titles FROM f GROUP BY p_brand""")
+def category_titles(spark, d):
+    first = table(spark, d, "part").groupBy("p_brand", F.lower("p_type").alias("k")).agg(F.min(F.struct("p_partkey", "p_type")).alias("s"))
+    g = first.groupBy("p_brand").agg(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["p_type"]).alias("t"))
+    return g.select("p_brand", text.join_distinct(F.col("t"), " / ").alias("titles"))
+
+
+RAW_NUMBER = "CASE event_id % 7 WHEN 0 THEN event_id || ',5' WHEN 1 THEN ' ' || event_id || ' ' WHEN 2 THEN '12d' WHEN 3 THEN 'yes' WHEN 4 THEN '0' WHEN 5 THEN '' ELSE 'Off' END"
+
+
+@query(f"""WITH r AS (SELECT event_id, {RAW_NUMBER} AS raw FROM events),
+n AS (SELECT event_id, raw, lower(trim(raw)) AS s, CASE WHEN regexp_full_match(replace(trim(raw), ',', '.'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN try_cast(replace(trim(raw), ',', '.') AS DOUBLE) END AS as_double FROM r)
+SELECT event_id, as_double, coalesce(CASE WHEN as_double = floor(as_double) THEN CAST(as_double AS BIGINT) END, -1) AS as_long,
+CASE WHEN s IN ('1', 'true', 'yes', 'y', 'on') THEN TRUE WHEN s IN ('0', 'false', 'no', 'n', 'off') THEN FALSE WHEN as_double IS NOT NULL THEN as_double <> 0 END AS as_bool FROM n""")
+def safe_casts(spark, d):
+    r = table(spark, d, "events").select("event_id", F.expr(RAW_NUMBER).alias("raw"))
+    return r.select("event_id", values.safe_double(F.col("raw")).alias("as_double"), F.coalesce(values.safe_long(F.col("raw")), F.lit(-1).cast("long")).alias("as_long"), values.safe_bool(F.col("raw")).alias("as_bool"))
+
+
+RAW_LIST = """CASE o_orderkey % 4 WHEN 0 THEN '["a", " ", "' || o_orderpriority || '"]' WHEN 1 THEN 'x, ' || o_orderstatus || ',,y' WHEN 2 THEN o_orderpriority ELSE '' END"""
+
+
+@query(f"""WITH r AS (SELECT o_orderkey, {RAW_LIST} AS raw FROM orders),
+l AS (SELECT o_orderkey, [trim(x) FOR x IN CASE WHEN raw LIKE '[%' THEN from_json(raw, '["VARCHAR"]') ELSE string_split(raw, ',') END IF trim(x) <> ''] AS items FROM r)
+SELECT o_orderkey, array_to_string(items, '|') AS items, len(items) AS n_items FROM l""")
+def string_list_decode(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", values.string_list(F.expr(RAW_LIST)).alias("l"))
+    return o.select("o_orderkey", F.array_join("l", "|").alias("items"), F.size("l").cast("long").alias("n_items"))
+
+
+@query(r"""WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), 'ё×', 'еx'), '["“”«»]', '', 'g'), '[^\p{L}\p{M}\p{Nd}\p{Pc}\s.,-]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS cleaned FROM c""")
+def clean_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
+MIXED = "'cалфетки ' || p_name || ' 30x30см xлебцы-' || p_size || ' magic'"
+
+
+@query(f"""SELECT p_partkey, array_to_string([CASE WHEN regexp_matches(w, '[a-z]') AND regexp_matches(w, '[а-я]') THEN translate(w, 'abcehkmoptxy', 'авсенкмортху') ELSE w END FOR w IN string_split({MIXED}, ' ')], ' ') AS fixed FROM part""")
+def homoglyph_fix(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.repair_homoglyphs(F.expr(MIXED)).alias("fixed"))
+
+
+TITLE_A = "'Шоколад ' || p_name || CASE p_partkey % 3 WHEN 0 THEN ', With Love' WHEN 1 THEN ', 12х14' ELSE '' END || ', ' || p_size || ' г, ' || (p_partkey % 250) || ' шт, в ассортименте'"
+
+
+@query("""SELECT p_partkey, 'Шоколад ' || p_name AS name_original, CASE p_partkey % 3 WHEN 0 THEN 'With Love' END AS brand, 'PCE' AS unit,
+CAST(CASE WHEN p_partkey % 250 BETWEEN 1 AND 200 THEN p_partkey % 250 END AS DOUBLE) AS available_count, p_size / 1000.0::DOUBLE AS package_quantity, 'KGM' AS package_unit FROM part""")
+def title_grammar_a(spark, d):
+    g = titles.grammar_a(table(spark, d, "part").select("p_partkey", F.expr(TITLE_A).alias("title")))
+    return g.select("p_partkey", "name_original", F.col("title_brand").alias("brand"), F.col("title_unit").alias("unit"), F.col("title_count").alias("available_count"), F.col("title_package").alias("package_quantity"), F.col("title_package_unit").alias("package_unit"))
+
+
+TITLE_B = "'Чай Greenfield ' || p_name || ' травяной ' || (p_partkey % 30 + 1) || 'х' || p_size || CASE p_partkey % 2 WHEN 0 THEN 'г' ELSE 'мл' END"
+
+
+@query("""SELECT p_partkey, 'Чай Greenfield ' || p_name || ' травяной' AS name_original, array_to_string(string_split('Greenfield ' || p_name, ' ')[1:3], ' ') AS brand, 'PCE' AS unit,
+CAST(p_partkey % 30 + 1 AS DOUBLE) AS available_count, p_size / 1000.0::DOUBLE AS package_quantity, CASE p_partkey % 2 WHEN 0 THEN 'KGM' ELSE 'LTR' END AS package_unit FROM part""")
+def title_grammar_b(spark, d):
+    g = titles.grammar_b(table(spark, d, "part").select("p_partkey", F.expr(TITLE_B).alias("title")))
+    return g.select("p_partkey", "name_original", F.col("title_brand").alias("brand"), F.col("title_unit").alias("unit"), F.col("title_count").alias("available_count"), F.col("title_package").alias("package_quantity"), F.col("title_package_unit").alias("package_unit"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'KGM' WHEN 1 THEN 'LTR' WHEN 2 THEN 'KGM' ELSE 'PCE' END AS unit FROM part""")
+def unit_classify(spark, d):
+    t = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'Сыр ВЕСОВОЙ ' || p_name WHEN 1 THEN 'Квас на розлив ' || p_name WHEN 2 THEN 'Яблоки на  вес' ELSE 'Весовойка ' || p_name END")
+    return table(spark, d, "part").select("p_partkey", titles.sold_by(t).alias("unit"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'With Love' WHEN p_partkey % 5 <> 0 THEN p_type END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'KGM' ELSE 'PCE' END AS unit,
+CASE WHEN p_partkey % 7 = 0 THEN 1.5::DOUBLE ELSE p_size / 1000.0::DOUBLE END AS package_quantity, CASE WHEN p_partkey % 7 = 0 THEN 'LTR' ELSE 'KGM' END AS package_unit FROM part""")
+def raw_title_merge(spark, d):
+    raw = table(spark, d, "part").select(
+        "p_partkey", F.expr(TITLE_A).alias("title"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN '12х14' ELSE p_type END").alias("brand"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN 'KGM' END").alias("unit"), F.lit(None).cast("double").alias("available_count"),
+        F.expr("CASE WHEN p_partkey % 7 < 2 THEN 1.5D END").alias("package_quantity"), F.expr("CASE WHEN p_partkey % 7 = 0 THEN 'LTR' END").alias("package_unit"),
+    )
+    return titles.no_dimension_brand(titles.merged(titles.grammar_a(raw))).select("p_partkey", "brand", "unit", "package_quantity", "package_unit")
+
+
+@query("""WITH RECURSIVE k AS (SELECT p_partkey AS id, 's' || (p_partkey // 4) AS key FROM part UNION ALL SELECT p_partkey, 'p' || (p_partkey // 8) FROM part WHERE p_partkey % 4 = 0),
+e AS (SELECT DISTINCT a.id, b.id AS other FROM k a JOIN k b USING (key)),
+r(id, reach) AS (SELECT p_partkey, p_partkey FROM part UNION SELECT r.id, e.other FROM r JOIN e ON r.reach = e.id)
+SELECT id AS p_partkey, min(reach) AS canonical FROM r GROUP BY id""")
+def identity_components(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.expr("CASE WHEN p_partkey % 4 = 0 THEN 'p' || (p_partkey DIV 8) END").alias("plu"), F.expr("'s' || (p_partkey DIV 4)").alias("sku"), F.lit(" ").alias("source_id"), F.lit(None).cast("string").alias("normalized_name"))
+    return identity.components(p, "p_partkey")
+
+
+@query()
+def identity_resolve(spark, d):
+    """The exact fold in order of arrival; its ids depend on the order, so tests hold it against a plain loop."""
+    p = table(spark, d, "part").select(F.col("p_brand").alias("parser_name"), F.col("p_partkey").alias("seq"), F.expr("CASE WHEN p_partkey % 4 = 0 THEN 'p' || (p_partkey DIV 200) END").alias("plu"), F.expr("'s' || (p_partkey DIV 100)").alias("sku"), F.expr("'r:' || p_partkey").alias("source_id"), F.col("p_name").alias("normalized_name"))
+    return identity.resolve(p, ["seq"]).select(F.col("seq").alias("p_partkey"), "parser_name", "canonical_product_id")
+
+
+@query("""WITH u AS (SELECT page_id, 0 AS pos, url FROM pages UNION ALL SELECT page_id, 1, regexp_replace(url, '[?#].*$', '') FROM pages)
+SELECT sha256(url) AS fingerprint, arg_min(url, page_id * 2 + pos) AS canonical_url, count(*) AS n_uses FROM u GROUP BY sha256(url)""")
+def image_dedup(spark, d):
+    p = table(spark, d, "pages").select("page_id", F.array("url", F.regexp_replace("url", "[?#].*$", "")).alias("urls"))
+    return identity.first_urls(p, "urls", ["page_id"])
+
+
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN page_id || ' a+b.webp' WHEN 1 THEN page_id || '.jpg' END AS image_name FROM pages""")
+def image_name(spark, d):
+    u = F.expr("CASE page_id % 3 WHEN 0 THEN 'https://img.example.com/api/images/' || page_id || '%20a+b.webp' WHEN 1 THEN 'https://img.example.com/images/' || page_id || '.jpg?size=2' ELSE url END")
+    return table(spark, d, "pages").select("page_id", values.image_name(u, "https://img.example.com").alias("image_name"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN value END AS v FROM events)
+SELECT a.event_id, a.user_id, coalesce(a.v, (SELECT b.v FROM e b WHERE b.user_id = a.user_id AND b.v IS NOT NULL ORDER BY abs(epoch_us(b.ts) - epoch_us(a.ts)), b.ts, b.event_id LIMIT 1)) AS value FROM e a""")
+def backfill_nearest(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    return history.backfill(e, ["user_id"], "ts", "event_id", ["value"]).select("event_id", "user_id", "value")
+
+
+RUNS = """WITH f AS (SELECT user_id, event_id, ts, sha256(event_type) AS fp FROM events),
+g AS (SELECT *, CASE WHEN lag(fp) OVER w IS DISTINCT FROM fp OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS n FROM f WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+h AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT user_id, CAST(run AS BIGINT) AS snapshot_no, any_value(fp) AS fp, min(ts) AS valid_from, max(ts) AS valid_to, count(*) AS n_rows FROM h GROUP BY user_id, run"""
+
+
+@query(RUNS)
+def snapshot_rle(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", F.sha2("event_type", 256).alias("fp"))
+    return history.snapshots(e, ["user_id"], ["ts", "event_id"], "fp", "ts")
+
+
+@query(RUNS)
+def stream_snapshot(spark, d):
+    """The same from a file stream: micro-batches are stored once each, runs formed on reading."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
+    at = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, d, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).select("user_id", "event_id", "ts", F.sha2("event_type", 256).alias("fp"))
+    return sync.stream_runs(source, f"{at}/rows", f"{at}/state", ["user_id"], ["ts", "event_id"], "fp", "ts")
+
+
+@query("""SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id""")
+def source_latest(spark, d):
+    return history.source_state(table(spark, d, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], "event_id", "ts")
+
+
+@query("""SELECT user_id, arg_max(value, event_id) FILTER (WHERE event_type <> 'error') AS value, arg_max(props, event_id) FILTER (WHERE event_id % 3 <> 0) AS props, arg_max(event_type, event_id) AS event_type,
+max(ts) AS observed_at, arg_min(ts, event_id) AS created_at FROM events GROUP BY user_id""")
+def projection_last_non_null(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", F.expr("CASE WHEN event_type <> 'error' THEN value END").alias("value"), F.expr("CASE WHEN event_id % 3 <> 0 THEN props ELSE ' ' END").alias("props"))
+    return history.projection(e, ["user_id"], ["event_id"], ["value", "props"], ["event_type"], "ts")
+
+
+PLACES = "SELECT s_suppkey, r_name AS country, n_name AS region, CASE WHEN s_suppkey % 3 <> 0 THEN s_name END AS name, s_nationkey * 1.5 AS latitude, CASE WHEN s_suppkey % 5 <> 0 THEN (s_nationkey + 1) * -2.25 END AS longitude, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+
+
+def places(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("r_name").alias("country"), F.col("n_name").alias("region"), F.expr("CASE WHEN s_suppkey % 3 <> 0 THEN s_name END").alias("name"), F.expr("s_nationkey * 1.5D").alias("latitude"), F.expr("CASE WHEN s_suppkey % 5 <> 0 THEN (s_nationkey + 1) * -2.25D END").alias("longitude"), "s_acctbal")
+
+
+@query(f"""SELECT lower(country) || '|' || lower(region) AS geo_key, arg_min(name, s_suppkey) FILTER (WHERE name IS NOT NULL) AS name, CAST(arg_min(longitude, s_suppkey) FILTER (WHERE longitude IS NOT NULL) AS DOUBLE) AS longitude,
+arg_min(s_acctbal, s_suppkey) AS first_seen, max(s_acctbal) AS last_seen FROM ({PLACES}) GROUP BY country, region""")
+def settlement_dim(spark, d):
+    p = places(spark, d).withColumn("geo_key", values.geo_key(F.col("country"), F.col("region"), F.lit(None).cast("string")))
+    return history.first_known(p, ["geo_key"], ["s_suppkey"], ["name", "longitude"], "s_acctbal")
+
+
+@query(f"""WITH p AS (SELECT lower(country) || '|' || lower(region) AS geo_key, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude FROM ({PLACES}) WHERE longitude IS NOT NULL)
+SELECT DISTINCT sha256(printf('%s:%.8f:%.8f', geo_key, latitude, longitude)) AS geo_fingerprint, geo_key, latitude, longitude FROM p""")
+def geo_points(spark, d):
+    return dimensions.geo_points(places(spark, d).withColumn("name", F.lit(None).cast("string")), ["s_suppkey"])
+
+
+@query("""WITH c AS (SELECT p_brand || ':title:' || substring(sha256(lower(p_type)), 1, 40) AS category_key, p_partkey, p_type, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS depth, p_retailprice FROM part)
+SELECT category_key, arg_min(p_type, p_partkey) AS title, arg_min(depth, p_partkey) FILTER (WHERE depth IS NOT NULL) AS depth, arg_min(p_retailprice, p_partkey) AS first_seen, max(p_retailprice) AS last_seen FROM c GROUP BY category_key""")
+def category_dim(spark, d):
+    p = table(spark, d, "part").select("p_partkey", values.category_key(F.col("p_brand"), F.lit(None).cast("string"), F.lower("p_type")).alias("category_key"), F.col("p_type").alias("title"), F.expr("CASE WHEN p_partkey % 4 <> 0 THEN p_size END").alias("depth"), "p_retailprice")
+    return history.first_known(p, ["category_key"], ["p_partkey"], ["title", "depth"], "p_retailprice")
+
+
+@query("""WITH l AS (SELECT p_partkey, p_brand || ':uid:' || lower(p_type) AS k, 0 AS pos, p_size AS so FROM part UNION ALL SELECT p_partkey, p_brand || ':title:' || substring(sha256(lower(p_name)), 1, 40), 1, 1 FROM part UNION ALL SELECT p_partkey, p_brand || ':uid:' || lower(p_type), 2, 2 FROM part WHERE p_partkey % 2 = 0)
+SELECT p_partkey, k AS category_key, CAST(arg_min(so, pos) AS INTEGER) AS sort_order, min(pos) = 0 AS is_primary FROM l GROUP BY p_partkey, k""")
+def category_links(spark, d):
+    entry = lambda uid, title, so: f"struct({uid} AS uid, {title} AS title, cast({so} AS int) AS sort_order)"
+    both = f"array({entry('p_type', 'CAST(NULL AS STRING)', 'p_size')}, {entry('CAST(NULL AS STRING)', 'p_name', 'NULL')})"
+    p = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("parser_name"), F.expr(f"CASE WHEN p_partkey % 2 = 0 THEN array_append({both}, {entry('p_type', 'CAST(NULL AS STRING)', 'NULL')}) ELSE {both} END").alias("listed"))
+    return dimensions.category_links(p, "p_partkey", "listed")
+
+
+@query("""SELECT page_id, 'image_url' AS asset_kind, 0 AS sort_order, url AS value FROM pages UNION ALL SELECT page_id, 'image_url', 1, url || '#2' FROM pages
+UNION ALL SELECT page_id, 'image_fingerprint', 0, sha256(url) FROM pages WHERE page_id % 2 = 0""")
+def asset_unpivot(spark, d):
+    p = table(spark, d, "pages").select("page_id", F.array("url", F.concat("url", F.lit("#2"))).alias("urls"), F.expr("CASE WHEN page_id % 2 = 0 THEN array(sha2(url, 256)) END").alias("fps"))
+    return dimensions.unpivot_assets(p, ["page_id"], {"image_url": "urls", "image_fingerprint": "fps"})
+
+
+@query("""WITH n AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events)
+SELECT user_id, n // 10 AS chunk_no, count(*) AS n_rows, max(ts) AS cursor_at, arg_max(event_id, (ts, event_id)) AS cursor_id,
+substring(sha256(count(*) || '|' || arg_min(event_id, n) || '|' || arg_max(event_id, n)), 1, 24) AS chunk_hash FROM n GROUP BY user_id, n // 10""")
+def chunk_cursor(spark, d):
+    c = history.chunks(table(spark, d, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], 10)
+    g = c.groupBy("user_id", "chunk_no").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.struct("ts", "event_id")).alias("c"), F.min_by("event_id", "row_no").alias("a"), F.max_by("event_id", "row_no").alias("b"))
+    return g.select("user_id", "chunk_no", "n_rows", F.col("c.ts").alias("cursor_at"), F.col("c.event_id").alias("cursor_id"), F.substring(F.sha2(F.concat_ws("|", "n_rows", "a", "b"), 256), 1, 24).alias("chunk_hash"))
+
+
+@query("""WITH u AS (SELECT regexp_replace(url, '[?#].*$', '') AS url FROM pages), q AS (SELECT sha256(url) AS dedupe_key, min(url) AS url FROM u GROUP BY 1), old AS (SELECT sha256(url) AS dedupe_key, CASE page_id % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'failed' ELSE 'pending' END AS status, CAST(page_id % 5 AS INTEGER) AS attempts FROM pages WHERE url NOT LIKE '%?%' AND url NOT LIKE '%#%')
+SELECT q.dedupe_key, q.url, CASE WHEN old.status = 'done' THEN 'done' ELSE 'pending' END AS status, CASE WHEN old.status IN ('done', 'pending') THEN old.attempts ELSE 0 END AS attempts FROM q LEFT JOIN old USING (dedupe_key)""")
+def outbox_dedupe(spark, d):
+    p = table(spark, d, "pages")
+    old = p.where("url NOT LIKE '%?%' AND url NOT LIKE '%#%'").select(F.sha2("url", 256).alias("dedupe_key"), "url", F.expr("CASE page_id % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'failed' ELSE 'pending' END").alias("status"), F.expr("cast(page_id % 5 AS int)").alias("attempts"), F.lit("2024-01-01").cast("timestamp").alias("available_at"))
+    return outbox.enqueue(p.select(F.regexp_replace("url", "[?#].*$", "").alias("url")), old, "2024-01-02 00:00:00").select("dedupe_key", "url", "status", "attempts")
+
+
+@query("""SELECT event_id, CASE WHEN a.n + 1 >= 10 THEN 'failed' ELSE 'pending' END AS status, CAST(least(300, pow(2, greatest(0, a.n))) AS INTEGER) AS wait_seconds FROM (SELECT event_id, event_id % 12 AS n FROM events) a""")
+def outbox_backoff(spark, d):
+    e = table(spark, d, "events").withColumn("tried", F.expr("event_id % 12 + 1"))
+    return e.select("event_id", F.when(F.col("tried") >= outbox.MAX_ATTEMPTS, "failed").otherwise("pending").alias("status"), values.backoff_seconds(F.col("tried")).alias("wait_seconds"))
+
+
+@query("""WITH c AS (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS available, min(l_shipdate) AS counted_at FROM lineitem WHERE l_linenumber > 2 GROUP BY 1)
+SELECT o.o_orderkey, coalesce(c.available, k.c_acctbal) AS available, coalesce(c.counted_at, o.o_orderdate) AS created_at, CAST(CAST(o.o_totalprice AS DECIMAL(12, 4)) AS DOUBLE) AS price FROM orders o LEFT JOIN c USING (o_orderkey) LEFT JOIN customer k ON o.o_custkey = k.c_custkey AND k.c_acctbal > 0""")
+def migration_rebuild(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("snapshot_id"), "o_orderdate", "o_totalprice")
+    counts = table(spark, d, "lineitem").where("l_linenumber > 2").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("available"), F.min("l_shipdate").alias("counted_at"))
+    snaps = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("snapshot_id"), "c_acctbal")
+    counts = o.select("o_orderkey", "snapshot_id").join(counts, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("event"), "available", "counted_at")
+    e = o.withColumn("event", F.col("o_orderkey"))
+    x = migration.from_split(e, snaps, counts.limit(0).withColumn("snapshot_id", F.lit(0).cast("long"))).drop("c_event", "c_available", "c_counted_at", "c_snapshot_id")
+    c = counts.select(F.col("event").alias("ce"), "available", "counted_at")
+    y = x.join(c, x["event"] == c["ce"], "left")
+    return y.select("o_orderkey", F.coalesce("available", "s_c_acctbal").alias("available"), F.coalesce("counted_at", "o_orderdate").alias("created_at"), F.col("o_totalprice").cast("decimal(12,4)").cast("double").alias("price"))
+
+
+@query("""WITH e AS (SELECT event_id, event_type || '|' || user_id || '|' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE '.' || strftime(ts, '%f') END || '+00:00|' || event_id || '|' AS k FROM events)
+SELECT sha256(k) AS source_event_uid, event_id FROM e""")
+def event_uid_dedup(spark, d):
+    e = table(spark, d, "events")
+    twice = e.unionAll(e).withColumn("source_event_uid", values.event_uid(F.col("event_type"), F.col("user_id"), F.col("ts").cast("timestamp"), F.col("event_id"), F.lit(None)))
+    return twice.dropDuplicates(["source_event_uid"]).select("source_event_uid", "event_id")
+
+
+@query("""SELECT p_partkey, sha256('{"available_count":' || CASE WHEN p_partkey % 2 = 0 THEN p_size || '.0' ELSE 'null' END || ',"discount_price":null,"loyal_price":null,"parser_name":"' || p_brand || '","price":' || p_retailprice || ',"price_unit":"RUB","source_id":"' || p_partkey || '"}') AS fingerprint FROM part""")
+def content_fingerprint(spark, d):
+    null = F.lit(None).cast("double")
+    cols = {"available_count": F.expr("CASE WHEN p_partkey % 2 = 0 THEN cast(p_size AS double) END"), "discount_price": null, "loyal_price": null, "parser_name": F.col("p_brand"), "price": F.col("p_retailprice"), "price_unit": F.lit("RUB"), "source_id": F.col("p_partkey").cast("string")}
+    return table(spark, d, "part").select("p_partkey", values.content_fingerprint(cols).alias("fingerprint"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'r:' || o_orderkey WHEN 1 THEN 'sku:' || o_custkey WHEN 2 THEN 'plu:' || o_custkey ELSE 'generated:unknown:' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS source_id FROM orders""")
+def natural_id(spark, d):
+    o = table(spark, d, "orders")
+    pick = lambda k, c: F.expr(f"CASE WHEN o_orderkey % 4 = {k} THEN {c} ELSE ' ' END")
+    return o.select("o_orderkey", values.natural_id(pick(0, "'r:' || o_orderkey"), pick(1, "cast(o_custkey AS string)"), pick(2, "cast(o_custkey AS string)"), F.lit(None).cast("string"), F.col("o_orderdate").cast("timestamp")).alias("source_id"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'молочный продукт яйцо' WHEN 1 THEN 'напиток сок ' || p_name ELSE 'и в' END AS category FROM part""")
+def category_text(spark, d):
+    forms = F.create_map(*[F.lit(x) for pair in {"молочные": "молочный", "продукты": "продукт", "яйца": "яйцо", "напитки": "напиток", "соки": "сок"}.items() for x in pair])
+    raw = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'Молочные продукты, яйца' WHEN 1 THEN 'Напитки и соки/' || p_name ELSE 'и в' END")
+    return table(spark, d, "part").select("p_partkey", text.normalize_category(raw, forms).alias("category"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
