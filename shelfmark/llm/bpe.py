@@ -201,7 +201,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """docs plus an array of token ids. path: a vocabulary file that every executor has."""
-    schema = docs.schema.add(ids, "array<int>")
+    schema = docs.select("*").schema.add(ids, "array<int>")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """tokens plus the decoded text; null ids give an empty text."""
-    schema = tokens.schema.add(text, "string")
+    schema = tokens.select("*").schema.add(text, "string")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
