@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType
 
 from shelfmark.llm.common import documents, mapped
 
@@ -201,7 +202,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """docs plus an array of token ids. path: a vocabulary file that every executor has."""
-    schema = docs.select("*").schema.add(ids, "array<int>")
+    schema = docs.select("*").schema.add(ids, ArrayType(IntegerType()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
