@@ -5,11 +5,10 @@ of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair shares none
 below 5e-8. Within a bucket not all pairs are made: first every class is held against the bucket's centre, the class
 with the most company over all its buckets. Links confirmed on the full sets give components. In buckets that still
 hold several components, classes leave whose shingles are so often their own that no partner in the bucket can reach the
-threshold; and pairs in buckets of more than LEADERS classes must share a second band to go on: at J = 0.8 fewer than
-two are shared with probability below 2e-6, and classes that only share a common passage part here. In the buckets by pairs of bands, up to LEADERS
-classes at a time from outside the least class's component are held against all others, until each class outside has
-been. So every such pair that isn't connected yet is tested, and the rows per round grow with the bucket, not with its
-square. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
+threshold. For those that stay, a partner shares at most what both share with the centre, and what they share besides:
+few pairs can reach the threshold by the first, and they are found by size; all others have a shingle besides the
+centre's in common and are found by it. So the pairs of a bucket are tested that can be links, and a family of many
+distant copies isn't paired with itself. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
 
 Null or empty text, and text without words: an empty set, linked with nothing. Rows that repeat a doc_id are one
 document with each of their texts. A row without doc_id is kept, with no component. Extra columns are ignored.
@@ -33,10 +32,6 @@ BANDS, ROWS = 32, 4
 PERCENT = 80
 #: Signature rows that must agree before sets are compared. At J = 0.8 fewer of the 128 agree with probability below 2e-6.
 MIN_AGREE = 80
-#: Classes of a bucket that are held against all others in one round, after the first.
-LEADERS = 16
-#: Rounds of leaders before links are confirmed on full sets and components formed anew.
-SUBROUNDS = 4
 #: How often classes without a possible partner are taken out; each time those left have fewer shingles in common.
 PRUNINGS = 3
 #: Ids up to which they are broadcast to find their documents (8 bytes each); beyond, a shuffle join does it.
@@ -175,6 +170,52 @@ def reachable(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return x.select("bucket", "rep", "size", "shared")
 
 
+def besides(group: DataFrame, sets: DataFrame) -> DataFrame:
+    """leader, rep, comp, stray with n (shingles), a (of them the leader's), whole, and fresh: the shingles besides the leader's, or
+    (whole is false) as many of the least as any partner must share one of."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for x, o in zip(f["x"], f["o"], strict=True):
+                mine = np.frombuffer(x, np.uint64)
+                fresh = np.setdiff1d(mine, np.frombuffer(o, np.uint64), assume_unique=True)
+                n, a = len(mine), len(mine) - len(fresh)
+                # a partner has PERCENT of n at least, so PERCENT of n in common, all but a of it besides the leader's
+                must = max(1, -(-PERCENT * n // 100) - a)
+                out.append((n, a, must == 1, fresh[: max(0, len(fresh) - must + 1)].astype(np.int64)))
+            yield f[["leader", "rep", "comp", "stray"]].assign(**{c: [r[k] for r in out] for k, c in enumerate(("n", "a", "whole", "fresh"))})
+
+    x, o = sets.select(F.col("id").alias("ix"), F.col("s").alias("x")), sets.select(F.col("id").alias("io"), F.col("s").alias("o"))
+    met = group.join(x, group["rep"] == x["ix"]).drop("ix")
+    met = met.join(o, met["leader"] == o["io"]).drop("io")
+    return mapped(met, run, "leader long, rep long, comp long, stray boolean, n long, a long, whole boolean, fresh array<bigint>")
+
+
+def partners(beside: DataFrame) -> DataFrame:
+    """Pairs (u, v) of one leader, of different components, that can reach the threshold by what they share with the leader and besides it.
+
+    What a pair shares is at most the lesser a and the shingles both have besides the leader's. If a is enough, the sizes tell, and
+    partners are found by size; else they share a fresh shingle and are found by it. Where both fresh lists are whole, the
+    shared ones are counted.
+    """
+    row = beside.select("leader", "rep", "comp", "stray", "n", "a", "whole")
+    side = lambda d, k: d.select([F.col(c).alias(f"{c}{k}") for c in d.columns])
+    bin_ = lambda c: f"cast(floor(ln({c}) / ln(1.05D)) AS int)"
+    low, high = f"{PERCENT / 100}D * n", f"{1 + 100 / PERCENT}D * a - n"
+    first = side(row.where("stray").withColumn("size", F.expr(f"explode(CASE WHEN {high} >= {low} AND {high} > 0 THEN sequence({bin_(low)}, {bin_(high)}) END)")), 1)
+    second = side(row.withColumn("size", F.expr(bin_("n"))), 2)
+    apart = "rep1 <> rep2 AND comp1 <> comp2"
+    by_size = first.join(second, (first["leader1"] == second["leader2"]) & (first["size1"] == second["size2"])).where(f"{apart} AND {100 + PERCENT} * least(a1, a2) >= {PERCENT} * (n1 + n2)")
+    item = beside.select("leader", "rep", "comp", "stray", "n", "a", "whole", F.explode("fresh").alias("s"))
+    x, y = side(item, 1), side(item, 2)
+    fits = f"rep1 < rep2 AND comp1 <> comp2 AND (stray1 OR stray2) AND {100 + PERCENT} * least(n1, n2) >= {PERCENT} * (n1 + n2)"
+    shared = x.join(y, (x["leader1"] == y["leader2"]) & (x["s1"] == y["s2"])).where(fits)
+    counted = shared.groupBy("leader1", "rep1", "rep2", "n1", "n2", "a1", "a2", "whole1", "whole2").agg(F.count(F.lit(1)).alias("k"))
+    by_shingle = counted.where(f"NOT (whole1 AND whole2) OR {100 + PERCENT} * (least(a1, a2) + k) >= {PERCENT} * (n1 + n2)")
+    return by_size.select(*pair("rep1", "rep2")).union(by_shingle.select(*pair("rep1", "rep2"))).distinct()
+
+
 def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """Component edges (u, v) between class representatives; v is the smallest of the component."""
     rows = bucketed(reps)
@@ -183,6 +224,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     company = rows.groupBy(F.col("rep").alias("r")).agg(F.sum("n").alias("score"))
     scored = rows.join(company, rows["rep"] == company["r"]).select("bucket", "rep", "score")
     centre = scored.groupBy(F.col("bucket").alias("b")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
+    centre = stored(centre, "centres")
     tested = rows.join(centre, rows["bucket"] == centre["b"]).where("rep <> leader").select(*pair("rep", "leader")).distinct()
     near = stored(agreeing(tested, reps), "near-pairs")
     links = confirmed(near, docs, size)
@@ -197,41 +239,15 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         new = stored(open_rows(reachable(left, sets), edges), "open-buckets")
         discard(left)
         left = new
-    # buckets of few classes take one round as they are; the rows of the others are dealt anew by pairs of bands
-    large = left.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where(f"n > {LEADERS}").select("b")
-    many = left.join(large, left["bucket"] == large["b"], "left_semi")
-    few = left.join(large, left["bucket"] == large["b"], "left_anti").select("bucket", "rep", "size", "shared")
-    other = many.select(F.col("bucket").alias("b2"), F.col("rep").alias("r2"))
-    both = many.join(other, (many["rep"] == other["r2"]) & (many["bucket"] < other["b2"]))
-    left = few.union(both.select(F.xxhash64("bucket", "b2").alias("bucket"), "rep", "size", "shared"))
-    while True:
-        state = stored(open_rows(left, edges), "open-buckets")
-        if not state.limit(1).count():
-            return edges
-        # of each bucket, up to LEADERS classes that aren't of the component of its least class, dealt by hash
-        near = None
-        for _ in range(SUBROUNDS):
-            main = state.groupBy(F.col("bucket").alias("mb")).agg(F.min("comp").alias("main"))
-            slot = F.expr(f"pmod(xxhash64(rep), {LEADERS})")
-            stray = state.join(main, state["bucket"] == main["mb"]).where("comp <> main")
-            pick = F.expr("min_by(struct(rep AS pick, comp AS pcomp, size AS psize, shared AS pshared), rep)").alias("p")
-            picked = stored(stray.groupBy(F.col("bucket").alias("b"), slot.alias("slot")).agg(pick).select("b", "p.*"), "leaders")
-            if not picked.limit(1).count():
-                break
-            may = f"rep <> pick AND comp <> pcomp AND 100 * least(shared, pshared) >= {PERCENT} * (size + psize - least(shared, pshared))"
-            tested = state.join(picked, state["bucket"] == picked["b"]).where(may).select(*pair("rep", "pick")).distinct()
-            found = stored(agreeing(tested, reps), "near-pairs")
-            near = found if near is None else near.union(found)
-            done = picked.select(F.col("b").alias("db"), F.col("pick").alias("dp"))
-            new = stored(state.join(done, (state["bucket"] == done["db"]) & (state["rep"] == done["dp"]), "left_anti"), "open-buckets")
-            discard(state)
-            discard(picked)
-            state = new
-        left = state.select("bucket", "rep", "size", "shared")
-        if near is not None:
-            near = stored(near.distinct(), "near-pairs")
-            if near.limit(1).count():
-                edges = components(confirmed(near, docs, size).union(edges).distinct())
+    group = left.join(centre, left["bucket"] == centre["b"]).where("rep <> leader").select("leader", "rep", "comp").distinct()
+    of = edges.select(F.col("u").alias("node"), F.col("v").alias("lcomp"))
+    group = group.join(of, group["leader"] == of["node"], "left").select("leader", "rep", "comp", (F.col("comp") != F.coalesce("lcomp", "leader")).alias("stray"))
+    beside = stored(besides(group, sets), "beside-centres")
+    near = stored(agreeing(partners(beside), reps), "near-pairs")
+    discard(beside)
+    if near.limit(1).count():
+        edges = components(confirmed(near, docs, size).union(edges).distinct())
+    return edges
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:

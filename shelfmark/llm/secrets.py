@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfmark.llm.common import documents, mapped
 
@@ -86,7 +86,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> RandomnessModel:
     """Fits both models on the driver from at most sample_docs documents (whole texts of up to 20,000 characters)."""
     rng = random.Random(SEED)
     drawn = ["".join(rng.choices(a, k=rng.randrange(20, 64))) for a in ALPHABETS for _ in range(SAMPLE_RANDOM // len(ALPHABETS))]
-    rows = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("length(text) BETWEEN 1 AND 20000").orderBy("doc_id").limit(sample_docs).select("text").collect()
+    some = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL AND length(text) BETWEEN 1 AND 20000")
+    ids = some.select(F.col("doc_id").alias("_id")).distinct().orderBy("_id").limit(sample_docs)
+    rows = some.join(F.broadcast(ids), some["doc_id"] == ids["_id"]).groupBy("doc_id").agg(F.max("text").alias("text")).select("text").collect()
     words = sorted({w for (text,) in rows if not base_spans(text) for w in re.findall(r"[A-Za-z0-9]{3,}", text)} | {"the", "and", "value", "name"})
     rng.shuffle(words)
     words = words[:50_000]

@@ -130,7 +130,7 @@ def fit(texts: list[str], labels: list[int]) -> NoisyOr:
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> NoisyOr:
     """Fits on the driver from at most `most` labelled documents outside the held-out fold."""
     chosen = sample_labels(labels, "toxic", FOLDS, HELD_OUT, most)
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).where(f"length(text) <= {MAX_CHARS}").select("_id", docs["text"].cast("string").alias("text"), "y").collect()
+    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).where(f"length(text) <= {MAX_CHARS}").groupBy("_id", "y").agg(F.max(docs["text"].cast("string")).alias("text")).select("_id", "text", "y").collect()
     rows.sort(key=lambda r: (r[0], r[1] or ""))
     return fit([r[1] for r in rows], [r[2] for r in rows])
 
