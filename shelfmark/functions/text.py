@@ -51,7 +51,7 @@ def repair_homoglyphs(c: Column) -> Column:
     """Latin look-alikes become Cyrillic within tokens that mix both alphabets. c is lower case."""
     runs = F.regexp_extract_all(c, F.lit(r"([a-zа-я0-9-]+|[^a-zа-я0-9-]+)"), F.lit(1))
     fixed = F.transform(runs, lambda t: F.when(t.rlike("[a-z]") & t.rlike("[а-я]"), F.translate(t, LATIN_LOOKALIKES, CYRILLIC_LOOKALIKES)).otherwise(t))
-    return F.array_join(fixed, "")
+    return F.when(c.rlike("[a-z]") & c.rlike("[а-я]"), F.array_join(fixed, "")).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
