@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import daemon_cli
 from shelfmark.operators import dimensions, history, identity, migration, outbox
 from shelfmark.operators.store import Conflict, Store, with_retries
-from shelfmark.plans import catalogue
+from shelfmark.plans import catalogue, library
 from shelfmark.schemas import SOURCE, validate_money
 from shelfmark.sources import receiver
 from shelfmark.streaming import sync
@@ -100,7 +100,8 @@ def test_sync_end_to_end(spark, tmp_path):
     assert store.table("projection").count() == 3 and store.table("snapshots").count() == 3
     assert store.table("identity_map").select("canonical").distinct().count() == 1
     assert store.table("images").count() == 1 and store.table("assets").count() == 3
-    assert store.table("geo_points").count() == 1
+    assert store.table("geo_points").count() == 1 and store.table("settlements").count() == 1 and store.table("sources").count() == 3
+    assert {r.uid: r.title for r in store.table("categories").collect()} == {"c1": "Сладости", "c2": None}
     r = store.table("projection").first()
     assert (r.brand, r.unit) == ("With Love", "PCE")
     # a second run finds nothing
@@ -129,6 +130,15 @@ def test_receiver_records(spark, tmp_path):
         receiver.tables(spark, str(tmp_path / "bad.db"))
 
 
+def test_library_process(spark, tmp_path):
+    receiver_file(str(tmp_path / "r.sqlite"))
+    raw = receiver.records(receiver.tables(spark, str(tmp_path / "r.sqlite")), 100)
+    raw = raw.withColumn("composition", F.when(F.col("sku") == "sku-0", "сахар"))
+    out = library.process(raw, ["observed_at", "product_id"]).collect()
+    assert len(out) == 3 and len({r.canonical_product_id for r in out}) == 1
+    assert all(r.composition == "сахар" and r.image_urls == ["http://h/images/a.webp"] and r.duplicate_image_urls == [] and len(r.image_fingerprints) == 1 for r in out)
+
+
 def test_store_conflict_and_retries(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/s")
     base, one = store.manifest(), spark.range(1)
