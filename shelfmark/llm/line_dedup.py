@@ -27,7 +27,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import bounded, documents, mapped, stored
+from shelfmark.llm.common import bounded, discard, documents, mapped, stored
 
 #: Edits within which lines count as copies, and the length from which lines take part.
 THRESHOLD, MIN_CHARS = 1, 30
@@ -215,9 +215,13 @@ def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     pairs = stored(candidates(classes, docs, threshold, min_chars), "line-pairs")
     met = pairs.select(F.explode(F.array(F.struct(F.col("a1").alias("x1"), F.col("a2").alias("x2")), F.struct(F.col("b1").alias("x1"), F.col("b2").alias("x2")))).alias("x")).select("x.*").distinct()
     lines = lines_of(classes, met, docs, min_chars)
-    copies = verified(pairs, stored(lines, "lines"), threshold)
+    lines = stored(lines, "lines")
+    copies = verified(pairs, lines, threshold)
     stay = classes.select("h1", "h2", "first.doc_id", "first.mark", "first.line_no").join(copies.select(F.col("h1").alias("c1"), F.col("h2").alias("c2")), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left_anti")
-    return stay.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
+    kept = stored(stay.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("line_no")).alias("kept")), "kept-lines")
+    for done in (classes, pairs, lines):
+        discard(done)
+    return kept
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -230,8 +230,10 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     links = confirmed(near, docs, size)
     discard(near)
     edges = components(links)
+    discard(links)
     # what the centres left apart
     left = stored(open_rows(rows.select("bucket", "rep"), edges).select("bucket", "rep"), "open-buckets")
+    discard(rows)
     if not left.limit(1).count():
         return edges
     sets = shingle_sets(docs, left.select(F.col("rep").alias("i")).distinct(), size)
@@ -244,9 +246,11 @@ def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     group = group.join(of, group["leader"] == of["node"], "left").select("leader", "rep", "comp", (F.col("comp") != F.coalesce("lcomp", "leader")).alias("stray"))
     beside = stored(besides(group, sets), "beside-centres")
     near = stored(agreeing(partners(beside), reps), "near-pairs")
-    discard(beside)
+    for done in (beside, sets, left, centre):
+        discard(done)
     if near.limit(1).count():
         edges = components(confirmed(near, docs, size).union(edges).distinct())
+    discard(near)
     return edges
 
 
@@ -259,10 +263,14 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     reps = real.join(heads, (real["doc_id"] == heads["rep"]) & (real["digest"] == heads["d"])).select("rep", "sig").distinct()
     reps = stored(reps, "representatives")
     edges = linked(reps, docs, size)
+    discard(reps)
     top = heads.join(edges, heads["rep"] == edges["u"], "left").select("d", F.coalesce("v", "rep").alias("component"))
     out = sig.select("doc_id", "n_shingles", "digest").join(top, F.col("digest") == top["d"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    out = stored(out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")), "near-duplicates")
+    for done in (sig, classes, edges):
+        discard(done)
+    return out
 
 
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
