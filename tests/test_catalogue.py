@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import http.server
 import sqlite3
+import threading
 
 import duckdb
 import pandas as pd
@@ -181,6 +183,27 @@ def test_outbox_cycle(spark):
     assert outbox.eligible(q, "2026-01-01 00:00:01").count() == 0 and outbox.eligible(q, "2026-01-01 00:00:02").count() == 1
 
 
+def test_http_delete():
+    seen = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_DELETE(self):  # noqa: N802
+            seen.append((self.path, self.headers["Authorization"]))
+            self.send_response(404 if "gone" in self.path else 500 if "bad" in self.path else 204)
+            self.end_headers()
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}/"
+    assert [outbox.delete(base, "key", n) for n in ("a.webp", "gone.webp", "bad.webp")] == [True, True, False]
+    server.shutdown()
+    assert seen[0] == ("/api/images/a.webp", "Bearer key")
+    assert not outbox.delete("http://127.0.0.1:1", "key", "a.webp", 0.2)
+
+
 def test_migration_defaults(spark):
     old = spark.sql("SELECT 7L AS id, timestamp '2026-01-01' AS observed_at, 1.23456D AS price")
     r = migration.from_single(old).first()
