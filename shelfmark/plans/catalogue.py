@@ -155,7 +155,7 @@ def identity_components(spark, d):
 def identity_resolve(spark, d):
     """The exact fold in order of arrival; its ids depend on the order, so tests hold it against a plain loop."""
     p = table(spark, d, "part").select(F.col("p_brand").alias("parser_name"), F.col("p_partkey").alias("seq"), F.expr("CASE WHEN p_partkey % 4 = 0 THEN 'p' || (p_partkey DIV 200) END").alias("plu"), F.expr("'s' || (p_partkey DIV 100)").alias("sku"), F.expr("'r:' || p_partkey").alias("source_id"), F.col("p_name").alias("normalized_name"))
-    return identity.resolve(p, ["seq"]).select(F.col("seq").alias("p_partkey"), "parser_name", "canonical_product_id")
+    return identity.resolve(p, ["seq"], by_component=True).select(F.col("seq").alias("p_partkey"), "parser_name", "canonical_product_id")
 
 
 @query("""WITH u AS (SELECT page_id, 0 AS pos, url FROM pages UNION ALL SELECT page_id, 1, regexp_replace(url, '[?#].*$', '') FROM pages)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import http.server
+import random
 import sqlite3
 import threading
 
@@ -57,6 +58,16 @@ def test_identity_fold_equals_loop(spark):
         assert same(got) == same(want)
 
 
+def test_identity_fold_by_component_is_the_same(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("pq"), k, rng.choice([None, "1", "2", "3"]), rng.choice([None, "a", "b", " "]), f"r{k % 23}", rng.choice([None, "x", "y"]) if k % 5 == 0 else None) for k in range(60)]
+    d = spark.createDataFrame(rows, "parser_name string, seq int, plu string, sku string, source_id string, normalized_name string")
+    known = spark.createDataFrame([("p", "plu", "2", "old-1"), ("p", "source_id", "r5", "old-2"), ("q", "sku", "a", "old-3"), ("q", "sku", "never", "old-4")], "parser_name string, kind string, value string, canonical string")
+    for k in (None, known):
+        a, b = ({r.seq: r.canonical_product_id for r in identity.resolve(d, ["seq"], k, by_component=c).collect()} for c in (False, True))
+        assert a == b and len(a) == 60
+
+
 def test_components_chain(spark):
     rows = [(k, f"p{k // 2}", f"s{(k + 1) // 2}", None, None) for k in range(40)] + [(99, None, " ", None, None)]
     got = {r.i: r.canonical for r in identity.components(spark.createDataFrame(rows, "i int, plu string, sku string, source_id string, normalized_name string"), "i").collect()}
