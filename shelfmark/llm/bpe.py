@@ -28,8 +28,9 @@ from shelfmark.llm.common import documents, mapped
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces and pairs that a worker remembers at most; beyond that its memory starts anew. Results don't depend on it.
-MAX_PIECES, MAX_PAIRS = 250_000, 200_000
+#: Pieces and pairs that a worker remembers at most; beyond that its memory starts anew. Results don't depend on it. A
+#: piece takes about 230 bytes, a pair 100; the query alone has room for more than a stage among others.
+MAX_PIECES, MAX_PAIRS, ALONE = 250_000, 250_000, 700_000
 #: Longer pieces aren't remembered.
 MAX_REMEMBERED = 64
 #: Bytes up to which a piece is merged by scanning; the rank of a pair that doesn't merge.
@@ -46,9 +47,10 @@ def byte_characters() -> dict[str, int]:
 class BytePairCodec:
     """Encoder and decoder for one vocabulary file of the tokenizers library (byte-level BPE)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MAX_PIECES):
         import regex
 
+        self.most = most
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         plain = byte_characters()
@@ -131,7 +133,7 @@ class BytePairCodec:
         owner = np.repeat(np.arange(len(guess)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1]) if len(flat) else np.empty(0, np.int64)
         distinct, which = np.unique(flat[inner] << 20 | flat[inner + 1], return_inverse=True)
-        if len(self.fits) > MAX_PAIRS:
+        if len(self.fits) > max(MAX_PAIRS, self.most):
             self.fits.clear()
         ok = np.fromiter((self.compatible(int(c)) for c in distinct), bool, len(distinct))
         bad = np.zeros(len(guess), bool)
@@ -167,7 +169,7 @@ class BytePairCodec:
                 pieces = self.split(part)
                 known = self.known
                 if new := set(pieces).difference(known):
-                    if len(known) + len(new) > MAX_PIECES:
+                    if len(known) + len(new) > self.most:
                         known.clear()
                         new = set(pieces)
                     learnt = self.learn(new)
@@ -190,8 +192,8 @@ class BytePairCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> BytePairCodec:
-    return BytePairCodec(path)
+def codec(path: str, most: int = MAX_PIECES) -> BytePairCodec:
+    return BytePairCodec(path, most)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -227,11 +229,11 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """DIGEST of every row: each text is encoded, decoded and hashed in the task that reads it."""
+def digests(docs: DataFrame, path: str, most: int = MAX_PIECES) -> DataFrame:
+    """DIGEST of every row: each text is encoded, decoded and hashed in the task that reads it. most: pieces a worker remembers."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = codec(path)
+        c = codec(path, most)
         for f in frames:
             counts, hashes, backs = [], [], []
             for ids in c.encode_batch(f["text"].fillna("").tolist()):
@@ -245,4 +247,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns for every document."""
-    return digests(documents(spark, sf_dir), vocabulary_path())
+    return digests(documents(spark, sf_dir), vocabulary_path(), ALONE)
