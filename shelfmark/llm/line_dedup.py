@@ -35,6 +35,8 @@ THRESHOLD, MIN_CHARS = 1, 30
 HOT = 32
 #: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_DOCS = 500_000
+#: Line numbers to stay that may be broadcast with their documents' keys (4 bytes each); beyond, texts are joined by a shuffle.
+MAX_BROADCAST_LINES = 4_000_000
 _TRIM = " \t\r\x0b\x0c"
 _ONES = (1 << 64) - 1
 
@@ -227,6 +229,9 @@ def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with the copies of lines removed from text; other columns and null texts as they are."""
     kept = kept_lines(docs, threshold, min_chars).select(F.col("doc_id").alias("_kd"), F.col("mark").alias("_km"), F.col("kept").alias("_kept"))
+    size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("_kept")), F.lit(0)).alias("numbers")).first()
+    if size["rows"] <= MAX_BROADCAST_DOCS and size["numbers"] <= MAX_BROADCAST_LINES:
+        kept = F.broadcast(kept)
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_t"))
     rows = rows.withColumn("_mark", mark(F.coalesce("_t", F.lit(""))))
     met = rows.join(kept, rows["_id"].eqNullSafe(kept["_kd"]) & (rows["_mark"] == kept["_km"]), "left").select("_row", "_t", "_kept")

@@ -84,7 +84,12 @@ class NoisyOr(dict):
 
 def fit(texts: list[str], labels: list[int]) -> NoisyOr:
     y = np.asarray(labels, float)
-    bags = [[{x for w in s for x in features(w)} for s in sentence_words(t)] for t in texts]
+    memo: dict[str, list[str]] = {}  # equal features are one object: the sample's bags hold references
+    same: dict[str, str] = {}
+    for t in texts:
+        for w in set().union(*sentence_words(t)) - memo.keys():
+            memo[w] = [same.setdefault(x, x) for x in features(w)]
+    bags = [[{x for w in s for x in memo[w]} for s in sentence_words(t)] for t in texts]
     prior = float(np.clip(y.mean() if len(y) else 0.1, 0.01, 0.99))
     mean_sentences = max(1.0, float(np.mean([len(b) for b in bags])) if bags else 1.0)
     bias = float(np.log(np.expm1(-np.log1p(-prior) / mean_sentences)))
