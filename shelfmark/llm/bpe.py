@@ -12,6 +12,7 @@ these tokens, as in the tokenizers library. Equal rows give equal results; extra
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
@@ -241,6 +242,10 @@ def digests(docs: DataFrame, path: str, most: int = MAX_PIECES) -> DataFrame:
                 hashes.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 backs.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": backs})
+        if most <= MAX_PIECES:  # a stage among others: the worker goes on to them and gives the memory back
+            del c
+            codec.cache_clear()
+            gc.collect()
 
     return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, DIGEST)
 
