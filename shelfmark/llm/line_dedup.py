@@ -2,16 +2,19 @@
 
 Lines of MIN_CHARS or more characters (trimmed of ASCII white space) take part. Equal lines are one class, known by a
 128-bit hash; its first occurrence is the least (doc_id, text hash, line number). A line's occurrence is dropped unless
-it is the first of its class and no line of another class within `threshold` edits has an earlier first occurrence.
-Shorter lines always stay, as headings and list marks repeat for good reason.
-
-Similar classes are found as follows. A line of length l is cut into threshold + 1 even segments; an edit distance up to
-the threshold leaves one of them whole. Every line's segments are indexed by (l, segment number, content); a line of
-length L probes the indexes of lengths L - threshold to L with the few substrings whose shift the multi-match-aware rule
-allows. Keys are hashes made where the line is read, so line texts aren't shuffled. A segment that more than HOT lines
-share isn't joined: what remains of these lines besides it must be within the threshold as well, so it is cut into
-segments in turn and the lines are dealt by both segments, and so on until few lines share a key or so little remains
-that only as many different lines can exist as the alphabet allows. The texts of candidates alone are read again, and
+it is the first of its class and no line of another class that is similar has an earlier first occurrence. Two lines are
+similar within one edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most, or within a fixed
+`threshold`. Shorter lines always stay, as headings and list marks repeat for good reason.
+
+Similar classes are found as follows. Lengths are parted into bands of one threshold t each; a line also belongs to the
+band below its own if it can be similar to a line there. In a band whose least length is lo, a line has t + 1 segments of
+lo DIV (t + 1) characters, the first half counted from its start and the others from its end. Up to t edits leave one of
+them whole that has exactly as many edits before it as segments, so that segment i is found in the other line shifted by
+min(i, t - i) at most: about t * t / 2 keys a line. Keys are hashes made where the line is read, so line texts aren't
+shuffled; a line is its class's first 64 bits in them. A segment that more than HOT lines share isn't joined. Its lines
+are compared with the earliest of them, which settles those that are similar to it; where more than HOT stay open, what
+remains of the lines besides the segment must be within t as well, so it is cut into segments in turn and the lines are
+dealt by both, and so on. Pairs of which neither is open aren't made. The texts of candidates alone are read again, and
 each pair is verified with a banded bit-parallel edit distance.
 
 Null and empty texts have no long line and stay as they are. A null doc_id sorts first and its rows are treated alike.
@@ -21,6 +24,7 @@ that come in the order of their text's hash. Extra columns pass through dedup_li
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,8 +33,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.llm.common import bounded, discard, documents, mapped, stored
 
-#: Edits within which lines count as copies, and the length from which lines take part.
-THRESHOLD, MIN_CHARS = 1, 30
+#: Lines count as copies within an edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most.
+EDIT_EACH, MAX_EDITS = 10, 6
+#: The length from which lines take part.
+MIN_CHARS = 30
+#: Bands are a third wider than their least length up to here; the last is open.
+LAST_BAND = 4096
 #: Lines that may share a segment before they are dealt by a further one.
 HOT = 32
 #: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
@@ -41,32 +49,62 @@ _TRIM = " \t\r\x0b\x0c"
 _ONES = (1 << 64) - 1
 
 
-def segment(length: str, i: int, parts: int) -> tuple[str, str]:
-    """SQL for start (from 0) and size of segment i of a line of `length` characters; the last length % parts segments are one longer."""
-    return f"({i} * ({length} DIV {parts}) + greatest(0, {i} - {parts} + ({length} % {parts})))", f"(({length} DIV {parts}) + CASE WHEN {i} >= {parts} - ({length} % {parts}) THEN 1 ELSE 0 END)"
+def edits_of(n: int, threshold: int | None) -> int:
+    """Edits within which two lines are similar if the shorter one has n characters."""
+    return min(n // EDIT_EACH, MAX_EDITS) if threshold is None else threshold
 
 
-def probes(threshold: int) -> list[tuple[int, int, int]]:
-    """(shorter by, segment, shift): which substrings of a line can equal a segment of a line that is so much shorter."""
-    parts = threshold + 1
-    return [(less, i, s) for less in range(threshold + 1) for i in range(parts) for s in range(-threshold, 2 * threshold + 1) if -i <= s <= i and less - (threshold - i) <= s <= less + (threshold - i)]
+def bands(threshold: int | None, min_chars: int) -> list[tuple[int, int]]:
+    """(least length, edits) of each band of lengths, ascending."""
+    out, lo = [], min_chars
+    while not out or lo < LAST_BAND:
+        t = edits_of(lo, threshold)
+        if lo <= t:
+            raise ValueError("lines must be longer than the threshold")
+        out.append((lo, t))
+        wide = lo + max(t + 1, lo // 3)
+        lo = min(wide, (t + 1) * EDIT_EACH) if threshold is None and t < MAX_EDITS else wide
+    return out
 
 
-def segment_keys(line: str, length: str, threshold: int) -> str:
-    """SQL for an array of the line's index keys (threshold + 1 of them) followed by its probe keys; null for substrings outside the line."""
+def kinds(t: int) -> list[tuple[int, int]]:
+    """(segment, shift) of a line's keys in a band of t edits; the first t + 1 are its own segments."""
+    return [(i, 0) for i in range(t + 1)] + [(i, s) for i in range(t + 1) for s in range(-min(i, t - i), min(i, t - i) + 1) if s]
 
-    def key(less: int, i: int, shift: int) -> str:
-        start, size = segment(f"({length} - {less})", i, threshold + 1)
-        return f"CASE WHEN {start} + {shift} >= 0 AND {start} + {shift} + {size} <= {length} THEN xxhash64({length} - {less}, {i}, substring({line}, {start} + {shift} + 1, {size})) END"
 
-    own = [(0, i, 0) for i in range(threshold + 1)]
-    return "array(" + ", ".join(key(*p) for p in own + [p for p in probes(threshold) if p not in own]) + ")"
+def segment_keys(line: str, length: str, lo: str, t: str, edits: list[int]) -> str:
+    """SQL for an array of the line's keys in a band; edits has all values that t may take."""
+
+    def key(i: int, shift: int, most: int) -> str:
+        size = f"({lo} DIV {most + 1})"
+        start = f"{i} * {size} + {shift}" if 2 * i <= most else f"{length} - {most - i + 1} * {size} + {shift}"
+        return f"xxhash64({lo}, {i}, substring({line}, {start} + 1, {size}))"
+
+    return f"CASE {t} " + " ".join(f"WHEN {most} THEN array(" + ", ".join(key(i, shift, most) for i, shift in kinds(most)) + ")" for most in edits) + " END"
+
+
+def at(values: list[int], place: str) -> str:
+    """SQL for the value at a place from 0."""
+    return f"element_at(array({', '.join(map(str, values))}), CAST({place} AS INT) + 1)"
 
 
 def mark(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def settled_on_disk(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+    """stored(df), after which the tables done go, and the shuffle files that the driver's garbage still holds."""
+    out = stored(df, name)
+    for x in done:
+        discard(x)
+    jvm = df.sparkSession._jvm
+    del df
+    for _ in range(2):  # Python's references to plans hold the driver's
+        gc.collect()
+        jvm.System.gc()
+    return out
+
+
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, mark, line_no (from 0) and the trimmed line, for every long line."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -74,24 +112,27 @@ def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     return d.select("doc_id", "mark", "line_no", F.btrim("raw", F.lit(_TRIM)).alias("line")).where(F.length("line") >= min_chars)
 
 
-def line_classes(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """h1, h2, first (doc_id, mark, line_no, keys): a row per class."""
+def line_classes(docs: DataFrame, threshold: int | None, min_chars: int) -> DataFrame:
+    """h1, h2, first (doc_id, mark, line_no, b, keys): a row per class, with its band's number and its keys there and in the band below."""
+    all_bands = bands(threshold, min_chars)
+    lows, most, edits = [lo for lo, _ in all_bands], [t for _, t in all_bands], sorted({t for _, t in all_bands})
     o = occurrences(docs, min_chars).withColumn("n", F.length("line"))
-    keyed = o.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), F.struct("doc_id", "mark", "line_no", F.expr(segment_keys("line", "n", threshold)).alias("keys")).alias("first"))
+    o = o.withColumn("b", F.expr("CASE " + " ".join(f"WHEN n >= {lo} THEN {k}" for k, lo in reversed(list(enumerate(lows)))) + " END"))
+    o = o.select("*", F.expr(at(lows, "b")).alias("lo"), F.expr(at(most, "b")).alias("t"), F.expr(at([lows[0], *lows], "b")).alias("lo0"), F.expr(at([most[0], *most], "b")).alias("t0"))
+    keys = f"concat({segment_keys('line', 'n', 'lo', 't', edits)}, CASE WHEN b > 0 AND n < lo + t0 THEN {segment_keys('line', 'n', 'lo0', 't0', edits)} ELSE CAST(array() AS array<bigint>) END)"
+    keyed = o.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), F.struct("doc_id", "mark", "line_no", "b", F.expr(keys).alias("keys")).alias("first"))
     return keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
 def pairs_of(index: DataFrame, probe: DataFrame) -> DataFrame:
-    """Pairs of classes (a1, a2, b1, b2) that meet in a key k; the class a is less than b."""
-    i, p = index.select(F.col("k").alias("ki"), F.col("h1").alias("i1"), F.col("h2").alias("i2")), probe.select(F.col("k").alias("kp"), F.col("h1").alias("p1"), F.col("h2").alias("p2"))
-    met = i.join(p, (i["ki"] == p["kp"]) & ((i["i1"] != p["p1"]) | (i["i2"] != p["p2"])))
-    low = "i1 < p1 OR (i1 = p1 AND i2 < p2)"
-    pick = lambda a, b: F.expr(f"CASE WHEN {low} THEN {a} ELSE {b} END")
-    return met.select(pick("i1", "p1").alias("a1"), pick("i2", "p2").alias("a2"), pick("p1", "i1").alias("b1"), pick("p2", "i2").alias("b2")).distinct()
+    """Pairs of classes (a1, b1) that meet in a key k; a1 is less than b1."""
+    i, p = index.select(F.col("k").alias("ki"), F.col("h1").alias("i1")), probe.select(F.col("k").alias("kp"), F.col("h1").alias("p1"))
+    met = i.join(p, (i["ki"] == p["kp"]) & (i["i1"] != p["p1"]))
+    return met.select(F.least("i1", "p1").alias("a1"), F.greatest("i1", "p1").alias("b1")).distinct()
 
 
 def hot_keys(index: DataFrame) -> DataFrame:
-    return stored(index.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select(F.col("k").alias("hk")), "hot-segments")
+    return settled_on_disk(index.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select(F.col("k").alias("hk")), "hot-segments")
 
 
 def parted(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,50 +141,65 @@ def parted(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.join(hot, rows["k"] == hot["hk"], "left_anti"), rows.join(hot, rows["k"] == hot["hk"], "left_semi")
 
 
-def rest_of(line: str, length: str, less: int, i: int, shift: int, parts: int) -> str:
-    """SQL for a struct of a substring of the line, as in segment_keys, and what remains without it."""
-    start, size = segment(f"({length} - {less})", i, parts)
-    at = f"({start} + {shift})"
-    ok = f"{at} >= 0 AND {at} + {size} <= {length}"
-    return f"CASE WHEN {ok} THEN struct({i} AS i, substring({line}, {at} + 1, {size}) AS seg, concat(substring({line}, 1, {at}), substring({line}, {at} + {size} + 1)) AS rest) END"
+def without_segment(rows: DataFrame, edits: list[int]) -> DataFrame:
+    """rows (line, lo, t, kind: a number in kinds(t)) with seg, that segment of the line, and rest, the line without it."""
+    of = lambda part: "CASE t " + " ".join(f"WHEN {t} THEN {at([x[part] for x in kinds(t)], 'kind')}" for t in edits) + " END"
+    rows = rows.select("*", F.expr(of(0)).alias("i"), F.expr(of(1)).alias("shift"), F.expr("CAST(lo DIV (t + 1) AS INT)").alias("size"))
+    rows = rows.withColumn("start", F.expr("CASE WHEN 2 * i <= t THEN i * size + shift ELSE length(line) - (t - i + 1) * size + shift END"))
+    return rows.select("*", F.expr("substring(line, start + 1, size)").alias("seg"), F.expr("concat(substring(line, 1, start), substring(line, start + size + 1))").alias("rest"))
 
 
-def candidates(classes: DataFrame, docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """Distinct pairs of classes (a1, a2, b1, b2) that share as many segments as it takes; the class a is less than b."""
-    own = threshold + 1
-    kinds = [(0, i, 0) for i in range(own)]
-    kinds += [p for p in probes(threshold) if p not in kinds]
-    rows = classes.select(F.posexplode("first.keys").alias("p", "k"), "h1", "h2").where("k IS NOT NULL")
-    index, probe = rows.where(f"p < {own}"), rows
-    hot = hot_keys(index)
+def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs of classes (a1, b1) that share as many segments as it takes, a1 less than b1; and the classes (h1, h2) that are settled as copies already."""
+    all_bands = bands(threshold, min_chars)
+    lows, most, edits = [lo for lo, _ in all_bands], [t for _, t in all_bands], sorted({t for _, t in all_bands})
+    count = at([len(kinds(t)) for t in most], "b")
+    rows = classes.select(F.posexplode("first.keys").alias("p", "k"), "h1", F.col("first.b").alias("b"))
+    rows = rows.select("k", "h1", F.expr(f"CASE WHEN p < {count} THEN b ELSE b - 1 END").alias("b"), F.expr(f"CASE WHEN p < {count} THEN p ELSE p - {count} END").alias("kind"))
+    own = f"kind <= {at(most, 'b')}"
+    hot = hot_keys(rows.where(own))
     if not hot.limit(1).count():
-        return pairs_of(index, probe)
-    (cold_i, hot_i), (cold_p, hot_p) = parted(index, hot), parted(probe, hot)
-    found = [pairs_of(cold_i, cold_p)]
-    some = hot_p.select(F.col("h1").alias("x1"), F.col("h2").alias("x2")).distinct()
-    lines = stored(lines_of(classes, some, docs, min_chars).select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), "line"), "hot-lines")
-    rest = "CASE p " + " ".join(f"WHEN {p} THEN {rest_of('line', 'length(line)', *kind, own)}.rest" for p, kind in enumerate(kinds)) + " END"
-    less = "element_at(array(" + ", ".join(str(kind[0]) for kind in kinds) + "), p + 1)"
-    with_line = lambda x: x.join(lines, (x["h1"] == lines["l1"]) & (x["h2"] == lines["l2"])).select("k", "h1", "h2", F.expr(rest).alias("rest"), F.expr(less).alias("less"))
-    index, probe = with_line(hot_i), with_line(hot_p)
+        return pairs_of(rows.where(own), rows), None
+    cold, rows = parted(rows, hot)
+    found, settled = [settled_on_disk(pairs_of(cold.where(own), cold), "line-pairs")], []
+    rows = hot_rows = stored(rows.select("k", "h1", F.expr(at(lows, "b")).alias("lo"), F.expr(at(most, "b")).alias("t"), "kind"), "hot-rows")
+    lines = settled_on_disk(lines_of(classes, rows.select(F.col("h1").alias("x1")).distinct(), docs, min_chars), "hot-lines", hot)
+    named = lines.select(F.col("h1").alias("l1"), "place", "line")
+    rows = without_segment(rows.join(named, rows["h1"] == named["l1"]), edits).withColumn("own", F.expr("kind <= t"))
+    # what remains is dealt by its length more finely than the bands
+    step = "(2 * (t + 1))"
+    rows = rows.withColumn("lo", F.expr(f"length(rest) DIV {step} * {step}"))
+    rows = rows.withColumn("lo", F.explode(F.expr(f"CASE WHEN length(rest) - lo < t AND lo >= {step} THEN array(lo, lo - {step}) ELSE array(lo) END")))
+    rows = rows.select(F.expr("xxhash64(k, lo)").alias("k"), "h1", "place", F.col("rest").alias("line"), F.expr("CAST(lo AS INT)").alias("lo"), "t", "own")
+    before = [hot_rows]
     while True:
-        # little remains: as many different lines as the alphabet allows
-        index, probe = stored(index, "hot-index"), stored(probe, "hot-probes")
-        short = f"length(rest) - less <= {2 * threshold}"
-        found.append(pairs_of(index.where(short), probe.where(short)))
-        index, probe = index.where(f"NOT ({short})"), probe.where(f"NOT ({short})")
-        deeper = lambda x, which: x.select("k", "h1", "h2", "less", F.explode(F.expr("filter(array(" + ", ".join(f"CASE WHEN less = {kind[0]} THEN {rest_of('rest', 'length(rest)', *kind, own)} END" for kind in which) + "), x -> x IS NOT NULL)")).alias("x")).select(F.expr("xxhash64(k, x.i, x.seg)").alias("k"), "h1", "h2", F.col("x.rest").alias("rest"), "less")
-        index, probe = stored(deeper(index, kinds[:own]).distinct(), "hot-index"), stored(deeper(probe, sorted(probes(threshold))).distinct(), "hot-probes")
-        hot = hot_keys(index)
-        (cold_i, index), (cold_p, probe) = parted(index, hot), parted(probe, hot)
-        found.append(pairs_of(cold_i, cold_p))
-        if not hot.limit(1).count():
-            return reduce(DataFrame.union, found).distinct()
+        rows = settled_on_disk(rows, "hot-rows", *before)
+        sizes = rows.groupBy("k").agg(F.sum(F.col("own").cast("long")).alias("owners"), F.min(F.when(F.col("own"), F.struct("place", "h1"))).alias("centre")).where(f"owners > {HOT}")
+        sizes = stored(sizes.select(F.col("k").alias("hk"), F.col("centre.h1").alias("c1")), "hot-centres")
+        centres = bounded(sizes, MAX_BROADCAST_DOCS)
+        met = rows.join(centres, rows["k"] == centres["hk"]).where("h1 != c1").select(F.least("h1", "c1").alias("a1"), F.greatest("h1", "c1").alias("b1")).distinct()
+        settled.append(stored(verified(met, lines, threshold), "hot-copies"))
+        done = reduce(DataFrame.union, settled).select(F.col("h1").alias("d1")).distinct()
+        marked = rows.join(done, rows["h1"] == done["d1"], "left").withColumn("open", F.col("d1").isNull()).drop("d1")
+        marked = settled_on_disk(marked, "hot-marked", rows, sizes)
+        busy = marked.groupBy("k").agg(F.sum(F.col("own").cast("long")).alias("owners"), F.sum(F.col("open").cast("long")).alias("left"), F.min(F.expr("lo - 2 * t")).alias("spare"))
+        busy = stored(busy.where(f"owners > {HOT} AND left > {HOT} AND spare > 0").select(F.col("k").alias("hk")), "hot-segments")
+        cold, rows = parted(marked, busy)
+        found.append(settled_on_disk(pairs_of(cold.where("own AND open"), cold).union(pairs_of(cold.where("own"), cold.where("open"))), "line-pairs"))
+        before = [marked, busy]
+        if not busy.limit(1).count():
+            for x in (*before, lines):
+                discard(x)
+            return reduce(DataFrame.union, found).distinct(), reduce(DataFrame.union, settled).distinct()
+        number = "CASE t " + " ".join(f"WHEN {t} THEN {len(kinds(t)) - 1}" for t in edits) + " END"
+        rows = without_segment(rows.withColumn("kind", F.explode(F.expr(f"sequence(0, {number})"))), edits)
+        rows = rows.select(F.expr("xxhash64(k, i, seg)").alias("k"), "h1", "place", F.col("rest").alias("line"), F.expr("lo - size").alias("lo"), "t", F.expr("own AND kind <= t").alias("own"))
+        rows = rows.distinct()
 
 
 def lines_of(classes: DataFrame, some: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
-    """h1, h2, place and line of the classes some (x1, x2, distinct), read again at their first occurrence."""
-    places = stored(classes.join(some, (classes["h1"] == some["x1"]) & (classes["h2"] == some["x2"]), "left_semi").select("h1", "h2", F.struct("first.doc_id", "first.mark", "first.line_no").alias("place")), "line-places")
+    """h1, h2, place and line of the classes some (x1, distinct), read again at their first occurrence."""
+    places = stored(classes.join(some, classes["h1"] == some["x1"], "left_semi").select("h1", "h2", F.struct("first.doc_id", "first.mark", "first.line_no").alias("place")), "line-places")
     where = places.select(F.col("place.doc_id").alias("wd"), F.col("place.mark").alias("wm")).distinct()
     here = docs.select("doc_id", "text").withColumn("wm2", mark(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     found = here.join(bounded(where, MAX_BROADCAST_DOCS), here["doc_id"].eqNullSafe(where["wd"]) & (here["wm2"] == where["wm"]), "left_semi")
@@ -195,30 +251,31 @@ def within(a: str, b: str, most: int) -> bool:
     return dist <= most
 
 
-def verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
-    """Those pairs whose lines are within the threshold, with each line's place, as later (h1, h2) rows to be dropped."""
+def verified(pairs: DataFrame, lines: DataFrame, threshold: int | None) -> DataFrame:
+    """The later class (h1, h2) of each pair whose lines are similar."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            ok = [within(x, y, threshold) for x, y in zip(f["la"], f["lb"], strict=True)]
+            ok = [within(x, y, edits_of(min(len(x), len(y)), threshold)) for x, y in zip(f["la"], f["lb"], strict=True)]
             yield f.loc[ok, ["h1", "h2"]] if len(f) else f[["h1", "h2"]]
 
     a, b = (lines.select(F.col("h1").alias(f"{s}h1"), F.col("h2").alias(f"{s}h2"), F.col("place").alias(f"p{s}"), F.col("line").alias(f"l{s}")) for s in "ab")
-    x = pairs.join(a, (pairs["a1"] == a["ah1"]) & (pairs["a2"] == a["ah2"])).select("a1", "a2", "b1", "b2", "pa", "la")
-    x = x.join(b, (F.col("b1") == b["bh1"]) & (F.col("b2") == b["bh2"]))
-    later = lambda k: F.when(F.col("pa") < F.col("pb"), F.col(f"b{k}")).otherwise(F.col(f"a{k}")).alias(f"h{k}")
+    x = pairs.join(a, pairs["a1"] == a["ah1"]).select("b1", "ah1", "ah2", "pa", "la")
+    x = x.join(b, F.col("b1") == b["bh1"])
+    later = lambda k: F.when(F.col("pa") < F.col("pb"), F.col(f"bh{k}")).otherwise(F.col(f"ah{k}")).alias(f"h{k}")
     return mapped(x.select(later(1), later(2), "la", "lb"), run, "h1 long, h2 long").distinct()
 
 
-def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, mark, kept: the numbers of the long lines that stay, for documents that keep any."""
     docs = docs.select("doc_id", "text")
-    classes = stored(line_classes(docs, threshold, min_chars), "line-classes")
-    pairs = stored(candidates(classes, docs, threshold, min_chars), "line-pairs")
-    met = pairs.select(F.explode(F.array(F.struct(F.col("a1").alias("x1"), F.col("a2").alias("x2")), F.struct(F.col("b1").alias("x1"), F.col("b2").alias("x2")))).alias("x")).select("x.*").distinct()
-    lines = lines_of(classes, met, docs, min_chars)
-    lines = stored(lines, "lines")
+    classes = settled_on_disk(line_classes(docs, threshold, min_chars), "line-classes")
+    pairs, settled = candidates(classes, docs, threshold, min_chars)
+    pairs = settled_on_disk(pairs, "line-pairs")
+    met = pairs.select(F.explode(F.array("a1", "b1")).alias("x1")).distinct()
+    lines = stored(lines_of(classes, met, docs, min_chars), "lines")
     copies = verified(pairs, lines, threshold)
+    copies = copies if settled is None else copies.union(settled).distinct()
     stay = classes.select("h1", "h2", "first.doc_id", "first.mark", "first.line_no").join(copies.select(F.col("h1").alias("c1"), F.col("h2").alias("c2")), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left_anti")
     kept = stored(stay.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("line_no")).alias("kept")), "kept-lines")
     for done in (classes, pairs, lines):
@@ -226,7 +283,7 @@ def kept_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     return kept
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with the copies of lines removed from text; other columns and null texts as they are."""
     kept = kept_lines(docs, threshold, min_chars).select(F.col("doc_id").alias("_kd"), F.col("mark").alias("_km"), F.col("kept").alias("_kept"))
     size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("_kept")), F.lit(0)).alias("numbers")).first()

@@ -385,6 +385,28 @@ def test_line_dedup_equals_all_pairs(spark, monkeypatch, threshold, hot):
         assert r.text == want, r.doc_id
 
 
+@pytest.mark.parametrize("hot", [32, 2])
+def test_line_dedup_scales_with_length(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rng = random.Random(hot)
+    base = ["".join(rng.choices("abcdef ", k=n)).strip() + "." for n in (32, 38, 41, 49, 52, 58, 61, 77, 81, 130, 300) for _ in range(2)]
+    lines = []
+    for d in range(120):
+        x = list(rng.choice(base))
+        for _ in range(rng.randrange(0, 9)):
+            k, o = rng.randrange(len(x)), rng.random()
+            if o < 0.4:
+                x[k] = rng.choice("abcdef")
+            elif o < 0.7:
+                x.pop(k)
+            else:
+                x.insert(k, "é")
+        lines.append("".join(x).strip())
+    want = [not any(x == y or edits(x, y) <= min(len(x), len(y)) // 10 and edits(x, y) <= 6 for y in lines[:d] if len(y) >= 30) if len(x) >= 30 else True for d, x in enumerate(lines)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), min_chars=30).collect()}
+    assert [got[d] != "" for d in range(len(lines))] == want and 20 < sum(want) < 100
+
+
 def test_line_dedup_on_edges(spark, edges):
     out = line_dedup.dedup_lines(edges)
     assert out.columns == edges.columns and out.count() == len(EDGES)
