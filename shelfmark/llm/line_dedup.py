@@ -1,10 +1,11 @@
 """Line deduplication within an edit distance, by a segment-partition join.
 
-Lines of MIN_CHARS or more characters (trimmed of ASCII white space) take part. Equal lines are one class, known by a
+Lines (trimmed of ASCII white space) that have a letter, or MIN_CHARS or more characters, take part. Equal lines are one class, known by a
 128-bit hash; its first occurrence is the least (doc_id, text hash, line number). A line's occurrence is dropped unless
 it is the first of its class and no line of another class that is similar has an earlier first occurrence. Two lines are
 similar within one edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most, or within a fixed
-`threshold`. Shorter lines always stay, as headings and list marks repeat for good reason.
+`threshold`; lines under MIN_CHARS only if they are equal. Short lines without a letter, such as list marks and rules,
+always stay. A min_chars that is given is the floor for both instead.
 
 Similar classes are found as follows. Lengths are parted into bands of one threshold t each; a line also belongs to the
 band below its own if it can be similar to a line there. In a band whose least length is lo, a line has t + 1 segments of
@@ -17,7 +18,7 @@ remains of the lines besides the segment must be within t as well, so it is cut
 dealt by both, and so on. Pairs of which neither is open aren't made. The texts of candidates alone are read again, and
 each pair is verified with a banded bit-parallel edit distance.
 
-Null and empty texts have no long line and stay as they are. A null doc_id sorts first and its rows are treated alike.
+Null and empty texts have no such line and stay as they are. A null doc_id sorts first and its rows are treated alike.
 Rows that repeat both doc_id and text keep the same lines; rows that repeat doc_id with other text are other documents
 that come in the order of their text's hash. Extra columns pass through dedup_lines unchanged.
 """
@@ -35,7 +36,7 @@ from shelfmark.llm.common import bounded, discard, documents, mapped, stored
 
 #: Lines count as copies within an edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most.
 EDIT_EACH, MAX_EDITS = 10, 6
-#: The length from which lines take part.
+#: The length from which lines that are similar count as copies; equal ones do from one letter on.
 MIN_CHARS = 30
 #: Bands are a third wider than their least length up to here; the last is open.
 LAST_BAND = 4096
@@ -105,21 +106,31 @@ def settled_on_disk(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
     return out
 
 
-def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, mark, line_no (from 0) and the trimmed line, for every long line."""
+def takes_part(line: Column, min_chars: int | None) -> Column:
+    """Whether copies of a trimmed line are dropped."""
+    return (F.length(line) >= MIN_CHARS) | line.rlike(r"\p{L}") if min_chars is None else F.length(line) >= min_chars
+
+
+def numbers(lines: str, min_chars: int | None) -> Column:
+    """The numbers (from 0) of those of an array's lines that take part."""
+    return F.filter(F.transform(lines, lambda x, k: F.when(takes_part(F.btrim(x, F.lit(_TRIM)), min_chars), k)), lambda k: k.isNotNull())
+
+
+def occurrences(docs: DataFrame, min_chars: int | None) -> DataFrame:
+    """doc_id, mark, line_no (from 0) and the trimmed line, for every line that takes part."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select("doc_id", text.alias("_t")).select("doc_id", mark(F.col("_t")).alias("mark"), F.posexplode(F.split("_t", "\n")).alias("line_no", "raw"))
-    return d.select("doc_id", "mark", "line_no", F.btrim("raw", F.lit(_TRIM)).alias("line")).where(F.length("line") >= min_chars)
+    return d.select("doc_id", "mark", "line_no", F.btrim("raw", F.lit(_TRIM)).alias("line")).where(takes_part(F.col("line"), min_chars))
 
 
-def line_classes(docs: DataFrame, threshold: int | None, min_chars: int) -> DataFrame:
-    """h1, h2, first (doc_id, mark, line_no, b, keys): a row per class, with its band's number and its keys there and in the band below."""
-    all_bands = bands(threshold, min_chars)
+def line_classes(docs: DataFrame, threshold: int | None, min_chars: int | None) -> DataFrame:
+    """h1, h2, first (doc_id, mark, line_no, b, keys): a row per class, with its band's number and its keys there and in the band below (null for lines that only equal ones can match)."""
+    all_bands = bands(threshold, MIN_CHARS if min_chars is None else min_chars)
     lows, most, edits = [lo for lo, _ in all_bands], [t for _, t in all_bands], sorted({t for _, t in all_bands})
     o = occurrences(docs, min_chars).withColumn("n", F.length("line"))
-    o = o.withColumn("b", F.expr("CASE " + " ".join(f"WHEN n >= {lo} THEN {k}" for k, lo in reversed(list(enumerate(lows)))) + " END"))
+    o = o.withColumn("b", F.expr("CASE " + " ".join(f"WHEN n >= {lo} THEN {k}" for k, lo in reversed(list(enumerate(lows)))) + " ELSE 0 END"))
     o = o.select("*", F.expr(at(lows, "b")).alias("lo"), F.expr(at(most, "b")).alias("t"), F.expr(at([lows[0], *lows], "b")).alias("lo0"), F.expr(at([most[0], *most], "b")).alias("t0"))
-    keys = f"concat({segment_keys('line', 'n', 'lo', 't', edits)}, CASE WHEN b > 0 AND n < lo + t0 THEN {segment_keys('line', 'n', 'lo0', 't0', edits)} ELSE CAST(array() AS array<bigint>) END)"
+    keys = f"CASE WHEN n >= {lows[0]} THEN concat({segment_keys('line', 'n', 'lo', 't', edits)}, CASE WHEN b > 0 AND n < lo + t0 THEN {segment_keys('line', 'n', 'lo0', 't0', edits)} ELSE CAST(array() AS array<bigint>) END) END"
     keyed = o.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), F.struct("doc_id", "mark", "line_no", "b", F.expr(keys).alias("keys")).alias("first"))
     return keyed.groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
@@ -149,9 +160,9 @@ def without_segment(rows: DataFrame, edits: list[int]) -> DataFrame:
     return rows.select("*", F.expr("substring(line, start + 1, size)").alias("seg"), F.expr("concat(substring(line, 1, start), substring(line, start + size + 1))").alias("rest"))
 
 
-def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int) -> tuple[DataFrame, DataFrame | None]:
+def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int | None) -> tuple[DataFrame, DataFrame | None]:
     """Distinct pairs of classes (a1, b1) that share as many segments as it takes, a1 less than b1; and the classes (h1, h2) that are settled as copies already."""
-    all_bands = bands(threshold, min_chars)
+    all_bands = bands(threshold, MIN_CHARS if min_chars is None else min_chars)
     lows, most, edits = [lo for lo, _ in all_bands], [t for _, t in all_bands], sorted({t for _, t in all_bands})
     count = at([len(kinds(t)) for t in most], "b")
     rows = classes.select(F.posexplode("first.keys").alias("p", "k"), "h1", F.col("first.b").alias("b"))
@@ -197,7 +208,7 @@ def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_c
         rows = rows.distinct()
 
 
-def lines_of(classes: DataFrame, some: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
+def lines_of(classes: DataFrame, some: DataFrame, docs: DataFrame, min_chars: int | None) -> DataFrame:
     """h1, h2, place and line of the classes some (x1, distinct), read again at their first occurrence."""
     places = stored(classes.join(some, classes["h1"] == some["x1"], "left_semi").select("h1", "h2", F.struct("first.doc_id", "first.mark", "first.line_no").alias("place")), "line-places")
     where = places.select(F.col("place.doc_id").alias("wd"), F.col("place.mark").alias("wm")).distinct()
@@ -266,8 +277,8 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: int | None) -> DataF
     return mapped(x.select(later(1), later(2), "la", "lb"), run, "h1 long, h2 long").distinct()
 
 
-def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, mark, kept: the numbers of the long lines that stay, for documents that keep any."""
+def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int | None = None) -> DataFrame:
+    """doc_id, mark, kept: the numbers of the lines taking part that stay, for documents that keep any."""
     docs = docs.select("doc_id", "text")
     classes = settled_on_disk(line_classes(docs, threshold, min_chars), "line-classes")
     pairs, settled = candidates(classes, docs, threshold, min_chars)
@@ -283,7 +294,7 @@ def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int = M
     return kept
 
 
-def dedup_lines(docs: DataFrame, threshold: int | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int | None = None, min_chars: int | None = None) -> DataFrame:
     """docs with the copies of lines removed from text; other columns and null texts as they are."""
     kept = kept_lines(docs, threshold, min_chars).select(F.col("doc_id").alias("_kd"), F.col("mark").alias("_km"), F.col("kept").alias("_kept"))
     size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("_kept")), F.lit(0)).alias("numbers")).first()
@@ -291,15 +302,17 @@ def dedup_lines(docs: DataFrame, threshold: int | None = None, min_chars: int =
         kept = F.broadcast(kept)
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_t"))
     rows = rows.withColumn("_mark", mark(F.coalesce("_t", F.lit(""))))
-    met = rows.join(kept, rows["_id"].eqNullSafe(kept["_kd"]) & (rows["_mark"] == kept["_km"]), "left").select("_row", "_t", "_kept")
+    met = rows.join(kept, rows["_id"].eqNullSafe(kept["_kd"]) & (rows["_mark"] == kept["_km"]), "left").select("_row", "_t", F.split("_t", "\n").alias("_l"), "_kept")
+    gone = F.array_except(numbers("_l", min_chars), F.coalesce("_kept", F.array().cast("array<int>")))
+    met = met.select("_row", "_t", gone.alias("_gone"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for text, stay in zip(f["_t"], f["_kept"], strict=True):
+            for text, drop in zip(f["_t"], f["_gone"], strict=True):
                 if text is not None:
-                    stay = set() if stay is None else set(stay)
-                    text = "\n".join(x for k, x in enumerate(text.split("\n")) if k in stay or len(x.strip(_TRIM)) < min_chars)
+                    drop = set(drop)
+                    text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop)
                 out.append(text)
             yield f[["_row"]].assign(_t=out)
 
@@ -313,8 +326,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept_lines(docs).select(F.col("doc_id").alias("_kd"), F.col("mark").alias("_km"), "kept")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", mark(text).alias("_m"), F.split(text, "\n").alias("_l"))
-    long = F.filter(F.transform("_l", lambda x, k: F.when(F.length(F.btrim(x, F.lit(_TRIM))) >= MIN_CHARS, k)), lambda k: k.isNotNull())
-    rows = rows.select("doc_id", "_m", F.size("_l").cast("long").alias("n_lines"), long.alias("_long"))
+    rows = rows.select("doc_id", "_m", F.size("_l").cast("long").alias("n_lines"), numbers("_l", None).alias("_long"))
     met = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_kd"]) & (rows["_m"] == kept["_km"]), "left")
     gone = F.array_except("_long", F.coalesce("kept", F.array().cast("array<int>")))
     return met.select("doc_id", "n_lines", gone.alias("_gone")).select("doc_id", "n_lines", F.size("_gone").cast("long").alias("n_dropped"), F.array_join("_gone", ",").alias("dropped"))

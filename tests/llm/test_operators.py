@@ -407,6 +407,12 @@ def test_line_dedup_scales_with_length(spark, monkeypatch, hot):
     assert [got[d] != "" for d in range(len(lines))] == want and 20 < sum(want) < 100
 
 
+def test_line_dedup_drops_short_copies(spark):
+    docs = [(1, "All rights reserved.\n1.\n---\nÜ"), (2, " All rights reserved.\n1.\n---\nAll rights reserves."), (3, "Ü\n\n\nAll rights reserved."), (4, None)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {1: docs[0][1], 2: "1.\n---\nAll rights reserves.", 3: "\n", 4: None}
+
+
 def test_line_dedup_on_edges(spark, edges):
     out = line_dedup.dedup_lines(edges)
     assert out.columns == edges.columns and out.count() == len(EDGES)
