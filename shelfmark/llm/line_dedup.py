@@ -1,11 +1,13 @@
 """Line deduplication within an edit distance, by a segment-partition join.
 
-Lines (trimmed of ASCII white space) that have a letter, or MIN_CHARS or more characters, take part. Equal lines are one class, known by a
-128-bit hash; its first occurrence is the least (doc_id, text hash, line number). A line's occurrence is dropped unless
-it is the first of its class and no line of another class that is similar has an earlier first occurrence. Two lines are
-similar within one edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most, or within a fixed
-`threshold`; lines under MIN_CHARS only if they are equal. Short lines without a letter, such as list marks and rules,
-always stay. A min_chars that is given is the floor for both instead.
+Lines (trimmed of ASCII white space) that have a letter, or MIN_CHARS or more characters, take part. Equal lines are one
+class, known by a 128-bit hash; its first occurrence is the least (doc_id, text hash, line number). A line's occurrence
+is dropped unless it is the first of its class and no line of another class that is similar has an earlier first
+occurrence. That line may itself be dropped, so in a chain of similar lines only the first stays, though the last may be
+farther from it than the threshold. Lines of MIN_CHARS or more are similar within EDITS edits: a changed date, comma or
+letter case, but no changed word; shorter ones only if they are equal. Short lines without a letter, such as list marks
+and rules, always stay. A min_chars that is given is the floor for both instead; with threshold None the edits grow with
+the length, one for every EDIT_EACH characters of the shorter line, MAX_EDITS at most.
 
 Similar classes are found as follows. Lengths are parted into bands of one threshold t each; a line also belongs to the
 band below its own if it can be similar to a line there. In a band whose least length is lo, a line has t + 1 segments of
@@ -34,7 +36,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.llm.common import bounded, discard, documents, mapped, stored
 
-#: Lines count as copies within an edit for every EDIT_EACH characters of the shorter one, MAX_EDITS at most.
+#: Edits within which lines are similar.
+EDITS = 2
+#: With no fixed threshold: an edit for every EDIT_EACH characters of the shorter line, MAX_EDITS at most.
 EDIT_EACH, MAX_EDITS = 10, 6
 #: The length from which lines that are similar count as copies; equal ones do from one letter on.
 MIN_CHARS = 30
@@ -277,7 +281,7 @@ def verified(pairs: DataFrame, lines: DataFrame, threshold: int | None) -> DataF
     return mapped(x.select(later(1), later(2), "la", "lb"), run, "h1 long, h2 long").distinct()
 
 
-def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int | None = None) -> DataFrame:
+def kept_lines(docs: DataFrame, threshold: int | None = EDITS, min_chars: int | None = None) -> DataFrame:
     """doc_id, mark, kept: the numbers of the lines taking part that stay, for documents that keep any."""
     docs = docs.select("doc_id", "text")
     classes = settled_on_disk(line_classes(docs, threshold, min_chars), "line-classes")
@@ -294,7 +298,7 @@ def kept_lines(docs: DataFrame, threshold: int | None = None, min_chars: int | N
     return kept
 
 
-def dedup_lines(docs: DataFrame, threshold: int | None = None, min_chars: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int | None = EDITS, min_chars: int | None = None) -> DataFrame:
     """docs with the copies of lines removed from text; other columns and null texts as they are."""
     kept = kept_lines(docs, threshold, min_chars).select(F.col("doc_id").alias("_kd"), F.col("mark").alias("_km"), F.col("kept").alias("_kept"))
     size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("_kept")), F.lit(0)).alias("numbers")).first()
