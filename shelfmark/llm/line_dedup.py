@@ -15,10 +15,12 @@ lo DIV (t + 1) characters, the first half counted from its start and the others
 them whole that has exactly as many edits before it as segments, so that segment i is found in the other line shifted by
 min(i, t - i) at most: about t * t / 2 keys a line. Keys are hashes made where the line is read, so line texts aren't
 shuffled; a line is its class's first 64 bits in them. A segment that more than HOT lines share isn't joined. Its lines
-are compared with the earliest of them, which settles those that are similar to it; where more than HOT stay open, what
-remains of the lines besides the segment must be within t as well, so it is cut into segments in turn and the lines are
-dealt by both, and so on. Pairs of which neither is open aren't made. The texts of candidates alone are read again, and
-each pair is verified with a banded bit-parallel edit distance.
+are compared with the earliest of them, which settles those that are similar to it. Then they are joined by grams: lines
+within t edits differ in GRAM * t of their substrings of GRAM characters at most, so that the GRAM * t + 1 rarest of a
+line (its prefix) hold one of the other line's. Lines that differ in whole words have rare grams there, however many
+segments they share. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
+which neither is open aren't made. The texts of candidates alone are read again, and each pair is verified with a banded
+bit-parallel edit distance.
 
 Null and empty texts have no such line and stay as they are. A null doc_id sorts first and its rows are treated alike.
 Rows that repeat both doc_id and text keep the same lines; rows that repeat doc_id with other text are other documents
@@ -29,12 +31,12 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import bounded, discard, documents, mapped, stored
+from shelfmark.llm.common import added, bounded, discard, documents, mapped, stored
 
 #: Edits within which lines are similar.
 EDITS = 2
@@ -44,8 +46,8 @@ EDIT_EACH, MAX_EDITS = 10, 6
 MIN_CHARS = 30
 #: Bands are a third wider than their least length up to here; the last is open.
 LAST_BAND = 4096
-#: Lines that may share a segment before they are dealt by a further one.
-HOT = 32
+#: Lines that may share a segment before they are joined by grams, and the length of these.
+HOT, GRAM = 32, 4
 #: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_DOCS = 500_000
 #: Line numbers to stay that may be broadcast with their documents' keys (4 bytes each); beyond, texts are joined by a shuffle.
@@ -156,60 +158,68 @@ def parted(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.join(hot, rows["k"] == hot["hk"], "left_anti"), rows.join(hot, rows["k"] == hot["hk"], "left_semi")
 
 
-def without_segment(rows: DataFrame, edits: list[int]) -> DataFrame:
-    """rows (line, lo, t, kind: a number in kinds(t)) with seg, that segment of the line, and rest, the line without it."""
-    of = lambda part: "CASE t " + " ".join(f"WHEN {t} THEN {at([x[part] for x in kinds(t)], 'kind')}" for t in edits) + " END"
-    rows = rows.select("*", F.expr(of(0)).alias("i"), F.expr(of(1)).alias("shift"), F.expr("CAST(lo DIV (t + 1) AS INT)").alias("size"))
-    rows = rows.withColumn("start", F.expr("CASE WHEN 2 * i <= t THEN i * size + shift ELSE length(line) - (t - i + 1) * size + shift END"))
-    return rows.select("*", F.expr("substring(line, start + 1, size)").alias("seg"), F.expr("concat(substring(line, 1, start), substring(line, start + size + 1))").alias("rest"))
+def near_first(rows: DataFrame, lines: DataFrame, threshold: int | None) -> DataFrame:
+    """The classes (h1, h2) that are similar to the earliest of those that share a key, where more than HOT do. rows: k, h1, place."""
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "h1")).alias("centre")).where(f"n > {HOT}")
+    centres = stored(sizes.select(F.col("k").alias("hk"), F.col("centre.h1").alias("c1")), "hot-centres")
+    at = bounded(centres, MAX_BROADCAST_DOCS)
+    met = rows.join(at, rows["k"] == at["hk"]).where("h1 != c1").select(F.least("h1", "c1").alias("a1"), F.greatest("h1", "c1").alias("b1")).distinct()
+    out = stored(verified(met, lines, threshold), "hot-copies")
+    discard(centres)
+    return out
+
+
+def line_grams(line: str) -> list[int]:
+    """The line's substrings of GRAM characters as hashes; the second of equal ones is another gram, and so on."""
+    seen: dict[str, int] = {}
+    out = []
+    for k in range(len(line) - GRAM + 1):
+        g = line[k : k + GRAM]
+        seen[g] = n = seen.get(g, -1) + 1
+        out.append(xxhash.xxh3_64_intdigest(g.encode("utf-8", "surrogatepass"), n) - (1 << 63))
+    return out
+
+
+def prefixes(lines: DataFrame, threshold: int | None) -> DataFrame:
+    """k, h1, place and n (length) for the rarest grams of each line, as many as its edits can change and one more."""
+
+    def run(texts: list[str]) -> list[list]:
+        return [[line_grams(x) for x in texts], [len(x) for x in texts], [GRAM * edits_of(len(x), threshold) + 1 for x in texts]]
+
+    grams = stored(added(lines.select("h1", "place", "line"), ["line"], "grams array<bigint>, n int, most int", run), "hot-grams")
+    each = grams.select("h1", F.explode("grams").alias("k"))
+    often = each.groupBy(F.col("k").alias("g")).agg(F.count(F.lit(1)).alias("often"))
+    ranked = each.join(often, each["k"] == often["g"]).groupBy(F.col("h1").alias("l1")).agg(F.sort_array(F.collect_list(F.struct("often", "k"))).alias("r"))
+    out = grams.select("h1", "place", "n", "most").join(ranked, F.col("h1") == F.col("l1"))
+    return out.select(F.explode(F.expr("transform(slice(r, 1, most), x -> x.k)")).alias("k"), "h1", "place", "n")
 
 
 def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int | None) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct pairs of classes (a1, b1) that share as many segments as it takes, a1 less than b1; and the classes (h1, h2) that are settled as copies already."""
-    all_bands = bands(threshold, MIN_CHARS if min_chars is None else min_chars)
-    lows, most, edits = [lo for lo, _ in all_bands], [t for _, t in all_bands], sorted({t for _, t in all_bands})
+    """Distinct pairs of classes (a1, b1) that can be similar, a1 less than b1; and the classes (h1, h2) that are settled as copies already."""
+    most = [t for _, t in bands(threshold, MIN_CHARS if min_chars is None else min_chars)]
     count = at([len(kinds(t)) for t in most], "b")
     rows = classes.select(F.posexplode("first.keys").alias("p", "k"), "h1", F.col("first.b").alias("b"))
-    rows = rows.select("k", "h1", F.expr(f"CASE WHEN p < {count} THEN b ELSE b - 1 END").alias("b"), F.expr(f"CASE WHEN p < {count} THEN p ELSE p - {count} END").alias("kind"))
-    own = f"kind <= {at(most, 'b')}"
-    hot = hot_keys(rows.where(own))
+    own = f"CASE WHEN p < {count} THEN p <= {at(most, 'b')} ELSE p - {count} <= {at(most, 'b - 1')} END"
+    rows = rows.select("k", "h1", F.expr(own).alias("own"))
+    hot = hot_keys(rows.where("own"))
     if not hot.limit(1).count():
-        return pairs_of(rows.where(own), rows), None
+        return pairs_of(rows.where("own"), rows), None
     cold, rows = parted(rows, hot)
-    found, settled = [settled_on_disk(pairs_of(cold.where(own), cold), "line-pairs")], []
-    rows = hot_rows = stored(rows.select("k", "h1", F.expr(at(lows, "b")).alias("lo"), F.expr(at(most, "b")).alias("t"), "kind"), "hot-rows")
-    lines = settled_on_disk(lines_of(classes, rows.select(F.col("h1").alias("x1")).distinct(), docs, min_chars), "hot-lines", hot)
-    named = lines.select(F.col("h1").alias("l1"), "place", "line")
-    rows = without_segment(rows.join(named, rows["h1"] == named["l1"]), edits).withColumn("own", F.expr("kind <= t"))
-    # what remains is dealt by its length more finely than the bands
-    step = "(2 * (t + 1))"
-    rows = rows.withColumn("lo", F.expr(f"length(rest) DIV {step} * {step}"))
-    rows = rows.withColumn("lo", F.explode(F.expr(f"CASE WHEN length(rest) - lo < t AND lo >= {step} THEN array(lo, lo - {step}) ELSE array(lo) END")))
-    rows = rows.select(F.expr("xxhash64(k, lo)").alias("k"), "h1", "place", F.col("rest").alias("line"), F.expr("CAST(lo AS INT)").alias("lo"), "t", "own")
-    before = [hot_rows]
-    while True:
-        rows = settled_on_disk(rows, "hot-rows", *before)
-        sizes = rows.groupBy("k").agg(F.sum(F.col("own").cast("long")).alias("owners"), F.min(F.when(F.col("own"), F.struct("place", "h1"))).alias("centre")).where(f"owners > {HOT}")
-        sizes = stored(sizes.select(F.col("k").alias("hk"), F.col("centre.h1").alias("c1")), "hot-centres")
-        centres = bounded(sizes, MAX_BROADCAST_DOCS)
-        met = rows.join(centres, rows["k"] == centres["hk"]).where("h1 != c1").select(F.least("h1", "c1").alias("a1"), F.greatest("h1", "c1").alias("b1")).distinct()
-        settled.append(stored(verified(met, lines, threshold), "hot-copies"))
-        done = reduce(DataFrame.union, settled).select(F.col("h1").alias("d1")).distinct()
-        marked = rows.join(done, rows["h1"] == done["d1"], "left").withColumn("open", F.col("d1").isNull()).drop("d1")
-        marked = settled_on_disk(marked, "hot-marked", rows, sizes)
-        busy = marked.groupBy("k").agg(F.sum(F.col("own").cast("long")).alias("owners"), F.sum(F.col("open").cast("long")).alias("left"), F.min(F.expr("lo - 2 * t")).alias("spare"))
-        busy = stored(busy.where(f"owners > {HOT} AND left > {HOT} AND spare > 0").select(F.col("k").alias("hk")), "hot-segments")
-        cold, rows = parted(marked, busy)
-        found.append(settled_on_disk(pairs_of(cold.where("own AND open"), cold).union(pairs_of(cold.where("own"), cold.where("open"))), "line-pairs"))
-        before = [marked, busy]
-        if not busy.limit(1).count():
-            for x in (*before, lines):
-                discard(x)
-            return reduce(DataFrame.union, found).distinct(), reduce(DataFrame.union, settled).distinct()
-        number = "CASE t " + " ".join(f"WHEN {t} THEN {len(kinds(t)) - 1}" for t in edits) + " END"
-        rows = without_segment(rows.withColumn("kind", F.explode(F.expr(f"sequence(0, {number})"))), edits)
-        rows = rows.select(F.expr("xxhash64(k, i, seg)").alias("k"), "h1", "place", F.col("rest").alias("line"), F.expr("lo - size").alias("lo"), "t", F.expr("own AND kind <= t").alias("own"))
-        rows = rows.distinct()
+    found = settled_on_disk(pairs_of(cold.where("own"), cold), "line-pairs")
+    rows = settled_on_disk(rows.select("k", "h1").distinct(), "hot-rows", hot)
+    lines = settled_on_disk(lines_of(classes, rows.select(F.col("h1").alias("x1")).distinct(), docs, min_chars), "hot-lines")
+    places = lines.select(F.col("h1").alias("l1"), "place")
+    first = near_first(rows.join(places, rows["h1"] == places["l1"]).select("k", "h1", "place"), lines, threshold)
+    grams = settled_on_disk(prefixes(lines, threshold), "hot-prefixes", rows)
+    settled = stored(first.union(near_first(grams, lines, threshold)).distinct(), "hot-copies")
+    done = settled.select(F.col("h1").alias("d1")).distinct()
+    x, y = (grams.select([F.col(c).alias(f"{s}_{c}") for c in ("k", "h1", "n")]) for s in "xy")
+    open_ = x.join(bounded(done, MAX_BROADCAST_DOCS), F.col("x_h1") == F.col("d1"), "left_anti")
+    widest = max(most)
+    met = open_.join(y, (F.col("x_k") == F.col("y_k")) & (F.col("x_h1") != F.col("y_h1")) & (F.abs(F.col("x_n") - F.col("y_n")) <= widest))
+    met = met.select(F.least("x_h1", "y_h1").alias("a1"), F.greatest("x_h1", "y_h1").alias("b1"))
+    pairs = settled_on_disk(met.union(found).distinct(), "line-pairs", found, lines, grams, first)
+    return pairs, settled
 
 
 def lines_of(classes: DataFrame, some: DataFrame, docs: DataFrame, min_chars: int | None) -> DataFrame:
@@ -286,7 +296,7 @@ def kept_lines(docs: DataFrame, threshold: int | None = EDITS, min_chars: int |
     docs = docs.select("doc_id", "text")
     classes = settled_on_disk(line_classes(docs, threshold, min_chars), "line-classes")
     pairs, settled = candidates(classes, docs, threshold, min_chars)
-    pairs = settled_on_disk(pairs, "line-pairs")
+    pairs = pairs if settled is not None else settled_on_disk(pairs, "line-pairs")
     met = pairs.select(F.explode(F.array("a1", "b1")).alias("x1")).distinct()
     lines = stored(lines_of(classes, met, docs, min_chars), "lines")
     copies = verified(pairs, lines, threshold)
