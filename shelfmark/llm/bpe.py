@@ -2,9 +2,14 @@
 
 A text is cut into pieces with the tokenizer's pattern. Each piece not met before is tokenised speculatively by greedy
 longest match over the vocabulary. Every adjacent pair of proposed tokens is then checked for compatibility, all pairs
-of all new pieces at once: a pair (a, b) is compatible if merging the bytes of a followed by b yields exactly [a, b]. A
-token sequence whose adjacent pairs are all compatible is the result of BPE, as the first merge across a boundary would
-already occur among that pair alone; so verified pieces need no merging. Only the pieces that fail are merged exactly.
+of all new pieces at once in arrays: a pair (a, b) is compatible if merging the bytes of a followed by b yields exactly
+[a, b]. A token sequence whose adjacent pairs are all compatible is the result of BPE, as the first merge across a
+boundary would already occur among that pair alone; so verified pieces need no merging. Only the pieces that fail are
+merged exactly.
+
+The check follows the merge trees of a and b downwards along their touching edges. Merges run in the order of their
+ranks, as every merge makes a token that only later merges use. So two edge tokens x and y meet from the moment both
+exist until the next merge of either side's edge, and the pair is incompatible if some such x and y merge before that.
 
 Null text counts as empty: no tokens, and the decoded text is empty. The strings of special tokens within a text become
 these tokens, as in the tokenizers library. Equal rows give equal results; extra columns are left alone.
@@ -19,23 +24,24 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, IntegerType
 
-from shelfmark.llm.common import documents, mapped
+from shelfmark.llm.common import added, documents
 
 #: The vocabulary of the contract, by its name among the public tokenizers.
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces and pairs that a worker remembers at most; beyond that its memory starts anew. Results don't depend on it. A
-#: piece takes about 230 bytes, a pair 100; the query alone has room for more than a stage among others.
-MAX_PIECES, MAX_PAIRS, ALONE = 250_000, 250_000, 700_000
+#: Pieces that a worker remembers at most; beyond that its memory starts anew. Results don't depend on it. A piece takes
+#: about 230 bytes; the query alone has room for more than a stage among others.
+MAX_PIECES, ALONE = 250_000, 700_000
+#: Characters of texts whose new pieces are learnt together.
+TOGETHER = 1 << 20
 #: Longer pieces aren't remembered.
 MAX_REMEMBERED = 64
 #: Bytes up to which a piece is merged by scanning; the rank of a pair that doesn't merge.
-SHORT, NO_MERGE = 40, (1 << 60, -1)
+SHORT, NEVER = 40, 1 << 60
+NO_MERGE = (NEVER, -1)
 
 
 def byte_characters() -> dict[str, int]:
@@ -67,8 +73,52 @@ class BytePairCodec:
         self.split = regex.compile(PATTERN).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self.known: dict[str, tuple[int, ...]] = {}
-        self.fits: dict[int, bool] = {}
         self.exact_pieces = 0
+        self.plan_merges()
+
+    def plan_merges(self) -> None:
+        """Arrays over token ids: the two tokens it is merged from, the rank of that merge (-1 for bytes), and whether merging its
+        bytes gives the token. Over merges: their pairs in order, with their ranks."""
+        n = max(self.tokens) + 1
+        self.left, self.right, self.rank = np.full(n, -1), np.full(n, -1), np.full(n, -1)
+        for (a, b), (rank, made) in self.merges.items():
+            if self.rank[made] >= 0 or max(self.rank[a], self.rank[b]) >= rank:
+                raise ValueError("merges must make each token once, of tokens made before")
+            self.left[made], self.right[made], self.rank[made] = a, b, rank
+        pairs = np.array([a << 20 | b for a, b in self.merges] or [-1], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], np.array([r for r, _ in self.merges.values()] or [NEVER], np.int64)[order]
+        made = np.flatnonzero(self.rank >= 0)
+        self.reached = np.zeros(n, bool)
+        self.reached[[i for i, b in self.tokens.items() if len(b) == 1]] = True
+        whole = dict(zip(made.tolist(), self.apart(self.left[made], self.right[made], skip=True).tolist(), strict=True))
+        for t in made[np.argsort(self.rank[made])].tolist():
+            self.reached[t] = whole[t] and self.reached[self.left[t]] and self.reached[self.right[t]]
+
+    def apart(self, a: np.ndarray, b: np.ndarray, skip: bool = False) -> np.ndarray:
+        """For every pair of tokens, whether merging the bytes of both leaves them as they are; with skip, whether it gives just these
+        two before they merge with each other."""
+        x, y = a.copy(), b.copy()
+        until_x, until_y = np.full(len(x), NEVER), np.full(len(x), NEVER)
+        fits, at = np.ones(len(x), bool), np.arange(len(x))
+        while len(at):
+            u, v = x[at], y[at]
+            code = u << 20 | v
+            k = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+            merge = np.where(self.pairs[k] == code, self.pair_ranks[k], NEVER)
+            # of equal merges the left one is first
+            clash = (merge < until_x[at]) & (merge <= until_y[at]) & (merge < NEVER)
+            if skip:
+                clash[:], skip = False, False
+            fits[at[clash]] = False
+            ru, rv = self.rank[u], self.rank[v]
+            down_y = rv >= ru
+            on = ~clash & (np.maximum(ru, rv) >= 0)
+            go_y, go_x = at[on & down_y], at[on & ~down_y]
+            until_y[go_y], until_x[go_x] = self.rank[y[go_y]], self.rank[x[go_x]]
+            y[go_y], x[go_x] = self.left[y[go_y]], self.right[x[go_x]]
+            at = at[on]
+        return fits
 
     def greedy(self, raw: bytes) -> list[int]:
         """Longest match from the left; every single byte is in the vocabulary."""
@@ -134,57 +184,50 @@ class BytePairCodec:
         owner = np.repeat(np.arange(len(guess)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1]) if len(flat) else np.empty(0, np.int64)
         distinct, which = np.unique(flat[inner] << 20 | flat[inner + 1], return_inverse=True)
-        if len(self.fits) > max(MAX_PAIRS, self.most):
-            self.fits.clear()
-        ok = np.fromiter((self.compatible(int(c)) for c in distinct), bool, len(distinct))
+        ok = self.apart(distinct >> 20, distinct & 0xFFFFF)
         bad = np.zeros(len(guess), bool)
         bad[owner[inner[~ok[which]]]] = True
-        # a lone token must also be what merging its own bytes gives
-        for k in np.flatnonzero(~bad):
-            bad[k] = not all(map(self.reachable, guess[k]))
+        # every proposed token must also be what merging its own bytes gives
+        bad[owner[~self.reached[flat]]] = True
         self.exact_pieces += int(bad.sum())
         return {p: tuple(self.merged(b) if bad[k] else g) for k, (p, b, g) in enumerate(zip(pieces, raw, guess, strict=True))}
 
-    def compatible(self, code: int) -> bool:
-        fit = self.fits.get(code)
-        if fit is None:
-            a, b = code >> 20, code & 0xFFFFF
-            fit = self.fits[code] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
-        return fit
-
-    def reachable(self, token: int) -> bool:
-        code = -1 - token
-        fit = self.fits.get(code)
-        if fit is None:
-            fit = self.fits[code] = self.merged(self.tokens[token]) == [token]
-        return fit
-
     def encode_batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Token ids of each text. Pieces are learnt text by text, so memory is bounded by one text and the remembered pieces."""
+        """Token ids of each text. New pieces are learnt for TOGETHER characters of texts at a time, which with the remembered pieces
+        bounds the memory; a longer text is learnt alone."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= TOGETHER):
+                size, end = size + len(texts[end]), end + 1
+            yield from self.encode_together(texts[at:end])
+            at = end
+
+    def encode_together(self, texts: list[str]) -> Iterator[np.ndarray]:
+        known, cut, pieces = self.known, [], set()
         for text in texts:
-            out: list[np.ndarray] = []
-            for part in self.special.split(text) if self.special and any(s in text for s in self.specials) else [text]:
-                if part in self.specials:
-                    out.append(np.array([self.specials[part]], np.uint32))
-                    continue
-                pieces = self.split(part)
-                known = self.known
-                if new := set(pieces).difference(known):
-                    if len(known) + len(new) > self.most:
-                        known.clear()
-                        new = set(pieces)
-                    learnt = self.learn(new)
-                    known.update((p, t) for p, t in learnt.items() if len(p) <= MAX_REMEMBERED)
-                    long = {p: t for p, t in learnt.items() if len(p) > MAX_REMEMBERED}
-                    if long:
-                        get = lambda p: known[p] if p in known else long[p]
-                        out.append(np.fromiter((i for p in pieces for i in get(p)), np.uint32))
-                        continue
-                flat: list[int] = []
-                for ids in map(known.__getitem__, pieces):
-                    flat += ids
-                out.append(np.array(flat, np.uint32))
-            yield np.concatenate(out) if out else np.empty(0, np.uint32)
+            parts = self.special.split(text) if self.special and any(s in text for s in self.specials) else [text]
+            cut.append([p if p in self.specials else self.split(p) for p in parts])
+            pieces.update(*[p for p in cut[-1] if not isinstance(p, str)])
+        new = pieces.difference(known)
+        if len(known) + len(new) > self.most:
+            known.clear()
+            new = pieces
+        learnt = self.learn(new) if new else {}
+        known.update((p, t) for p, t in learnt.items() if len(p) <= MAX_REMEMBERED)
+        long = {p: t for p, t in learnt.items() if len(p) > MAX_REMEMBERED}
+        for parts in cut:
+            flat: list[int] = []
+            for part in parts:
+                if isinstance(part, str):
+                    flat.append(self.specials[part])
+                elif long:
+                    for p in part:
+                        flat += long[p] if p in long else known[p]
+                else:
+                    for ids in map(known.__getitem__, part):
+                        flat += ids
+            yield np.array(flat, np.uint32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
@@ -204,50 +247,40 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """docs plus an array of token ids. path: a vocabulary file that every executor has."""
-    schema = docs.select("*").schema.add(ids, ArrayType(IntegerType()))
+    """docs plus an array of token ids, in place of a column of that name. path: a vocabulary file that every executor has."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = codec(path)
-        for f in frames:
-            yield f.assign(**{ids: [x.astype(np.int32) for x in c.encode_batch(f[text].fillna("").tolist())]})
+    def run(texts: list[str | None]) -> list[list]:
+        return [[x.astype(np.int32) for x in codec(path).encode_batch([t or "" for t in texts])]]
 
-    return mapped(docs, run, schema)
+    d = docs.drop(ids).withColumn("_text", docs[text].cast("string"))
+    return added(d, ["_text"], f"`{ids}` array<int>", run)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """tokens plus the decoded text; null ids give an empty text."""
-    schema = tokens.select("*").schema.add(text, "string")
+    """tokens plus the decoded text, in place of a column of that name; null ids give an empty text."""
+
+    def run(rows: list[list[int] | None]) -> list[list]:
+        return [[codec(path).decode(x) if x is not None else "" for x in rows]]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = codec(path)
-        for f in frames:
-            yield f.assign(**{text: [c.decode(x) if x is not None else "" for x in f[ids]]})
+    return added(tokens.drop(text).withColumn("_ids", tokens[ids]), ["_ids"], f"`{text}` string", run)
 
-    return mapped(tokens, run, schema)
 
+def digests(docs: DataFrame, path: str, most: int = MAX_PIECES) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row: each text is encoded, decoded and hashed in the task that reads
+    it. most: pieces a worker remembers."""
 
-DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    def run(texts: list[str | None]) -> Iterable[Iterable]:
+        c, out = codec(path, most), []
+        for ids in c.encode_batch([t or "" for t in texts]):
+            out.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()))
+        return zip(*out, strict=True) if out else ([], [], [])
 
+    def done() -> None:
+        codec.cache_clear()
+        gc.collect()
 
-def digests(docs: DataFrame, path: str, most: int = MAX_PIECES) -> DataFrame:
-    """DIGEST of every row: each text is encoded, decoded and hashed in the task that reads it. most: pieces a worker remembers."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = codec(path, most)
-        for f in frames:
-            counts, hashes, backs = [], [], []
-            for ids in c.encode_batch(f["text"].fillna("").tolist()):
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                backs.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": backs})
-        if most <= MAX_PIECES:  # a stage among others: the worker goes on to them and gives the memory back
-            del c
-            codec.cache_clear()
-            gc.collect()
-
-    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, DIGEST)
+    # a worker of a stage among others goes on to them, so it gives the memory back
+    return added(docs.selectExpr("doc_id", "cast(text AS string) AS text"), ["text"], "n_tokens long, ids_sha256 string, decoded_sha256 string", run, done if most <= MAX_PIECES else None)
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

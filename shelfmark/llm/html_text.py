@@ -3,12 +3,16 @@
 The page becomes a tree. For every node the characters per tag are adjusted by the share of link text (composite text
 density). A node's density sum adds its children's densities. The node with the largest sum is the body of the article;
 the least density on its path from the page's body is the threshold. From the body down, under every node that reaches
-the threshold, the subtree with the largest sum is content. Subtrees that are furniture by their element (navigation,
-forms, scripts, ...) or by a word of class, id or role are no part of the tree.
+the threshold, the subtree with the largest sum is content; so are headings beside that path, which are too short to be
+dense. Subtrees that are furniture by their element (navigation,
+forms, scripts, ...) or by a telling word of class, id or role (comments, sidebar, ...) are no part of the tree, as their
+text can be as dense as an article's. A word that can also stand at an article (share, related, ...) is a hint: such a
+subtree is left out unless it holds more than half of the text that is left.
 
 Blocks are joined in page order by newlines, white space inside a block becomes one space, character references are
 decoded; br counts as white space. Null or empty html, and pages without text, give an empty text. Broken markup is read
-as far as it goes: unclosed elements end with their block, stray end tags are ignored. Repeated rows give equal rows.
+as far as it goes: unclosed elements end with their block, stray end tags are ignored, and where a quote never ends,
+quotes count as plain characters from there on. Time is linear in the page's length. Repeated rows give equal rows.
 """
 
 from __future__ import annotations
@@ -16,103 +20,122 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import mapped
+from shelfmark.llm.common import added
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 FURNITURE = frozenset("head nav footer aside form script style noscript iframe template textarea title button select option input svg canvas object embed audio video dialog menu fieldset".split())
-#: Words of class, id or role that mark menus, notices, adverts and the like.
+#: Words of class, id or role that mark menus, adverts, comments and the like, and words that only hint at them.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent "
-    "notice notices alert popup modal newsletter subscribe signup login comment comments disqus reply replies respond share sharing social related recommended recommendations widget toolbar pagination pager contentinfo complementary search".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent "
+    "notice notices newsletter subscribe signup login comment comments disqus toolbar pagination pager contentinfo complementary".split()
 )
+HINTS = frozenset("promo alert popup modal reply replies respond share sharing social related recommended recommendations widget search".split())
 #: Elements that end an open p, and elements that end an open one of their own kind.
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table div section article main body blockquote".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+LISTS = ("ul", "ol", "dl", "table", "select")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+MARKUP = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+NAME, REST = re.compile(r"[^\s/>]*"), re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
 ATTRIBUTE = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "children", "dropped", "hinted", "inside", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children = tag, parent, []
+        self.tag, self.parent, self.children, self.hinted = tag, parent, [], False
         self.dropped = parent.dropped if parent else False
+        self.inside = bool(parent) and (parent.inside or parent.tag in ("article", "main"))
 
+    def judge(self, attributes: str) -> None:
+        """Marks furniture: dropped by its element or a telling word, hinted at by others."""
+        if self.tag in FURNITURE or self.tag == "header" and not self.inside:
+            self.dropped = True
+        elif self.tag not in ("body", "html", "article", "main"):
+            for m in ATTRIBUTE.finditer(attributes) if attributes else ():
+                words = set(WORD.findall((m[1] or m[2] or m[3] or "").lower()))
+                self.dropped |= not words.isdisjoint(MARKS) or "header" in words and not self.inside
+                self.hinted |= not words.isdisjoint(HINTS)
 
-def furniture(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in FURNITURE or tag == "header" and not inside:
-        return True
-    for m in ATTRIBUTE.finditer(attributes) if attributes else ():
-        words = set(WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-        if words & MARKS or "header" in words and not inside and tag != "body":
-            return tag not in ("body", "html", "article", "main")
-    return False
+
+class Tree:
+    """The open elements of a page while it is read. For each tag the depths at which it is open, so no step walks up the tree."""
+
+    def __init__(self) -> None:
+        self.root = Node("#root", None)
+        self.open, self.depths = [self.root], defaultdict(list)
+
+    def add(self, tag: str, attributes: str, stays: bool) -> None:
+        if tag in CLOSES_P:
+            self.close("p", SCOPE)
+        elif tag in SAME:
+            ends = max((t for t in SAME[tag] if self.depths[t]), key=lambda t: self.depths[t][-1] if tag != "tr" else t == "tr", default=None)
+            if ends:
+                self.close(ends, LISTS)
+        top = self.open[-1]
+        node = Node(tag, top)
+        if not node.dropped:
+            node.judge(attributes)
+            top.children.append(node)
+        if stays:
+            self.depths[tag].append(len(self.open))
+            self.open.append(node)
+
+    def close(self, tag: str, within: Iterable[str] = ()) -> None:
+        """Ends the innermost open element of this tag, unless one of `within` was opened inside it."""
+        at = self.depths[tag][-1] if self.depths[tag] else 0
+        if at and all(not self.depths[t] or self.depths[t][-1] < at for t in within):
+            while len(self.open) > at:
+                self.depths[self.open.pop().tag].pop()
 
 
 def parse(page: str) -> Node:
     """The page's tree; children are nodes and texts (decoded, with their white space)."""
-    root = Node("#root", None)
-    at, here, pos, end = root, 0, 0, len(page)
-    while pos < end:
-        m = TOKEN.search(page, pos)
-        stop = m.start() if m else end
-        if stop > pos and not at.dropped:
-            at.children.append(html.unescape(page[pos:stop]))
-        if not m:
-            break
-        pos = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            node = at
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                at = node.parent
+    tree, at, pos, end, quotes = Tree(), 0, 0, len(page), True
+
+    def text(stop: int) -> None:
+        top = tree.open[-1]
+        if stop > at and not top.dropped:
+            top.children.append(html.unescape(page[at:stop]))
+
+    while m := MARKUP.search(page, pos):
+        text(m.start())
+        at, kind = m.start(), m[0]
+        if kind in ("<!--", "<!", "<?"):
+            mark = "-->" if kind == "<!--" else ">"
+            found = page.find(mark, m.end())
+            at = pos = found + len(mark) if found >= 0 else end
             continue
-        if tag in CLOSES_P:
-            node = at
-            while node is not root and node.tag != "p" and node.tag not in SCOPE:
-                node = node.parent
-            if node.tag == "p":
-                at = node.parent
-        elif tag in SAME:
-            node = at
-            while node is not root and node.tag not in SAME[tag] and node.tag not in ("ul", "ol", "dl", "table", "select"):
-                node = node.parent
-            if node.tag in SAME[tag]:
-                at = node.parent
-                if tag == "tr" and node.tag in ("td", "th"):
-                    while at is not root and at.tag != "tr":
-                        at = at.parent
-                    at = at.parent if at.tag == "tr" else at
-        new = Node(tag, at)
-        if not new.dropped:
-            inside = False
-            up = at
-            while up is not None and not inside:
-                inside, up = up.tag in ("article", "main"), up.parent
-            new.dropped = furniture(tag, m[3], inside)
-            at.children.append(new)
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
-            pos = close.end() if close else end
-        elif tag not in VOID and not m[3].endswith("/"):
-            at = new
-    return root
+        name = NAME.match(page, m.end() - 1)
+        close = REST.match(page, name.end()).end() if quotes else page.find(">", name.end())
+        if quotes and not page.startswith(">", close):
+            quotes, close = False, page.find(">", name.end())
+        if close < 0:  # no tag ends any more: the rest is text
+            break
+        at = pos = close + 1
+        tag, rest = name[0].lower(), page[name.end() : close]
+        if kind[1] == "/":
+            tree.close(tag)
+        else:
+            raw = tag in RAW
+            tree.add(tag, rest, not raw and tag not in VOID and not rest.endswith("/"))
+            if raw:
+                ends = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+                at = pos = ends.end() if ends else end
+    text(end)
+    return tree.root
 
 
 def measure(root: Node) -> list[Node]:
@@ -134,6 +157,17 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
+def without_hinted(root: Node) -> list[Node]:
+    """measure(), after hinted subtrees that hold at most half of the text have gone."""
+    order = measure(root)
+    most = root.chars
+    if any(n.hinted for n in order):
+        for node in order:
+            node.dropped |= node.hinted and 2 * node.chars <= most
+        order = measure(root)
+    return order
+
+
 def densities(order: list[Node], body: Node) -> None:
     share = body.link_chars / max(body.chars, 1)
     for node in order:
@@ -142,46 +176,32 @@ def densities(order: list[Node], body: Node) -> None:
         node.density = c / t * max(0.0, math.log(max(c * t / (lc * lt), 1.0))) / base if c else 0.0
         inner = [x.density for x in node.children if isinstance(x, Node) and x.tag not in INLINE]
         node.total = sum(inner) if inner else node.density
+        # the block node of the subtree with the largest sum: the outermost among equals, then the first
+        node.best = max([node, *(x.best for x in node.children if isinstance(x, Node) and x.tag not in INLINE)], key=lambda x: x.total)
 
 
 def content(body: Node) -> set[int]:
     """Identities of the nodes whose subtrees are content."""
-    best = densest(body)
+    best = body.best
     threshold, node = best.density, best
-    while node is not body:
-        node = node.parent
-        threshold = min(threshold, node.density)
     chosen: set[int] = set()
-    # nodes on the path reach the threshold; an article element there is the article
-    node, article = best, None
     while node is not body:
-        article = node if node.tag == "article" else article
+        if node.parent is not body:  # a heading is too short to be dense; it is content beside the path to the text
+            chosen.update(id(x) for x in node.parent.children if isinstance(x, Node) and x.tag in HEADINGS)
         node = node.parent
-    if article is not None:
-        chosen.add(id(article))
-    stack = [body] if article is None else []
+        threshold = min(threshold, node.density)
+    stack = [body]
     while stack:
         node = stack.pop()
         if id(node) in chosen or not node.chars or node.density < threshold:
             continue
-        top = densest(node)
+        top = node.best
         chosen.add(id(top))
         if top is not node:
             stack.extend(c for c in node.children if isinstance(c, Node))
     return chosen
 
 
-def densest(top: Node) -> Node:
-    """The block node of the subtree with the largest density sum; the outermost among equals."""
-    best, stack = top, [top]
-    while stack:
-        node = stack.pop()
-        if node.total > best.total:
-            best = node
-        stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and c.tag not in INLINE)
-    return best
-
-
 def blocks(root: Node, chosen: set[int]) -> list[str]:
     """Texts of the blocks of the chosen subtrees in page order."""
     out: list[str] = []
@@ -221,7 +241,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    order = measure(root)
+    order = without_hinted(root)
     body = next((n for n in reversed(order) if n.tag == "body"), root)
     if not body.chars:
         return ""
@@ -230,15 +250,9 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, text: str = "text", source: str = "html") -> DataFrame:
-    """pages with the main text in place of the html."""
-    kept = [c for c in pages.columns if c not in (source, text)]
-    schema = pages.select(*kept).schema.add(text, "string")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f[kept].assign(**{text: [main_text(p) for p in f[source]]})
-
-    return mapped(pages.select(*kept, pages[source].cast("string").alias(source)), run, schema)
+    """pages with the main text in place of the html, and of a column of that name."""
+    kept = pages.select(*[c for c in pages.columns if c not in (source, text)], pages[source].cast("string").alias("_html"))
+    return added(kept, ["_html"], f"`{text}` string", lambda rows: [[main_text(p) for p in rows]])
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Quality classifier: a sparse ensemble of rules over text statistics, compiled to a Spark column.
 
 Shallow boosted trees are grown on the statistics of a labelled sample; every path from a root to a node is a
-conjunctive rule. A logistic regression with an L1 penalty on the rules keeps few of them. The score is one SQL
-expression over the statistics, so documents are scored where they are read, without Python.
+conjunctive rule. A logistic regression with an L1 penalty on the rules keeps few of them. Depth and penalty are chosen
+from SETTINGS on an inner fold of the training documents, never on the held-out fold. The score is one SQL expression
+over the statistics, so documents are scored where they are read, without Python.
 
 Null and empty texts have zero statistics and are scored like any other row. With labels of one class only, or none,
 the score is the prior. Repeated rows score alike. A null doc_id is scored; its held_out is false.
@@ -20,8 +21,9 @@ from shelfmark.llm.statistics import RATES, rates, statistics
 #: Labelled documents used for training: their statistics, some doubles each, go to the driver.
 MAX_TRAINING = 20_000
 FEATURES = [*RATES, "n_words", "n_lines"]
-TREES, DEPTH, BINS, LEAST_LEAF, SHRINK = 40, 3, 32, 20, 0.3
-L1, STEPS = 1e-3, 400
+TREES, BINS, LEAST_LEAF, SHRINK, STEPS = 40, 32, 20, 0.3, 400
+#: What is tried on the inner fold (every INNER-th training document by a hash of its id): depth of the trees and penalty.
+SETTINGS, INNER = [(2, 1e-3), (3, 1e-3), (3, 3e-4)], 5
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.5
 
 Rule = tuple[tuple[int, str, float], ...]
@@ -64,13 +66,30 @@ class RuleEnsemble:
     def __init__(self, rules: list[Rule], weights: np.ndarray, bias: float):
         self.rules, self.weights, self.bias = rules, weights, bias
 
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        s = np.full(len(x), self.bias)
+        for rule, w in zip(self.rules, self.weights, strict=True):
+            s += w * holds(rule, x)
+        return 1 / (1 + np.exp(-s))
+
     def column(self) -> Column:
         """The score as a Spark expression over FEATURES."""
         terms = [f"CASE WHEN {' AND '.join(f'{FEATURES[f]} {side} {cut!r}D' for f, side, cut in rule)} THEN {float(w)!r}D ELSE 0D END" for rule, w in zip(self.rules, self.weights, strict=True)]
         return F.expr(f"1D / (1D + exp(-({' + '.join([f'{self.bias!r}D', *terms])})))")
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
+def loss(model: RuleEnsemble, x: np.ndarray, y: np.ndarray) -> float:
+    p = np.clip(model.predict(x), 1e-9, 1 - 1e-9)
+    return float(-np.mean(np.where(y == 1, np.log(p), np.log1p(-p)))) if len(y) else 0.0
+
+
+def chosen(x: np.ndarray, y: np.ndarray, inner: np.ndarray) -> RuleEnsemble:
+    """The ensemble of all rows, under the setting whose fit to the rows outside `inner` has the least loss on those inside."""
+    losses = [loss(fit(x[~inner], y[~inner], *setting), x[inner], y[inner]) for setting in SETTINGS]
+    return fit(x, y, *SETTINGS[int(np.argmin(losses))])
+
+
+def fit(x: np.ndarray, y: np.ndarray, depth: int, penalty: float) -> RuleEnsemble:
     prior = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 2 * LEAST_LEAF or y.min() == y.max():
@@ -81,7 +100,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
     step = np.full(len(y), bias)
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-step))
-        grow(x, cuts, y - p, p * (1 - p), np.arange(len(y)), (), DEPTH, rules, step)
+        grow(x, cuts, y - p, p * (1 - p), np.arange(len(y)), (), depth, rules, step)
     distinct: dict[bytes, Rule] = {}
     for rule in rules:
         hit = holds(rule, x)
@@ -98,7 +117,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
     for _ in range(STEPS):
         g = (1 / (1 + np.exp(-(r @ u + ub))) - y) / len(y)
         new = u - rate * (r.T @ g)
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * L1, 0)
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * penalty, 0)
         nb = ub - rate * g.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         u, ub = new + (t - 1) / t2 * (new - w), nb + (t - 1) / t2 * (nb - b)
@@ -114,10 +133,11 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def train(table: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> RuleEnsemble:
     """Fits on the driver from the statistics of at most `most` labelled documents outside the held-out fold."""
-    chosen = sample_labels(labels, "quality", FOLDS, HELD_OUT, most)
-    rows = table.join(F.broadcast(chosen), table["doc_id"] == chosen["_id"]).select("_id", *[F.col(f).cast("double").alias(f) for f in FEATURES], "y").toPandas()
-    rows = rows.sort_values(["_id", *FEATURES], kind="stable")
-    return fit(rows[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)), rows["y"].to_numpy(float))
+    ids = sample_labels(labels, "quality", FOLDS, HELD_OUT, most)
+    rows = table.join(F.broadcast(ids), table["doc_id"] == ids["_id"]).select("_id", *[F.col(f).cast("double").alias(f) for f in FEATURES], "y", (F.pmod(F.xxhash64(F.lit("inner"), "_id"), F.lit(INNER)) == 0).alias("inner")).collect()
+    rows.sort(key=lambda r: tuple(r))
+    x = np.array([[r[f] for f in FEATURES] for r in rows], float).reshape(-1, len(FEATURES))
+    return chosen(x, np.array([r["y"] for r in rows], float), np.array([r["inner"] for r in rows], bool))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

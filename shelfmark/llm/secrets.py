@@ -1,10 +1,11 @@
 """Secret scans: fixed patterns, and character Markov models that tell random strings from ordinary identifiers.
 
-Two first-order models over character classes are trained: one on random strings of the alphabets keys are made of
-(drawn from a seeded generator, so labelled by construction), one on labelled ordinary identifiers: the words of a
-bounded sample of documents in which no fixed pattern matches, and their compounds. A run of [A-Za-z0-9+/_=-] of
-MIN_RUN characters or more, with a digit or both cases, is a secret if its log-likelihood ratio per character exceeds
-the threshold that at most MAX_FALSE of the ordinary sample reach. The method only adds spans; the patterns' stay.
+Two first-order models over characters are trained: one on random strings of the alphabets keys are made of (drawn from
+a seeded generator, so labelled by construction), one on labelled ordinary identifiers: words of a bounded sample of the
+corpus and of code in the ways names are built from them, numbers and dates. Runs of [A-Za-z0-9+/_=-] are cut where a
+fixed pattern matched; a part of MIN_RUN characters or more is a secret if its log-likelihood ratio exceeds a threshold,
+the larger of two: at most MAX_FALSE of held-out identifiers reach it, and at most MAX_MISSED of held-out random strings
+stay below it. Shorter parts carry too little evidence for these rates. The method only adds spans; the patterns' stay.
 
 Null text counts as empty and has no spans; empty tables train on the generator and built-in words alone. Repeated rows
 each get their spans. Positions are code points, ends exclusive.
@@ -16,13 +17,11 @@ import hashlib
 import random
 import re
 import string
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import documents, mapped
+from shelfmark.llm.common import added, documents
 
 #: The patterns of the contract, in their order, with the group and length that count.
 PATTERNS = [
@@ -32,14 +31,18 @@ PATTERNS = [
     ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16),
 ]
 KINDS = [p[0] for p in PATTERNS] + ["random"]
-MIN_RUN, MAX_FALSE = 20, 1e-4
+MIN_RUN, MAX_FALSE, MAX_MISSED = 16, 1e-4, 0.02
 RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
-#: Documents read to train the model of ordinary identifiers, and random strings drawn.
-SAMPLE_DOCS, SAMPLE_RANDOM, SEED = 2_000, 4_000, 7
+#: Bounds of the sample: documents read and different words taken from them (both by least hash), strings drawn of either kind.
+SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_RANDOM, SAMPLE_NAMES, SEED = 2_000, 20_000, 12_000, 80_000, 7
 #: Alphabets of random strings.
 ALPHABETS = [string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_uppercase + "234567", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_"]
-#: Ordinary identifiers that are in no corpus sample of prose.
-NAMES = ["get_user_account_by_id", "ApplicationConfigurationManager", "com/example/project/service/impl", "max_retry_count_exceeded", "HTTPSConnectionPoolTimeoutError", "test-integration-pipeline-2024-01-15", "https-www-example-com-index", "READ_WRITE_ACCESS_PERMISSION", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "-" * 30, "=" * 30, "_" * 30]
+#: Words that names in code are built from (fixed sample of ordinary identifiers).
+CODE_WORDS = (
+    "get set add read write user name account list index value count max min size time date file path url http https www com org net example project service config configuration manager handler client server request response error exception timeout retry "
+    "connection pool test integration pipeline build release version data table column row key item object factory builder interface implementation internal external access permission image video audio main default update delete create select where order group "
+    "html css js json xml utf ascii src lib bin include node module package import export class function return string integer boolean array map filter reduce the and for with from this that"
+).split()
 _SYMBOLS = {c: k for k, c in enumerate(string.ascii_letters + string.digits + "+/_=-")}
 _OTHER = len(_SYMBOLS)
 
@@ -49,13 +52,15 @@ def codes(text: str) -> np.ndarray:
 
 
 class RandomnessModel:
-    """Log-likelihood ratio per character of random against ordinary strings."""
+    """Log-likelihood ratio of random against ordinary strings. Of either kind, half the strings train and half set the threshold."""
 
     def __init__(self, random_strings: list[str], ordinary: list[str]):
-        self.ratio = self.table(random_strings) - self.table(ordinary)
-        scores = sorted(self.score(s) for s in ordinary if len(s) >= MIN_RUN)
-        at = min(len(scores) - 1, int(np.ceil(len(scores) * (1 - MAX_FALSE)))) if scores else -1
-        self.threshold = max(scores[at] if scores else 0.0, 0.25)
+        self.ratio = self.table(random_strings[::2]) - self.table(ordinary[::2])
+        self.threshold = max(self.quantile(ordinary[1::2], 1 - MAX_FALSE), self.quantile(random_strings[1::2], MAX_MISSED))
+
+    def quantile(self, strings: list[str], share: float) -> float:
+        scores = sorted(self.score(s) for s in strings if len(s) >= MIN_RUN)
+        return scores[min(len(scores) - 1, int(np.ceil(len(scores) * share)))]
 
     @staticmethod
     def table(samples: list[str]) -> np.ndarray:
@@ -70,11 +75,10 @@ class RandomnessModel:
 
     def score(self, s: str) -> float:
         c = codes(s)
-        return float(self.ratio[c[:-1], c[1:]].mean())
+        return float(self.ratio[c[:-1], c[1:]].sum())
 
     def is_random(self, s: str) -> bool:
-        kinds = any(ch.isdigit() for ch in s), any("a" <= ch <= "z" for ch in s), any("A" <= ch <= "Z" for ch in s)
-        return sum(kinds) >= 2 and len(set(s)) >= 8 and self.score(s) > self.threshold
+        return self.score(s) > self.threshold
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -82,28 +86,57 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return [(m.start(), m.end(), k) for k, (_, pattern, group, least) in enumerate(PATTERNS) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> RandomnessModel:
-    """Fits both models on the driver from at most sample_docs documents (whole texts of up to 20,000 characters)."""
+def drawn_strings(rng: random.Random, n: int) -> list[str]:
+    return ["".join(rng.choices(rng.choice(ALPHABETS), k=rng.randrange(MIN_RUN, 64))) for _ in range(n)]
+
+
+def ordinary_names(rng: random.Random, words: list[str], n: int) -> list[str]:
+    """Names in the usual ways: joined words in every case, numbered, dated, plain numbers, rules of one character, the alphabet."""
+    cases = [str.lower, str.upper, str.capitalize, lambda w: w[:1].lower() + w[1:]]
+    out = []
+    for _ in range(n):
+        kind, case = rng.random(), rng.choice(cases)
+        if kind < 0.85:
+            name = rng.choice(["", "_", "-", "/", "=", "--", "+"]).join(case(w) for w in rng.choices(words, k=rng.randrange(2, 7)))
+            out.append(name + rng.choice(["", "", "", str(rng.randrange(10)), str(rng.randrange(2100)), f"-{rng.randrange(1990, 2030)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}"]))
+        elif kind < 0.97:
+            out.append(rng.choice(["", "-", "/"]).join(str(rng.randrange(10 ** rng.randrange(1, 7))) for _ in range(rng.randrange(3, 8))))
+        elif kind < 0.98:
+            out.append(rng.choice("-=_+/x0") * rng.randrange(MIN_RUN, 80))
+        else:
+            row = rng.choice([string.ascii_lowercase, string.ascii_uppercase, string.digits]) * 3
+            out.append(row[(k := rng.randrange(26)) : k + rng.randrange(MIN_RUN, 40)])
+    return out
+
+
+def words_of(docs: DataFrame, most_docs: int, most_words: int) -> list[str]:
+    """Different words of a sample of documents in which no fixed pattern matches."""
+    some = docs.select("doc_id", F.col("text").cast("string").alias("_text")).where("doc_id IS NOT NULL")
+    ids = some.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(most_docs).distinct()
+    found = added(some.join(F.broadcast(ids), some["doc_id"] == ids["_id"]).select("_text"), ["_text"], "words array<string>", lambda texts: [[sorted(set(re.findall(r"[A-Za-z]{2,}|[0-9]+", t))) if t and not base_spans(t) else [] for t in texts]])
+    rows = found.select(F.explode("words").alias("w")).distinct().orderBy(F.xxhash64("w"), "w").limit(most_words).collect()
+    return sorted(r[0] for r in rows)
+
+
+def train(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most_words: int = SAMPLE_WORDS) -> RandomnessModel:
+    """Fits both models on the driver from words of at most most_docs documents, at most most_words of them."""
     rng = random.Random(SEED)
-    drawn = ["".join(rng.choices(a, k=rng.randrange(20, 64))) for a in ALPHABETS for _ in range(SAMPLE_RANDOM // len(ALPHABETS))]
-    some = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL AND length(text) BETWEEN 1 AND 20000")
-    ids = some.select(F.col("doc_id").alias("_id")).distinct().orderBy("_id").limit(sample_docs)
-    rows = some.join(F.broadcast(ids), some["doc_id"] == ids["_id"]).groupBy("doc_id").agg(F.max("text").alias("text")).select("text").collect()
-    words = sorted({w for (text,) in rows if not base_spans(text) for w in re.findall(r"[A-Za-z0-9]{3,}", text)} | {"the", "and", "value", "name"})
-    rng.shuffle(words)
-    words = words[:50_000]
-    ordinary = list(words) + NAMES * 3
-    for _ in range(20_000):
-        parts = [rng.choice(words) for _ in range(rng.randrange(2, 5))]
-        style = rng.randrange(5)
-        ordinary.append("".join(p.capitalize() for p in parts) if style == 0 else ["_", "-", "/", ""][style - 1].join(parts) + (str(rng.randrange(2100)) if rng.random() < 0.2 else ""))
-    return RandomnessModel(drawn, ordinary)
+    words = words_of(docs, most_docs, most_words)
+    pick = CODE_WORDS + words if len(words) < len(CODE_WORDS) else CODE_WORDS * (len(words) // len(CODE_WORDS)) + words
+    return RandomnessModel(drawn_strings(rng, SAMPLE_RANDOM), ordinary_names(rng, pick, SAMPLE_NAMES))
 
 
 def spans(text: str, model: RandomnessModel) -> list[tuple[int, int, int]]:
     """Base spans and those the model adds beside them, by start, then kind."""
-    found = base_spans(text)
-    more = [(m.start(), m.end(), len(PATTERNS)) for m in RUN.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in found) and model.is_random(m[0])]
+    found = sorted(base_spans(text), key=lambda x: (x[0], x[2]))
+    more = []
+    for m in RUN.finditer(text):
+        at = m.start()
+        for start, end, _ in [*found, (m.end(), m.end(), 0)]:
+            if end > at and start <= m.end():
+                if start - at >= MIN_RUN and model.is_random(text[at:start]):
+                    more.append((at, start, len(PATTERNS)))
+                at = max(at, end)
     return sorted(found + more, key=lambda x: (x[0], x[2]))
 
 
@@ -113,14 +146,11 @@ def written(found: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame, model: RandomnessModel, keys: list[str]) -> DataFrame:
     """keys and found: an array of (kind, start, end) for every row of docs."""
-    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    schema = docs.select(*keys).schema.add("found", T.ArrayType(span))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f[keys].assign(found=[[{"kind": KINDS[k], "start": s, "end": e} for s, e, k in spans(t or "", model)] for t in f["text"]])
+    def run(texts: list[str | None]) -> list[list]:
+        return [[[{"kind": KINDS[k], "start": s, "end": e} for s, e, k in spans(t or "", model)] for t in texts]]
 
-    return mapped(docs.select(*keys, docs["text"].cast("string").alias("text")), run, schema)
+    return added(docs.select(*keys, docs["text"].cast("string").alias("_text")), ["_text"], "found array<struct<kind: string, start: bigint, end: bigint>>", run)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +158,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = train(docs)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            found = [spans(t or "", model) for t in f["text"]]
-            base = [[x for x in g if x[2] < len(PATTERNS)] for g in found]
-            counts = {f"n_{kind}": [sum(x[2] == k for x in g) for g in base] for k, (kind, *_) in enumerate(PATTERNS)}
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), **counts, "base_sha256": [hashlib.sha256(written(g).encode()).hexdigest() for g in base], "spans": [written(g) for g in found]})
+    def run(texts: list[str | None]) -> list[list]:
+        found = [spans(t or "", model) for t in texts]
+        base = [[x for x in g if x[2] < len(PATTERNS)] for g in found]
+        return [*([sum(x[2] == k for x in g) for g in base] for k in range(len(PATTERNS))), [hashlib.sha256(written(g).encode()).hexdigest() for g in base], [written(g) for g in found]]
 
-    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, schema)
+    return added(docs.selectExpr("doc_id", "cast(text AS string) AS text"), ["text"], "n_assign long, n_access long, n_hex long, base_sha256 string, spans string", run)

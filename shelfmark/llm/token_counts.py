@@ -13,13 +13,12 @@ don't depend on it. A long word takes time in proportion to its length and match
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import documents, mapped
+from shelfmark.llm.common import added, documents
 
 #: The piece file, by its name among the public tokenizers.
 VOCABULARY = "piece_bpe_32k.model"
@@ -101,15 +100,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def counted(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """keys, n_tokens, n_byte_tokens and score of every row."""
-    schema = docs.select(*keys).schema.add("n_tokens", "long").add("n_byte_tokens", "long").add("score", "double")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(texts: list[str | None]) -> Iterable[Iterable]:
         c = counter(path)
-        for f in frames:
-            rows = [c.text(t) for t in f["text"]]
-            yield f[keys].assign(n_tokens=[r[0] for r in rows], n_byte_tokens=[r[1] for r in rows], score=[r[2] for r in rows])
+        return zip(*[c.text(t) for t in texts], strict=True) if texts else ([], [], [])
 
-    return mapped(docs.select(*keys, docs["text"].cast("string").alias("text")), run, schema)
+    return added(docs.select(*keys, docs["text"].cast("string").alias("_text")), ["_text"], "n_tokens long, n_byte_tokens long, score double", run)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
