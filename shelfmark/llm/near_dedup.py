@@ -1,17 +1,18 @@
 """Near-duplicate documents: MinHash signatures, banding, verification and connected components.
 
-Documents with the same shingle set form a class at once; the smallest doc_id stands for it. Classes that agree in one
-of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair shares none with probability (1 - 0.8 ** 4) ** 32,
-below 5e-8. Within a bucket not all pairs are made: first every class is held against the bucket's centre, the class
-with the most company over all its buckets. Links confirmed on the full sets give components. In buckets that still
-hold several components, classes leave whose shingles are so often their own that no partner in the bucket can reach the
-threshold. For those that stay, a partner shares at most what both share with the centre, and what they share besides:
-few pairs can reach the threshold by the first, and they are found by size; all others have a shingle besides the
-centre's in common and are found by it. So the pairs of a bucket are tested that can be links, and a family of many
-distant copies isn't paired with itself. Signatures drop pairs whose agreement is far below 0.8 before sets are read.
-
-Null or empty text, and text without words: an empty set, linked with nothing. Rows that repeat a doc_id are one
-document with each of their texts. A row without doc_id is kept, with no component. Extra columns are ignored.
+Rows with the same shingle set form a class at once; its head is the least of them by (doc_id, hash of the text), rows
+without doc_id last. Classes that agree in one of BANDS bands of ROWS hash minima share a bucket. At J = 0.8 a pair
+shares none with probability (1 - 0.8 ** 4) ** 32, below 5e-8. Within a bucket not all pairs are made: first every class
+is held against the bucket's centre, the class with the most company over all its buckets. Links confirmed on the full
+sets give components. The classes of buckets that still hold several components are joined by their rarest shingles: a
+partner must share PERCENT of a class's shingles, so the rarest of both, as many as may differ and one more, have one in
+common. Where more than HOT classes share such a shingle, they are first held against the one with the most company
+again, so a family of copies of a copy isn't paired with itself. Signatures drop pairs whose agreement is far below 0.8
+before sets are read.
+
+Null or empty text, and text without words: an empty set, linked with nothing. Rows are told apart by doc_id and text, so
+rows that repeat a doc_id with other text are other documents. component_id is the smallest doc_id of the component, null
+if none of its rows has one. A row without doc_id counts as kept only then. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.common import bounded, discard, documents, mapped, stored
+from shelfmark.llm.common import added, bounded, discard, documents, mapped, stored
 from shelfmark.llm.components import components
 from shelfmark.llm.shingles import mixed, shingle_set
 
@@ -32,9 +33,9 @@ BANDS, ROWS = 32, 4
 PERCENT = 80
 #: Signature rows that must agree before sets are compared. At J = 0.8 fewer of the 128 agree with probability below 2e-6.
 MIN_AGREE = 80
-#: How often classes without a possible partner are taken out; each time those left have fewer shingles in common.
-PRUNINGS = 3
-#: Ids up to which they are broadcast to find their documents (8 bytes each); beyond, a shuffle join does it.
+#: Classes that may share a rare shingle before they are held against one of them.
+HOT = 32
+#: Documents up to which their keys are broadcast to find their texts (24 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_IDS = 1_000_000
 #: Shingles hashed at once, to bound memory for very long texts.
 CHUNK = 1024
@@ -56,20 +57,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def text_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+
 def signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the shingle set (null if it is empty), sig."""
+    """doc_id, mark (hash of the text), n_shingles, digest of the shingle set (null if it is empty), sig."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            ns, digests, sigs = [], [], []
-            for text in f["text"]:
-                s = shingle_set(text, size)
-                ns.append(len(s))
-                digests.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                sigs.append(signature(s).tobytes() if len(s) else None)
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_shingles": ns, "digest": digests, "sig": sigs})
+    def run(texts: list[str | None]) -> list[list]:
+        sets = (shingle_set(t, size) for t in texts)
+        rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s).tobytes()) if len(s) else (0, None, None) for s in sets]
+        return [list(x) for x in zip(*rows, strict=True)] if rows else [[], [], []]
 
-    return mapped(docs.selectExpr("doc_id", "cast(text AS string) AS text"), run, "doc_id long, n_shingles long, digest string, sig binary")
+    return added(docs.select("doc_id", text_hash(docs).alias("mark"), docs["text"].cast("string").alias("_text")), ["_text"], "n_shingles long, digest binary, sig binary", run)
 
 
 def bucketed(reps: DataFrame) -> DataFrame:
@@ -101,20 +101,20 @@ def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return mapped(joined, run, "u long, v long")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """id and shingle set (bytes of sorted 64-bit hashes) of the documents in ids (column i, distinct), stored."""
-
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"id": f["doc_id"], "s": [shingle_set(t, size).tobytes() for t in f["text"]]})
-
-    here = docs.selectExpr("doc_id", "cast(text AS string) AS text").where("doc_id IS NOT NULL")
-    found = mapped(here.join(bounded(ids, MAX_BROADCAST_IDS), here["doc_id"] == ids["i"], "left_semi"), sets, "id long, s binary")
-    return stored(found, "shingle-sets")
+def shingle_sets(docs: DataFrame, heads: DataFrame, some: DataFrame, size: int, repeated: bool) -> DataFrame:
+    """id and shingle set (bytes of sorted 64-bit hashes) of the classes in some (column i, distinct), read at their heads (rep, doc_id,
+    mark), stored. repeated: whether rows occur that are alike in doc_id and text."""
+    at = heads.join(some, heads["rep"] == some["i"]).select(F.col("rep").alias("id"), F.col("doc_id").alias("_d"), F.col("mark").alias("_m"))
+    here = docs.select("doc_id", text_hash(docs).alias("mark"), docs["text"].cast("string").alias("_text"))
+    at = bounded(at, MAX_BROADCAST_IDS)
+    met = here.join(at, here["doc_id"].eqNullSafe(at["_d"]) & (here["mark"] == at["_m"])).select("id", "_text")
+    if repeated:
+        met = met.groupBy("id").agg(F.first("_text").alias("_text"))
+    return stored(added(met, ["_text"], "s binary", lambda texts: [[shingle_set(t, size).tobytes() for t in texts]]), "shingle-sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Those of the stored pairs (u, v) that satisfy the threshold on their full shingle sets."""
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the stored pairs (u, v) that satisfy the threshold on their full shingle sets, stored."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -125,158 +125,139 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
             yield f.loc[keep, ["u", "v"]] if len(f) else f[["u", "v"]]
 
-    found = shingle_sets(docs, pairs.select(F.col("u").alias("i")).union(pairs.select("v")).distinct(), size)
-    a, b = (found.select(F.col("id").alias(f"i{c}"), F.col("s").alias(c)) for c in "ab")
+    a, b = (sets.select(F.col("id").alias(f"i{c}"), F.col("s").alias(c)) for c in "ab")
     joined = pairs.join(a, pairs["u"] == a["ia"]).select("u", "v", "a").join(b, F.col("v") == b["ib"]).select("u", "v", "a", "b")
-    out = stored(mapped(joined, run, "u long, v long").distinct(), "confirmed")
-    discard(found)
-    return out
+    return stored(mapped(joined, run, "u long, v long").distinct(), "confirmed")
 
 
 def pair(leader: str, other: str) -> list:
     return [F.greatest(leader, other).alias("u"), F.least(leader, other).alias("v")]
 
 
-def open_rows(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """rows (bucket, rep and others) of buckets that hold more than one component, with comp."""
-    of = edges.select(F.col("u").alias("node"), F.col("v").alias("_comp"))
-    kept = [c for c in rows.columns if c != "comp"]
-    known = rows.join(of, rows["rep"] == of["node"], "left").select(*kept, F.coalesce("_comp", "rep").alias("comp"))
-    mixed_ = known.groupBy(F.col("bucket").alias("b")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("b")
-    return known.join(mixed_, known["bucket"] == mixed_["b"], "left_semi")
+def with_components(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows (rep and others) with comp, the component of rep."""
+    of = edges.select(F.col("u").alias("_node"), F.col("v").alias("_comp"))
+    return rows.join(of, rows["rep"] == of["_node"], "left").select(*rows.columns, F.coalesce("_comp", "rep").alias("comp"))
 
 
-def reachable(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """rows (bucket, rep) that may yet have a partner in their bucket, with size and shared.
+def several(rows: DataFrame, key: str) -> DataFrame:
+    """rows (key, comp and others) of the keys that hold more than one component."""
+    mixed_ = rows.groupBy(F.col(key).alias("_k")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("_k")
+    return rows.join(mixed_, rows[key] == mixed_["_k"], "left_semi")
 
-    shared is how many of the class's shingles any other class of rows has; no partner can have more in common with it.
-    With the least size in the bucket this bounds J, and what stays below the threshold leaves.
-    """
-    reps = rows.select(F.col("rep").alias("r")).distinct()
-    here = sets.join(reps, sets["id"] == reps["r"], "left_semi")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for i, s in zip(f["id"], f["s"], strict=True):
-                yield pd.DataFrame({"s": np.frombuffer(s, np.int64), "i": i})
+def centres(rows: DataFrame, key: str, company: DataFrame) -> DataFrame:
+    """_c and leader: per key the class with the most company."""
+    scored = rows.select(key, "rep").join(company, rows["rep"] == company["r"])
+    return scored.groupBy(F.col(key).alias("_c")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
 
-    once = mapped(here, run, "s long, i long").groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("i")).where("n = 1")
-    own = once.groupBy(F.col("i").alias("o")).agg(F.count(F.lit(1)).alias("lone"))
-    size = here.select("id", (F.length("s") / 8).cast("long").alias("size"))
-    known = size.join(own, size["id"] == own["o"], "left").select("id", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))
-    x = rows.select("bucket", "rep").join(known, rows["rep"] == known["id"]).select("bucket", "rep", "size", "shared")
-    least = x.groupBy(F.col("bucket").alias("b")).agg(F.min("size").alias("least"))
-    x = x.join(least, x["bucket"] == least["b"]).where(f"100 * shared >= {PERCENT} * (size + greatest(least, shared) - shared)")
-    return x.select("bucket", "rep", "size", "shared")
 
+def rare(sets: DataFrame) -> DataFrame:
+    """s, rep, n (shingles) and at (from 1, its place by rarity) for the rarest shingles of each class, as many as a partner may lack
+    and one more. Those that no other class has stand first and join nothing, so they are only counted."""
 
-def besides(group: DataFrame, sets: DataFrame) -> DataFrame:
-    """leader, rep, comp, stray with n (shingles), a (of them the leader's), whole, and fresh: the shingles besides the leader's, or
-    (whole is false) as many of the least as any partner must share one of."""
+    def run(rows: list[bytes]) -> list[list]:
+        return [[np.frombuffer(s, np.int64) for s in rows]]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for x, o in zip(f["x"], f["o"], strict=True):
-                mine = np.frombuffer(x, np.uint64)
-                fresh = np.setdiff1d(mine, np.frombuffer(o, np.uint64), assume_unique=True)
-                n, a = len(mine), len(mine) - len(fresh)
-                # a partner has PERCENT of n at least, so PERCENT of n in common, all but a of it besides the leader's
-                must = max(1, -(-PERCENT * n // 100) - a)
-                out.append((n, a, must == 1, fresh[: max(0, len(fresh) - must + 1)].astype(np.int64)))
-            yield f[["leader", "rep", "comp", "stray"]].assign(**{c: [r[k] for r in out] for k, c in enumerate(("n", "a", "whole", "fresh"))})
-
-    x, o = sets.select(F.col("id").alias("ix"), F.col("s").alias("x")), sets.select(F.col("id").alias("io"), F.col("s").alias("o"))
-    met = group.join(x, group["rep"] == x["ix"]).drop("ix")
-    met = met.join(o, met["leader"] == o["io"]).drop("io")
-    return mapped(met, run, "leader long, rep long, comp long, stray boolean, n long, a long, whole boolean, fresh array<bigint>")
-
-
-def partners(beside: DataFrame) -> DataFrame:
-    """Pairs (u, v) of one leader, of different components, that can reach the threshold by what they share with the leader and besides it.
-
-    What a pair shares is at most the lesser a and the shingles both have besides the leader's. If a is enough, the sizes tell, and
-    partners are found by size; else they share a fresh shingle and are found by it. Where both fresh lists are whole, the
-    shared ones are counted.
-    """
-    row = beside.select("leader", "rep", "comp", "stray", "n", "a", "whole")
-    side = lambda d, k: d.select([F.col(c).alias(f"{c}{k}") for c in d.columns])
-    bin_ = lambda c: f"cast(floor(ln({c}) / ln(1.05D)) AS int)"
-    low, high = f"{PERCENT / 100}D * n", f"{1 + 100 / PERCENT}D * a - n"
-    first = side(row.where("stray").withColumn("size", F.expr(f"explode(CASE WHEN {high} >= {low} AND {high} > 0 THEN sequence({bin_(low)}, {bin_(high)}) END)")), 1)
-    second = side(row.withColumn("size", F.expr(bin_("n"))), 2)
-    apart = "rep1 <> rep2 AND comp1 <> comp2"
-    by_size = first.join(second, (first["leader1"] == second["leader2"]) & (first["size1"] == second["size2"])).where(f"{apart} AND {100 + PERCENT} * least(a1, a2) >= {PERCENT} * (n1 + n2)")
-    item = beside.select("leader", "rep", "comp", "stray", "n", "a", "whole", F.explode("fresh").alias("s"))
-    x, y = side(item, 1), side(item, 2)
-    fits = f"rep1 < rep2 AND comp1 <> comp2 AND (stray1 OR stray2) AND {100 + PERCENT} * least(n1, n2) >= {PERCENT} * (n1 + n2)"
-    shared = x.join(y, (x["leader1"] == y["leader2"]) & (x["s1"] == y["s2"])).where(fits)
-    counted = shared.groupBy("leader1", "rep1", "rep2", "n1", "n2", "a1", "a2", "whole1", "whole2").agg(F.count(F.lit(1)).alias("k"))
-    by_shingle = counted.where(f"NOT (whole1 AND whole2) OR {100 + PERCENT} * (least(a1, a2) + k) >= {PERCENT} * (n1 + n2)")
-    return by_size.select(*pair("rep1", "rep2")).union(by_shingle.select(*pair("rep1", "rep2"))).distinct()
-
-
-def linked(reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Component edges (u, v) between class representatives; v is the smallest of the component."""
+    each = added(sets.select("id", "s"), ["s"], "x array<bigint>", run).select("id", F.size("x").alias("n"), F.explode("x").alias("s"))
+    often = each.groupBy(F.col("s").alias("o")).agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    met = each.join(often, each["s"] == often["o"]).groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "s"))).alias("x"))
+    met = met.withColumn("own", F.expr("n - size(x)")).withColumn("most", F.expr(f"n - cast(ceil({PERCENT} * n / 100) AS int) + 1 - own")).where("most > 0")
+    return met.select(F.col("id").alias("rep"), "n", "own", F.posexplode(F.expr("transform(slice(x, 1, most), y -> y.s)")).alias("at", "s")).select("s", "rep", "n", F.expr("own + at + 1").alias("at"))
+
+
+def linked(reps: DataFrame, heads: DataFrame, docs: DataFrame, size: int, repeated: bool) -> DataFrame:
+    """Component edges (u, v) between classes; v is the smallest of the component. reps: rep, sig; heads: rep, doc_id, mark."""
     rows = bucketed(reps)
     shared = rows.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = stored(rows.join(shared, rows["bucket"] == shared["b"]).select("bucket", "rep", "n"), "buckets")
-    company = rows.groupBy(F.col("rep").alias("r")).agg(F.sum("n").alias("score"))
-    scored = rows.join(company, rows["rep"] == company["r"]).select("bucket", "rep", "score")
-    centre = scored.groupBy(F.col("bucket").alias("b")).agg(F.expr("max_by(rep, struct(score, -rep))").alias("leader"))
-    centre = stored(centre, "centres")
-    tested = rows.join(centre, rows["bucket"] == centre["b"]).where("rep <> leader").select(*pair("rep", "leader")).distinct()
+    company = stored(rows.groupBy(F.col("rep").alias("r")).agg(F.sum("n").alias("score")), "company")
+    centre = centres(rows, "bucket", company)
+    tested = rows.join(centre, rows["bucket"] == centre["_c"]).where("rep <> leader").select(*pair("rep", "leader")).distinct()
     near = stored(agreeing(tested, reps), "near-pairs")
-    links = confirmed(near, docs, size)
-    discard(near)
+    ends = lambda pairs: pairs.select(F.col("u").alias("i")).union(pairs.select("v")).distinct()
+    sets = shingle_sets(docs, heads, ends(near), size, repeated)
+    links = confirmed(near, sets)
     edges = components(links)
-    discard(links)
+    for done in (near, links, sets):
+        discard(done)
     # what the centres left apart
-    left = stored(open_rows(rows.select("bucket", "rep"), edges).select("bucket", "rep"), "open-buckets")
+    left = stored(several(with_components(rows.select("bucket", "rep"), edges), "bucket").select("rep").distinct(), "open-classes")
     discard(rows)
-    if not left.limit(1).count():
-        return edges
-    sets = shingle_sets(docs, left.select(F.col("rep").alias("i")).distinct(), size)
-    for _ in range(PRUNINGS):
-        new = stored(open_rows(reachable(left, sets), edges), "open-buckets")
-        discard(left)
-        left = new
-    group = left.join(centre, left["bucket"] == centre["b"]).where("rep <> leader").select("leader", "rep", "comp").distinct()
-    of = edges.select(F.col("u").alias("node"), F.col("v").alias("lcomp"))
-    group = group.join(of, group["leader"] == of["node"], "left").select("leader", "rep", "comp", (F.col("comp") != F.coalesce("lcomp", "leader")).alias("stray"))
-    beside = stored(besides(group, sets), "beside-centres")
-    near = stored(agreeing(partners(beside), reps), "near-pairs")
-    for done in (beside, sets, left, centre):
+    if left.limit(1).count():
+        sets = shingle_sets(docs, heads, left.select(F.col("rep").alias("i")), size, repeated)
+        shingles = stored(rare(sets), "rare-shingles")
+        busy = stored(shingles.groupBy(F.col("s").alias("b")).agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select("b"), "hot-shingles")
+        if busy.limit(1).count():
+            hot = several(with_components(shingles.join(bounded(busy, MAX_BROADCAST_IDS), shingles["s"] == F.col("b"), "left_semi").select("s", "rep"), edges), "s")
+            middle = centres(hot, "s", company)
+            near = stored(agreeing(hot.join(middle, hot["s"] == middle["_c"]).where("rep <> leader").select(*pair("rep", "leader")).distinct(), reps), "near-pairs")
+            edges = joined(edges, near, sets)
+        x, y = (several(with_components(shingles, edges), "s").select([F.col(c).alias(f"{c}{k}") for c in ("s", "rep", "comp", "n", "at")]) for k in "12")
+        # the shingles from a common one on, in the order of rarity, bound what a pair can share
+        fits = f"rep1 < rep2 AND comp1 <> comp2 AND {100 + PERCENT} * (least(n1 - at1, n2 - at2) + 1) >= {PERCENT} * (n1 + n2)"
+        near = stored(agreeing(x.join(y, F.col("s1") == F.col("s2")).where(fits).select(*pair("rep1", "rep2")).distinct(), reps), "near-pairs")
+        edges = joined(edges, near, sets)
+        for done in (shingles, busy, sets):
+            discard(done)
+    for done in (left, company):
         discard(done)
-    if near.limit(1).count():
-        edges = components(confirmed(near, docs, size).union(edges).distinct())
-    discard(near)
     return edges
 
 
-def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of docs; size: words of a shingle."""
+def joined(edges: DataFrame, near: DataFrame, sets: DataFrame) -> DataFrame:
+    """edges after the links among the stored pairs near, which go."""
+    links = confirmed(near, sets)
+    out = components(links.union(edges).distinct()) if links.limit(1).count() else edges
+    for done in (near, links, *([edges] if out is not edges else [])):
+        discard(done)
+    return out
+
+
+def grouped(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, mark, n_shingles and head (doc_id and mark of the component's first row; null for an empty set) of every row, stored."""
     sig = stored(signed(docs, size), "signatures")
-    real = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = stored(real.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    heads = classes.select(F.col("digest").alias("d"), "rep")
-    reps = real.join(heads, (real["doc_id"] == heads["rep"]) & (real["digest"] == heads["d"])).select("rep", "sig").distinct()
-    reps = stored(reps, "representatives")
-    edges = linked(reps, docs, size)
-    discard(reps)
-    top = heads.join(edges, heads["rep"] == edges["u"], "left").select("d", F.coalesce("v", "rep").alias("component"))
-    out = sig.select("doc_id", "n_shingles", "digest").join(top, F.col("digest") == top["d"], "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = stored(out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")), "near-duplicates")
+    real = sig.where("digest IS NOT NULL")
+    repeated = bool(real.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count())
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("head")
+    classes = real.groupBy("digest").agg(head, F.first("sig").alias("sig"))
+    # numbers are fixed when the table is written
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    heads = classes.select("rep", "head.doc_id", "head.mark")
+    edges = linked(classes.select("rep", "sig"), heads, docs, size, repeated)
+    top = with_components(classes.select("digest", "head", "rep"), edges)
+    least = top.groupBy(F.col("comp").alias("_of")).agg(F.min("head").alias("first"))
+    top = top.join(least, top["comp"] == least["_of"]).select(F.col("digest").alias("_digest"), "first")
+    out = sig.join(top, sig["digest"] == top["_digest"], "left").select("doc_id", "mark", "n_shingles", F.col("first").alias("head"))
+    out = stored(out, "groups")
     for done in (sig, classes, edges):
         discard(done)
     return out
 
 
+def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of docs; size: words of a shingle."""
+    of = F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id"))
+    return grouped(docs, size).select("doc_id", "n_shingles", of.alias("component_id"), F.coalesce(F.col("doc_id") == of, of.isNull()).alias("kept"))
+
+
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
-    """docs without the documents that near_duplicates() doesn't keep."""
-    gone = stored(near_duplicates(docs, size).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(bounded(gone, MAX_BROADCAST_IDS), docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each group of near copies: the least by doc_id and hash of the text, rows without doc_id last; of rows alike in
+    both, any one. Rows with an empty set stay."""
+    groups = grouped(docs, size).where("head IS NOT NULL")
+    own = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("mark") == F.col("head.mark"))
+    key = [F.col("doc_id").alias("_gd"), F.col("mark").alias("_gm")]
+    gone = stored(groups.where(~own).select(*key).distinct(), "near-copies")
+    twice = stored(groups.where(own).groupBy(*key).count().where("count > 1").drop("count"), "repeated-rows")
+    discard(groups)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_d"), text_hash(docs).alias("_m"))
+    on = lambda x: rows["_d"].eqNullSafe(x["_gd"]) & (rows["_m"] == x["_gm"])
+    rest = rows.join(bounded(gone, MAX_BROADCAST_IDS), on(gone), "left_anti")
+    if twice.limit(1).count():
+        some = bounded(twice, MAX_BROADCAST_IDS)
+        once = rest.join(some, on(twice), "left_semi").groupBy("_d", "_m").agg(F.first("_row").alias("_row"))
+        rest = rest.join(some, on(twice), "left_anti").select("_row").union(once.select("_row"))
+    return rest.select([F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,8 +117,8 @@ def near_by_hand(docs: dict, size: int) -> dict:
     return {d: (len(sets[d]), find(d), find(d) == d) for d in docs}
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates_equal_all_pairs(spark, texts, size):
+@pytest.mark.parametrize(("size", "hot"), [(2, 2), (5, 2), (2, 32)])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, texts, size, hot):
     rng = random.Random(size)
     docs = dict(texts)
     base = texts[1].split(" ")
@@ -129,9 +129,11 @@ def test_near_duplicates_equal_all_pairs(spark, texts, size):
         docs[1000 + k] = " ".join(words)
     docs |= {2000: None, 2001: "", 2002: " \n", 2003: "One", 2004: "one", 2005: "one two", 2006: "ONE\ttwo"}
     d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "HOT", hot)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(d, size).collect()}
     assert got == near_by_hand(docs, size)
-    assert {r.doc_id for r in near_dedup.keep_one(d, size).collect()} == {k for k, v in near_by_hand(docs, size).items() if v[2]}
+    if hot == 2:
+        assert {r.doc_id for r in near_dedup.keep_one(d, size).collect()} == {k for k, v in near_by_hand(docs, size).items() if v[2]}
 
 
 def test_near_duplicates_on_edges(spark, edges):
@@ -142,6 +144,16 @@ def test_near_duplicates_on_edges(spark, edges):
     assert near_dedup.near_duplicates(edges.limit(0), 2).count() == 0
 
 
+def test_keep_one_keeps_one_row_of_each_group(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven", "all by itself it stands"
+    rows = [(1, a, "x"), (2, a, "y"), (2, b, "z"), (None, a, "x"), (None, c, "p"), (None, c, "q"), (4, c + " ", "r"), (5, "", "s"), (6, "", "t"), (7, "a a", "u"), (7, "a a", "v"), (None, "z z", "w"), (None, "z z", "w")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, sig string")
+    got = [(r.doc_id, r.text) for r in near_dedup.keep_one(d).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (4, c + " "), (5, ""), (6, ""), (7, "a a"), (None, "z z")], key=str)
+    out = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(d).collect()}
+    assert {(2, 2, 1, False), (2, 1, 2, True), (None, 2, 1, False), (None, 1, 4, False), (None, 1, None, True)} <= out
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k + 1, k) for k in range(60)] + [(1000 + k, 999) for k in range(50)]
     got = {r.u: r.v for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
@@ -456,6 +468,48 @@ def test_token_counts_equal_library(spark, edges):
     assert len(rows) == len(EDGES) and [r.n_tokens for r in rows if r.doc_id in (1, 2)] == [0, 0]
 
 
+# ids beside nulls
+
+
+def test_large_ids_beside_nulls_stay_exact(spark):
+    big = 2**60 + 1
+    text = "some words that are long enough to count here"
+    d = spark.createDataFrame([(big, text), (None, text), (big + 1, None)], "doc_id long, text string")
+    ids = lambda out: sorted((r.doc_id for r in out.collect()), key=str)
+    want = sorted([big, None, big + 1], key=str)
+    model = secrets.train(d)
+    assert ids(secrets.scan(d, model, ["doc_id"])) == want
+    assert ids(bpe.digests(d, bpe.vocabulary_path())) == want and ids(bpe.encode(d, bpe.vocabulary_path())) == want
+    assert ids(toxicity.scored(d, toxicity.NoisyOr({}, -3.0), ["doc_id"])) == want
+    assert ids(token_counts.counted(d, token_counts.vocabulary_path(), ["doc_id"])) == want
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(d).collect()} == {(big, big), (None, big), (big + 1, big + 1)}
+    assert ids(html_text.extract(d.withColumnRenamed("text", "html"))) == want
+    assert ids(line_dedup.dedup_lines(d)) == want and ids(quality_rules.judged(d.withColumn("lang", F.lit("en")), labels(spark))) == want
+
+
+def test_columns_with_clashing_names(spark):
+    d = spark.createDataFrame([(1, "a b", [7], "old", 3.0, "x")], "doc_id long, text string, ids array<int>, found string, score double, decoded string")
+    out = bpe.encode(d, bpe.vocabulary_path())
+    assert sorted(out.columns) == sorted(d.columns) and out.first().ids != [7]
+    assert bpe.decode(out, bpe.vocabulary_path()).first().decoded == "a b"
+    assert secrets.scan(d, secrets.RandomnessModel(["x8Qk2LmZ91vTbR4yWc7N"] * 4, ["plain_words_in_a_row"] * 4), ["doc_id"]).first().found == []
+    assert toxicity.scored(d, toxicity.NoisyOr({}, -3.0), ["doc_id"]).columns == ["doc_id", "score", "offending"]
+    assert near_dedup.keep_one(d).columns == d.columns and line_dedup.dedup_lines(d).columns == d.columns
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"word{k % 700} is here. " + ("\n" if k % 40 == 0 else "") for k in range(60_000))
+    d = spark.createDataFrame([(1, long, "en"), (2, long + " and more", "en"), (3, "z" * 300_000, "en")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.kept for r in near_dedup.near_duplicates(d).collect()} == {1: True, 2: False, 3: True}
+    assert {r.doc_id for r in decontamination.leaks(d, spark.createDataFrame([(1, " ".join(f"word{k} is here" for k in range(5, 20)))], "item_id long, text string"), ["doc_id"]).collect()} == {1, 2}
+    assert {r.doc_id: r.n_words for r in quality_rules.judged(d, labels(spark)).collect()} == {1: 180_000, 2: 180_002, 3: 1}
+    assert line_dedup.dedup_lines(d).count() == 3
+    assert all(0 <= r.score <= 1 for r in toxicity.scored(d, toxicity.NoisyOr({"word1": 1.0}, -9.0), ["doc_id"]).collect())
+    assert {r.doc_id: r.n_tokens > 0 for r in token_counts.counted(d, token_counts.vocabulary_path(), ["doc_id"]).collect()} == {1: True, 2: True, 3: True}
+    assert html_text.main_text(f"<body><p>{long}</p></body>") == " ".join(long.split())
+    assert secrets.base_spans("f" * 400_000) == [(0, 400_000, 2)]
+
+
 # 10
 
 
