@@ -16,9 +16,9 @@ them whole that has exactly as many edits before it as segments, so that segment
 min(i, t - i) at most: about t * t / 2 keys a line. Keys are hashes made where the line is read, so line texts aren't
 shuffled; a line is its class's first 64 bits in them. A segment that more than HOT lines share isn't joined. Its lines
 are compared with the earliest of them, which settles those that are similar to it. Then they are joined by grams: lines
-within t edits differ in GRAM * t of their substrings of GRAM characters at most, so that the GRAM * t + 1 rarest of a
-line (its prefix) hold one of the other line's. Lines that differ in whole words have rare grams there, however many
-segments they share. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
+within t edits differ in GRAM * t of their substrings of GRAM characters at most, so the GRAM * t + 1 rarest of a line
+(its prefix) hold one that the other line's prefix has too, at most t characters away. Lines that differ in whole words
+have rare grams there, however many segments they share. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
 which neither is open aren't made. The texts of candidates alone are read again, and each pair is verified with a banded
 bit-parallel edit distance.
 
@@ -170,28 +170,23 @@ def near_first(rows: DataFrame, lines: DataFrame, threshold: int | None) -> Data
 
 
 def line_grams(line: str) -> list[int]:
-    """The line's substrings of GRAM characters as hashes; the second of equal ones is another gram, and so on."""
-    seen: dict[str, int] = {}
-    out = []
-    for k in range(len(line) - GRAM + 1):
-        g = line[k : k + GRAM]
-        seen[g] = n = seen.get(g, -1) + 1
-        out.append(xxhash.xxh3_64_intdigest(g.encode("utf-8", "surrogatepass"), n) - (1 << 63))
-    return out
+    """The line's substrings of GRAM characters as hashes, by their place."""
+    return [xxhash.xxh3_64_intdigest(line[k : k + GRAM].encode("utf-8", "surrogatepass")) - (1 << 63) for k in range(len(line) - GRAM + 1)]
 
 
 def prefixes(lines: DataFrame, threshold: int | None) -> DataFrame:
-    """k, h1, place and n (length) for the rarest grams of each line, as many as its edits can change and one more."""
+    """k, pos, h1, place and n (length) for the rarest grams of each line: as many as its edits can change and one more, and all
+    other places of the last of them."""
 
     def run(texts: list[str]) -> list[list]:
         return [[line_grams(x) for x in texts], [len(x) for x in texts], [GRAM * edits_of(len(x), threshold) + 1 for x in texts]]
 
     grams = stored(added(lines.select("h1", "place", "line"), ["line"], "grams array<bigint>, n int, most int", run), "hot-grams")
-    each = grams.select("h1", F.explode("grams").alias("k"))
+    each = grams.select("h1", F.posexplode("grams").alias("pos", "k"))
     often = each.groupBy(F.col("k").alias("g")).agg(F.count(F.lit(1)).alias("often"))
-    ranked = each.join(often, each["k"] == often["g"]).groupBy(F.col("h1").alias("l1")).agg(F.sort_array(F.collect_list(F.struct("often", "k"))).alias("r"))
-    out = grams.select("h1", "place", "n", "most").join(ranked, F.col("h1") == F.col("l1"))
-    return out.select(F.explode(F.expr("transform(slice(r, 1, most), x -> x.k)")).alias("k"), "h1", "place", "n")
+    ranked = each.join(often, each["k"] == often["g"]).groupBy(F.col("h1").alias("l1")).agg(F.sort_array(F.collect_list(F.struct("often", "k", "pos"))).alias("r"))
+    out = grams.select("h1", "place", "n", "most").join(ranked, F.col("h1") == F.col("l1")).withColumn("z", F.expr("element_at(r, least(most, size(r)))"))
+    return out.select(F.explode(F.expr("filter(r, x -> x.often < z.often OR x.often = z.often AND x.k <= z.k)")).alias("x"), "h1", "place", "n").select("x.k", "x.pos", "h1", "place", "n")
 
 
 def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int | None) -> tuple[DataFrame, DataFrame | None]:
@@ -213,10 +208,10 @@ def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_c
     grams = settled_on_disk(prefixes(lines, threshold), "hot-prefixes", rows)
     settled = stored(first.union(near_first(grams, lines, threshold)).distinct(), "hot-copies")
     done = settled.select(F.col("h1").alias("d1")).distinct()
-    x, y = (grams.select([F.col(c).alias(f"{s}_{c}") for c in ("k", "h1", "n")]) for s in "xy")
+    x, y = (grams.select([F.col(c).alias(f"{s}_{c}") for c in ("k", "pos", "h1", "n")]) for s in "xy")
     open_ = x.join(bounded(done, MAX_BROADCAST_DOCS), F.col("x_h1") == F.col("d1"), "left_anti")
     widest = max(most)
-    met = open_.join(y, (F.col("x_k") == F.col("y_k")) & (F.col("x_h1") != F.col("y_h1")) & (F.abs(F.col("x_n") - F.col("y_n")) <= widest))
+    met = open_.join(y, (F.col("x_k") == F.col("y_k")) & (F.col("x_h1") != F.col("y_h1")) & (F.abs(F.col("x_n") - F.col("y_n")) <= widest) & (F.abs(F.col("x_pos") - F.col("y_pos")) <= widest))
     met = met.select(F.least("x_h1", "y_h1").alias("a1"), F.greatest("x_h1", "y_h1").alias("b1"))
     pairs = settled_on_disk(met.union(found).distinct(), "line-pairs", found, lines, grams, first)
     return pairs, settled
