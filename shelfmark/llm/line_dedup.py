@@ -18,7 +18,8 @@ shuffled; a line is its class's first 64 bits in them. A segment that more than
 are compared with the earliest of them, which settles those that are similar to it. Then they are joined by grams: lines
 within t edits differ in GRAM * t of their substrings of GRAM characters at most, so the GRAM * t + 1 rarest of a line
 (its prefix) hold one that the other line's prefix has too, at most t characters away. Lines that differ in whole words
-have rare grams there, however many segments they share. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
+have rare grams there, however many segments they share. A pair whose letter counts differ by more than t edits can
+explain doesn't leave that join. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
 which neither is open aren't made. The texts of candidates alone are read again, and each pair is verified with a banded
 bit-parallel edit distance.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,8 +48,8 @@ EDIT_EACH, MAX_EDITS = 10, 6
 MIN_CHARS = 30
 #: Bands are a third wider than their least length up to here; the last is open.
 LAST_BAND = 4096
-#: Lines that may share a segment before they are joined by grams, and the length of these.
-HOT, GRAM = 32, 4
+#: Lines that may share a segment before they are joined by grams, the length of these, and classes of characters that are counted.
+HOT, GRAM, LETTERS = 32, 4, 32
 #: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_DOCS = 500_000
 #: Line numbers to stay that may be broadcast with their documents' keys (4 bytes each); beyond, texts are joined by a shuffle.
@@ -174,19 +176,24 @@ def line_grams(line: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest(line[k : k + GRAM].encode("utf-8", "surrogatepass")) - (1 << 63) for k in range(len(line) - GRAM + 1)]
 
 
+def letter_counts(line: str) -> list[int]:
+    """Characters by their code modulo LETTERS; an edit changes two counts by one at most."""
+    return np.minimum(np.bincount(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) % LETTERS, minlength=LETTERS), 32_767).tolist()
+
+
 def prefixes(lines: DataFrame, threshold: int | None) -> DataFrame:
-    """k, pos, h1, place and n (length) for the rarest grams of each line: as many as its edits can change and one more, and all
+    """k, pos, h1, place, n (length) and bag (letter counts) for the rarest grams of each line: as many as its edits can change and one more, and all
     other places of the last of them."""
 
     def run(texts: list[str]) -> list[list]:
-        return [[line_grams(x) for x in texts], [len(x) for x in texts], [GRAM * edits_of(len(x), threshold) + 1 for x in texts]]
+        return [[line_grams(x) for x in texts], [len(x) for x in texts], [GRAM * edits_of(len(x), threshold) + 1 for x in texts], [letter_counts(x) for x in texts]]
 
-    grams = stored(added(lines.select("h1", "place", "line"), ["line"], "grams array<bigint>, n int, most int", run), "hot-grams")
+    grams = stored(added(lines.select("h1", "place", "line"), ["line"], "grams array<bigint>, n int, most int, bag array<smallint>", run), "hot-grams")
     each = grams.select("h1", F.posexplode("grams").alias("pos", "k"))
     often = each.groupBy(F.col("k").alias("g")).agg(F.count(F.lit(1)).alias("often"))
     ranked = each.join(often, each["k"] == often["g"]).groupBy(F.col("h1").alias("l1")).agg(F.sort_array(F.collect_list(F.struct("often", "k", "pos"))).alias("r"))
-    out = grams.select("h1", "place", "n", "most").join(ranked, F.col("h1") == F.col("l1")).withColumn("z", F.expr("element_at(r, least(most, size(r)))"))
-    return out.select(F.explode(F.expr("filter(r, x -> x.often < z.often OR x.often = z.often AND x.k <= z.k)")).alias("x"), "h1", "place", "n").select("x.k", "x.pos", "h1", "place", "n")
+    out = grams.select("h1", "place", "n", "most", "bag").join(ranked, F.col("h1") == F.col("l1")).withColumn("z", F.expr("element_at(r, least(most, size(r)))"))
+    return out.select(F.explode(F.expr("filter(r, x -> x.often < z.often OR x.often = z.often AND x.k <= z.k)")).alias("x"), "h1", "place", "n", "bag").select("x.k", "x.pos", "h1", "place", "n", "bag")
 
 
 def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int | None) -> tuple[DataFrame, DataFrame | None]:
@@ -208,10 +215,10 @@ def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_c
     grams = settled_on_disk(prefixes(lines, threshold), "hot-prefixes", rows)
     settled = stored(first.union(near_first(grams, lines, threshold)).distinct(), "hot-copies")
     done = settled.select(F.col("h1").alias("d1")).distinct()
-    x, y = (grams.select([F.col(c).alias(f"{s}_{c}") for c in ("k", "pos", "h1", "n")]) for s in "xy")
+    x, y = (grams.select([F.col(c).alias(f"{s}_{c}") for c in ("k", "pos", "h1", "n", "bag")]) for s in "xy")
     open_ = x.join(bounded(done, MAX_BROADCAST_DOCS), F.col("x_h1") == F.col("d1"), "left_anti")
     widest = max(most)
-    met = open_.join(y, (F.col("x_k") == F.col("y_k")) & (F.col("x_h1") != F.col("y_h1")) & (F.abs(F.col("x_n") - F.col("y_n")) <= widest) & (F.abs(F.col("x_pos") - F.col("y_pos")) <= widest))
+    met = open_.join(y, (F.col("x_k") == F.col("y_k")) & (F.col("x_h1") != F.col("y_h1")) & (F.abs(F.col("x_n") - F.col("y_n")) <= widest) & (F.abs(F.col("x_pos") - F.col("y_pos")) <= widest) & F.expr(f"aggregate(zip_with(x_bag, y_bag, (a, b) -> abs(a - b)), 0, (s, v) -> s + v) <= {2 * widest}"))
     met = met.select(F.least("x_h1", "y_h1").alias("a1"), F.greatest("x_h1", "y_h1").alias("b1"))
     pairs = settled_on_disk(met.union(found).distinct(), "line-pairs", found, lines, grams, first)
     return pairs, settled

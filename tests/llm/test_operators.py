@@ -598,6 +598,36 @@ def test_line_dedup_drops_short_copies(spark):
     assert {r.doc_id: r.text for r in got} == {1: docs[0][1], 2: "1.\n---\nAll rights reserves.", 3: "\n", 4: None}
 
 
+def test_op10_equals_brute_force(spark, texts):
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.dropped) for r in line_dedup.op10_line_dedup(spark, SF1).collect()}
+    first: dict[str, int] = {}
+    long: list[str] = []
+    bags: list[np.ndarray] = []
+    n_copies = 0
+    for d in sorted(texts):
+        lines, gone = (texts[d] or "").split("\n"), []
+        for k, raw in enumerate(lines):
+            x = raw.strip(" \t\r\x0b\x0c")
+            if len(x) < 30 and not any(c.isalpha() for c in x):
+                continue
+            if x in first:
+                gone.append(k)
+                continue
+            first[x] = 1
+            if len(x) < 30:
+                continue
+            # characters that differ bound the edits from below; what is left is compared in full
+            bag = np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) % 128, minlength=128)
+            near = np.flatnonzero(np.abs(np.array(bags) - bag).sum(axis=1) <= 4) if bags else []
+            if any(abs(len(long[j]) - len(x)) <= 2 and edits(long[j], x) <= 2 for j in near):
+                gone.append(k)
+                n_copies += 1
+            long.append(x)
+            bags.append(bag)
+        assert got[d] == (len(lines), len(gone), ",".join(map(str, gone))), d
+    assert len(got) == len(texts)
+
+
 def test_line_dedup_on_edges(spark, edges):
     out = line_dedup.dedup_lines(edges)
     assert out.columns == edges.columns and out.count() == len(EDGES)
