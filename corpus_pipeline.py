@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import bpe, decontamination, line_dedup, near_dedup, quality_rules
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import discard, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id (five-word shingles, similarity 0.8)."""
+    """One row of each group of near copies: the one with the smallest doc_id (five-word shingles, similarity 0.8)."""
     return near_dedup.keep_one(docs)
 
 
@@ -50,7 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents. Each stage's table goes once the next is stored; the last one's input stays for the lazy result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
