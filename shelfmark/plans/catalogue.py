@@ -5,7 +5,6 @@ The benchmark tables hold no retail records, so titles, keys and places are made
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfmark.functions import text, values
 from shelfmark.operators import dimensions, history, identity, migration, outbox
 from shelfmark.plans import titles
+from shelfmark.schemas import struct
+from shelfmark.sources import receiver
 from shelfmark.streaming import sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,30 +36,156 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("""SELECT event_id, ts, user_id, event_type, value FROM events
-WHERE ts > TIMESTAMP '2024-01-02' OR (ts = TIMESTAMP '2024-01-02' AND event_id > 100) ORDER BY ts, event_id LIMIT 500""")
+def receiver_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The eight receiver tables: customers stand for artifacts, orders for products, two rows for each customer for units, lineitem for
+    children. PAGE says the same in SQL."""
+    c, o, li = table(spark, d, "customer"), table(spark, d, "orders"), table(spark, d, "lineitem")
+
+    def shaped(name: str, df: DataFrame, made: dict[str, str]) -> DataFrame:
+        return df.select(*[F.expr(made.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in struct(name)])
+
+    child = {"id": "l_partkey", "product_id": "l_orderkey", "sort_order": "l_linenumber"}
+    two = c.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    return {
+        "run_artifacts": shaped("run_artifacts", c, {"id": "c_custkey", "run_id": "'run-' || c_custkey", "parser_name": "CASE c_custkey % 3 WHEN 0 THEN ' FixPrice' WHEN 1 THEN 'chizhik' END", "ingested_at": "'2024-01-' || lpad(cast(1 + c_custkey % 28 AS string), 2, '0') || 'T10:00:00Z'", "latitude": "c_acctbal"}),
+        "run_artifact_products": shaped("run_artifact_products", o, {
+            "id": "o_orderkey", "artifact_id": "o_custkey", "sku": "CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE 'sku-' || o_orderkey END", "title": "CASE WHEN o_orderkey % 7 = 3 THEN '  ' ELSE 'Item ' || o_orderkey END", "price": "o_totalprice",
+            "unit": "CASE o_orderkey % 3 WHEN 0 THEN 'kgm' WHEN 1 THEN 'PCE' ELSE 'box' END", "categories_uid_json": "CASE WHEN o_orderkey % 2 = 0 THEN '[\"c2\",\"c2\",\"c9\"]' ELSE 'c1, c2' END", "main_image": "'http://h/images/' || o_orderkey || '.webp'",
+        }),
+        "run_artifact_categories": shaped("run_artifact_categories", two, {"id": "c_custkey * 2 + k", "artifact_id": "c_custkey", "uid": "'c' || k", "title": "'Group ' || (c_custkey % 2) || k"}),
+        "run_artifact_administrative_units": shaped("run_artifact_administrative_units", two, {"id": "c_custkey * 2 + k", "artifact_id": "c_custkey", "country": "'Land'", "region": "c_mktsegment", "name": "c_name || k"}),
+        "run_artifact_product_images": shaped("run_artifact_product_images", li.where("l_linenumber <> 5"), child | {"url": "CASE WHEN l_linenumber = 3 THEN ' ' ELSE 'http://h/images/' || l_partkey || '.webp' END"}),
+        "run_artifact_product_meta": shaped("run_artifact_product_meta", li, child | {"name": "'flag'", "value_text": "l_returnflag || l_partkey"}),
+        "run_artifact_product_wholesale_prices": shaped("run_artifact_product_wholesale_prices", li.where("l_linenumber < 3"), child | {"from_items": "l_partkey * 1D", "price": "l_extendedprice"}),
+        "run_artifact_product_categories": shaped("run_artifact_product_categories", o.where("o_orderkey % 11 = 0"), {"id": "o_orderkey", "product_id": "o_orderkey", "category_uid": "'c1'", "sort_order": "0"}),
+    }
+
+
+#: Products with their artifact and its unit of least id.
+PAGE = """SELECT o.*, c.*, make_timestamp(2024, 1, 1 + c_custkey % 28, 10, 0, 0) AS seen, c_name || '1' AS unit_name FROM orders o JOIN customer c ON o_custkey = c_custkey"""
+
+
+@query(f"""SELECT o_orderkey AS product_id, 'run-' || c_custkey AS run_id, unit_name FROM ({PAGE}) WHERE c_custkey % 3 = 0 AND (seen > TIMESTAMP '2024-01-07 10:00:00' OR (seen = TIMESTAMP '2024-01-07 10:00:00' AND o_orderkey > 100)) ORDER BY seen, o_orderkey LIMIT 500""")
 def keyset_page(spark, d):
     """The page after a cursor; its size is the feature."""
-    at = F.lit("2024-01-02").cast("timestamp_ntz")
-    e = table(spark, d, "events").where((F.col("ts") > at) | ((F.col("ts") == at) & (F.col("event_id") > 100)))
-    return e.orderBy("ts", "event_id").limit(500).select("event_id", "ts", "user_id", "event_type", "value")
+    t = receiver_tables(spark, d)
+    out = receiver.page(t["run_artifact_products"], t["run_artifacts"], t["run_artifact_administrative_units"], 500, "fixprice", ("2024-01-07 10:00:00", 100))
+    return out.select(F.col("product.id").alias("product_id"), F.col("artifact.run_id").alias("run_id"), F.col("unit_row.name").alias("unit_name"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, o_custkey, c_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON o_custkey = c_custkey""")
+@query(f"""SELECT o_orderkey AS product_id, c_custkey AS artifact_id, c_mktsegment AS region, unit_name FROM ({PAGE})""")
 def fetch_join(spark, d):
-    c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_custkey", "c_name")
+    t = receiver_tables(spark, d)
+    out = receiver.page(t["run_artifact_products"], t["run_artifacts"], t["run_artifact_administrative_units"], 0)
+    return out.select(F.col("product.id").alias("product_id"), F.col("artifact.id").alias("artifact_id"), F.col("unit_row.region").alias("region"), F.col("unit_row.name").alias("unit_name"))
 
 
-@query("""SELECT o_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS lines, count(l_linenumber) AS n_lines
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+@query("""SELECT o_orderkey AS product_id, string_agg(l_linenumber || ':' || l_returnflag || l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_returnflag) AS meta FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def child_collect(spark, d):
-    kids = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("k"))
-    o = table(spark, d, "orders").select("o_orderkey").join(kids, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    joined = F.array_join(F.transform("k", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",")
-    return o.select("o_orderkey", joined.alias("lines"), F.coalesce(F.size("k"), F.lit(0)).cast("long").alias("n_lines"))
+    keys = table(spark, d, "orders").select(F.col("o_orderkey").alias("_pid"))
+    meta = receiver.gathered(receiver_tables(spark, d)["run_artifact_product_meta"], keys, ["value_text", "sort_order"], "m")
+    out = keys.join(meta, F.col("_pid") == F.col("product_id"), "left")
+    listed = F.array_join(F.transform("m", lambda x: F.concat_ws(":", x["sort_order"].cast("string"), x["value_text"])), ",")
+    return out.select(F.col("_pid").alias("product_id"), listed.alias("meta"))
+
+
+@query(f"""WITH i AS (SELECT l_orderkey AS ik, l_partkey, min(l_linenumber * 1000000 + l_partkey) AS place FROM lineitem WHERE l_linenumber NOT IN (3, 5) GROUP BY ALL),
+images AS (SELECT ik, string_agg('http://h/images/' || l_partkey || '.webp', '|' ORDER BY place) AS urls FROM i GROUP BY ik),
+w AS (SELECT l_orderkey AS wk, count(*) AS n FROM lineitem WHERE l_linenumber < 3 GROUP BY 1),
+p AS (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN 'c1' WHEN o_orderkey % 2 = 0 THEN 'c2|c9' ELSE 'c1|c2' END AS uids FROM ({PAGE}) LEFT JOIN images ON ik = o_orderkey LEFT JOIN w ON wk = o_orderkey)
+SELECT coalesce(CASE c_custkey % 3 WHEN 0 THEN 'fixprice' WHEN 1 THEN 'chizhik' END, 'unknown') AS parser_name, 'receiver:run-' || c_custkey || ':' || o_orderkey AS source_id,
+CASE WHEN o_orderkey % 7 = 3 THEN 'Unnamed product' ELSE 'Item ' || o_orderkey END AS title, CASE WHEN o_orderkey % 5 <> 0 THEN 'sku-' || o_orderkey END AS sku, o_totalprice AS price, CASE o_orderkey % 3 WHEN 0 THEN 'KGM' WHEN 1 THEN 'PCE' END AS unit,
+CASE uids WHEN 'c1' THEN 'Group ' || (c_custkey % 2) || '1' WHEN 'c2|c9' THEN 'Group ' || (c_custkey % 2) || '2' ELSE 'Group ' || (c_custkey % 2) || '1 / Group ' || (c_custkey % 2) || '2' END AS category,
+'Land, ' || c_mktsegment || ', ' || unit_name AS geo, coalesce(urls, 'http://h/images/' || o_orderkey || '.webp') AS images, uids, CAST(coalesce(n, 0) AS INTEGER) AS n_wholesale FROM p""")
+def receiver_records(spark, d):
+    """Whole raw records: defaults, first unit, child arrays, categories by uid, images."""
+    r = receiver.records(receiver_tables(spark, d), 0)
+    listed = F.array_join(F.transform("payload.categories", lambda x: x["uid"]), "|")
+    return r.select("parser_name", "source_id", "title", "sku", "price", "unit", "category", "geo", F.array_join("image_urls", "|").alias("images"), listed.alias("uids"), F.when(F.col("payload.wholesale").isNull(), 0).otherwise(F.size("payload.wholesale")).alias("n_wholesale"))
+
+
+#: The nine queries below are of more operators, each through the library.
+@query("""WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN value END AS v FROM events)
+SELECT event_id, user_id, coalesce(v, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS value FROM e
+WHERE ts NOT IN (SELECT ts FROM events GROUP BY ts HAVING count(*) > 1)""")
+def backfill_past(spark, d):
+    """Values from earlier records of the same key only; instants that occur twice are left to backfill_nearest and the tests."""
+    e = table(spark, d, "events")
+    once = e.groupBy("ts").count().where("count = 1").select("ts")
+    rows = e.join(once, "ts", "left_semi").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    return history.backfill(rows, ["user_id"], "ts", "event_id", ["value"], past_only=True).select("event_id", "user_id", "value")
+
+
+@query("""SELECT page_id, lower(trim(coalesce(n_name, 'Atlantis'))) AS country, CASE WHEN page_id % 3 <> 0 THEN 'region ' || (page_id % 5) END AS region, CASE WHEN page_id % 2 = 0 THEN page_id * 1.5::DOUBLE ELSE -1.0::DOUBLE END AS latitude
+FROM pages LEFT JOIN nation ON n_nationkey = page_id % 30""")
+def geo_parts(spark, d):
+    """Places from the payload, else from the comma-separated text; the first complete pair of coordinates."""
+    p = table(spark, d, "pages").join(table(spark, d, "nation"), F.expr("n_nationkey = page_id % 30"), "left")
+    payload = F.struct(F.col("n_name").alias("country"), F.expr("CASE WHEN n_name IS NOT NULL AND page_id % 3 <> 0 THEN ' Region  ' || (page_id % 5) END").alias("region"), F.lit(None).cast("string").alias("name"))
+    text_ = F.expr("'Atlantis,' || CASE WHEN page_id % 3 <> 0 THEN 'region ' || (page_id % 5) ELSE ' ' END")
+    rows = p.select("page_id", payload.alias("payload"), text_.alias("geo"), F.expr("CASE WHEN page_id % 2 = 0 THEN page_id * 1.5D END").alias("lat"), F.lit(2.0).alias("lon"), F.lit(-1.0).alias("a"))
+    out = rows.select("page_id", dimensions.geo_parts("payload", F.col("geo")).alias("g"), dimensions.coordinates([(F.col("lat"), F.lit(None).cast("double")), (F.col("lat"), F.col("lon")), (F.col("a"), F.col("a"))]).alias("xy"))
+    return out.select("page_id", "g.country", "g.region", "xy.latitude")
+
+
+@query("""WITH c AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN [p_type, p_brand] ELSE ['top', lower(p_type)] END AS titles FROM part), u AS (SELECT p_partkey, unnest(titles) AS title, generate_subscripts(titles, 1) - 1 AS sort_order FROM c)
+SELECT p_partkey, title, CAST(sort_order AS INTEGER) AS sort_order FROM u""")
+def category_candidates(spark, d):
+    """Listed categories, or the parts of a normalised text."""
+    entry = lambda t, k: f"struct(cast(NULL AS string) AS uid, cast(NULL AS string) AS parent_uid, {t} AS title, cast(NULL AS int) AS depth, {k} AS sort_order)"
+    listed = F.expr(f"CASE WHEN p_partkey % 3 = 0 THEN array({entry('p_type', 0)}, {entry('p_brand', 1)}) ELSE slice(array({entry('p_type', 0)}), 1, 0) END")
+    p = table(spark, d, "part").select("p_partkey", F.explode(dimensions.category_candidates(listed, F.expr("'Top/ /' || p_type"))).alias("c"))
+    return p.select("p_partkey", "c.title", "c.sort_order")
+
+
+@query("""WITH s AS (SELECT c_nationkey, arg_min(c_name, c_custkey) FILTER (WHERE c_custkey % 4 = 0) AS x, arg_min(c_name, c_custkey) FILTER (WHERE c_custkey % 4 = 1) AS y, max(c_custkey) AS z FROM customer GROUP BY 1)
+SELECT c_nationkey AS geo_key, coalesce(x, y) AS name, z AS last_seen FROM s""")
+def dimension_merge(spark, d):
+    """A stored dimension completed by a batch: known values stay, missing ones are filled, last_seen moves on."""
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("geo_key"), F.col("c_custkey").alias("k"), "c_name")
+    part = lambda rows, keep: history.first_known(rows.withColumn("name", F.expr(f"CASE WHEN k % 4 = {keep} THEN c_name END")), ["geo_key"], ["k"], ["name"], "k")
+    out = history.merge_first(part(c.where("k % 2 = 0"), 0), part(c.where("k % 2 = 1"), 1), ["geo_key"], ["name"])
+    return out.select("geo_key", "name", "last_seen")
+
+
+@query("""SELECT page_id, sha256(url) AS fp, url AS canonical, 0 AS n_dup FROM pages""")
+def image_rows(spark, d):
+    """Urls of every record made canonical and distinct; a repeated url adds nothing."""
+    p = table(spark, d, "pages").select("page_id", F.array("url", F.concat(F.lit(" "), "url")).alias("image_urls"))
+    rows = p.withColumn("image_urls", F.transform("image_urls", F.trim))
+    out = identity.dedup_images(rows, ["page_id"])
+    return out.select("page_id", F.array_join("image_fingerprints", "|").alias("fp"), F.array_join("image_urls", "|").alias("canonical"), F.size("duplicate_image_urls").alias("n_dup"))
+
+
+@query("""SELECT sha256(o_orderkey || '') AS dedupe_key FROM orders WHERE o_orderkey % 3 = 0 AND o_orderdate <= TIMESTAMP '1998-01-01' ORDER BY o_orderdate, sha256(o_orderkey || '') LIMIT 200""")
+def outbox_eligible(spark, d):
+    """Rows of the queue that are due, the oldest first; the limit is the cycle's bound."""
+    o = table(spark, d, "orders").select(F.sha2(F.col("o_orderkey").cast("string"), 256).alias("dedupe_key"), F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'pending' ELSE 'done' END").alias("status"), F.col("o_orderdate").cast("timestamp").alias("available_at"))
+    return outbox.eligible(o, "1998-01-01 00:00:00", 200).select("dedupe_key")
+
+
+@query("""SELECT p_partkey, CAST(p_partkey AS BIGINT) AS id, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'unknown' END AS parser_name, 'generated:' || p_partkey AS source_id, CAST(CAST(p_retailprice AS DECIMAL(12, 4)) AS DOUBLE) AS price, TIMESTAMP '2024-01-01' + to_days(CAST(p_size AS INTEGER)) AS valid_to_at FROM part""")
+def migration_single(spark, d):
+    """An older single table completed with defaults."""
+    old = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN p_brand END").alias("parser_name"), F.col("p_retailprice").alias("price"), F.expr("timestamp '2024-01-01' + make_dt_interval(p_size)").alias("observed_at"))
+    out = migration.from_single(old)
+    return out.select(F.col("id").alias("p_partkey"), "id", "parser_name", "source_id", F.col("price").cast("double").alias("price"), F.col("valid_to_at").cast("timestamp_ntz").alias("valid_to_at"))
+
+
+@query("""SELECT p_partkey, 'крупа ' || p_partkey AS kept, 'крупа;' || p_partkey || ';и' AS words FROM part""")
+def stop_words(spark, d):
+    """Tokens, and texts without stop-words."""
+    t = F.expr("'Крупа ' || p_partkey || ' и'")
+    kept = text.remove_stopwords(F.expr("'Крупа ' || p_partkey || ' и в ассортименте'"))
+    return table(spark, d, "part").select("p_partkey", kept.alias("kept"), F.array_join(text.tokens(t), ";").alias("words"))
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE '.' || strftime(ts, '%f') END || '+00:00' AS iso, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 3 HOUR END AS parsed FROM events""")
+def instants(spark, d):
+    """Instants as ISO text, and ISO text with Z, with an offset, or unreadable as instants."""
+    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    raw = F.expr("CASE event_id % 3 WHEN 0 THEN ' ' || date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") WHEN 1 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'+03:00'\") ELSE 'soon' END")
+    return e.select("event_id", values.iso(F.col("ts")).alias("iso"), values.parse_instant(raw).cast("timestamp_ntz").alias("parsed"))
 
 
 @query("""WITH f AS (SELECT p_brand, lower(p_type) AS k, min(p_partkey) AS pk, arg_min(p_type, p_partkey) AS t FROM part GROUP BY ALL)
@@ -98,7 +225,7 @@ def clean_text(spark, d):
     return table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
-MIXED = "'cалфетки ' || p_name || ' 30x30см xлебцы-' || p_size || ' magic'"
+MIXED = "'тeтрадь ' || p_name || ' 48x96мм бyмага-' || p_size || ' soft'"
 
 
 @query(f"""SELECT p_partkey, array_to_string([CASE WHEN regexp_matches(w, '[a-z]') AND regexp_matches(w, '[а-я]') THEN translate(w, 'abcehkmoptxy', 'авсенкмортху') ELSE w END FOR w IN string_split({MIXED}, ' ')], ' ') AS fixed FROM part""")
@@ -106,20 +233,20 @@ def homoglyph_fix(spark, d):
     return table(spark, d, "part").select("p_partkey", text.repair_homoglyphs(F.expr(MIXED)).alias("fixed"))
 
 
-TITLE_A = "'Шоколад ' || p_name || CASE p_partkey % 3 WHEN 0 THEN ', With Love' WHEN 1 THEN ', 12х14' ELSE '' END || ', ' || p_size || ' г, ' || (p_partkey % 250) || ' шт, в ассортименте'"
+TITLE_A = "'Пастила ' || p_name || CASE p_partkey % 3 WHEN 0 THEN ', Silver Birch' WHEN 1 THEN ', 25х40' ELSE '' END || ', ' || p_size || ' г, ' || (p_partkey % 250) || ' шт, в ассортименте'"
 
 
-@query("""SELECT p_partkey, 'Шоколад ' || p_name AS name_original, CASE p_partkey % 3 WHEN 0 THEN 'With Love' END AS brand, 'PCE' AS unit,
+@query("""SELECT p_partkey, 'Пастила ' || p_name AS name_original, CASE p_partkey % 3 WHEN 0 THEN 'Silver Birch' END AS brand, 'PCE' AS unit,
 CAST(CASE WHEN p_partkey % 250 BETWEEN 1 AND 200 THEN p_partkey % 250 END AS DOUBLE) AS available_count, p_size / 1000.0::DOUBLE AS package_quantity, 'KGM' AS package_unit FROM part""")
 def title_grammar_a(spark, d):
     g = titles.grammar_a(table(spark, d, "part").select("p_partkey", F.expr(TITLE_A).alias("title")))
     return g.select("p_partkey", "name_original", F.col("title_brand").alias("brand"), F.col("title_unit").alias("unit"), F.col("title_count").alias("available_count"), F.col("title_package").alias("package_quantity"), F.col("title_package_unit").alias("package_unit"))
 
 
-TITLE_B = "'Чай Greenfield ' || p_name || ' травяной ' || (p_partkey % 30 + 1) || 'х' || p_size || CASE p_partkey % 2 WHEN 0 THEN 'г' ELSE 'мл' END"
+TITLE_B = "'Кофе Northwind ' || p_name || ' молотый ' || (p_partkey % 30 + 1) || 'х' || p_size || CASE p_partkey % 2 WHEN 0 THEN 'г' ELSE 'мл' END"
 
 
-@query("""SELECT p_partkey, 'Чай Greenfield ' || p_name || ' травяной' AS name_original, array_to_string(string_split('Greenfield ' || p_name, ' ')[1:3], ' ') AS brand, 'PCE' AS unit,
+@query("""SELECT p_partkey, 'Кофе Northwind ' || p_name || ' молотый' AS name_original, array_to_string(string_split('Northwind ' || p_name, ' ')[1:3], ' ') AS brand, 'PCE' AS unit,
 CAST(p_partkey % 30 + 1 AS DOUBLE) AS available_count, p_size / 1000.0::DOUBLE AS package_quantity, CASE p_partkey % 2 WHEN 0 THEN 'KGM' ELSE 'LTR' END AS package_unit FROM part""")
 def title_grammar_b(spark, d):
     g = titles.grammar_b(table(spark, d, "part").select("p_partkey", F.expr(TITLE_B).alias("title")))
@@ -132,11 +259,11 @@ def unit_classify(spark, d):
     return table(spark, d, "part").select("p_partkey", titles.sold_by(t).alias("unit"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'With Love' WHEN p_partkey % 5 <> 0 THEN p_type END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'KGM' ELSE 'PCE' END AS unit,
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Silver Birch' WHEN p_partkey % 5 <> 0 THEN p_type END AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'KGM' ELSE 'PCE' END AS unit,
 CASE WHEN p_partkey % 7 = 0 THEN 1.5::DOUBLE ELSE p_size / 1000.0::DOUBLE END AS package_quantity, CASE WHEN p_partkey % 7 = 0 THEN 'LTR' ELSE 'KGM' END AS package_unit FROM part""")
 def raw_title_merge(spark, d):
     raw = table(spark, d, "part").select(
-        "p_partkey", F.expr(TITLE_A).alias("title"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN '12х14' ELSE p_type END").alias("brand"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN 'KGM' END").alias("unit"), F.lit(None).cast("double").alias("available_count"),
+        "p_partkey", F.expr(TITLE_A).alias("title"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN '25х40' ELSE p_type END").alias("brand"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN 'KGM' END").alias("unit"), F.lit(None).cast("double").alias("available_count"),
         F.expr("CASE WHEN p_partkey % 7 < 2 THEN 1.5D END").alias("package_quantity"), F.expr("CASE WHEN p_partkey % 7 = 0 THEN 'LTR' END").alias("package_unit"),
     )
     return titles.no_dimension_brand(titles.merged(titles.grammar_a(raw))).select("p_partkey", "brand", "unit", "package_quantity", "package_unit")
@@ -193,8 +320,7 @@ def snapshot_rle(spark, d):
 @query(RUNS)
 def stream_snapshot(spark, d):
     """The same from a file stream: micro-batches are stored once each, runs formed on reading."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfmark-')}"
-    at = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = f"{identity.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).select("user_id", "event_id", "ts", F.sha2("event_type", 256).alias("fp"))
     return sync.stream_runs(source, f"{at}/rows", f"{at}/state", ["user_id"], ["ts", "event_id"], "fp", "ts")
@@ -256,13 +382,15 @@ def asset_unpivot(spark, d):
     return dimensions.unpivot_assets(p, ["page_id"], {"image_url": "urls", "image_fingerprint": "fps"})
 
 
-@query("""WITH n AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events)
-SELECT user_id, n // 10 AS chunk_no, count(*) AS n_rows, max(ts) AS cursor_at, arg_max(event_id, (ts, event_id)) AS cursor_id,
-substring(sha256(count(*) || '|' || arg_min(event_id, n) || '|' || arg_max(event_id, n)), 1, 24) AS chunk_hash FROM n GROUP BY user_id, n // 10""")
+@query("""WITH n AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events),
+g AS (SELECT user_id, n // 10 AS chunk_no, count(*) AS n_rows, max(ts) AS til, arg_max(event_id, n) AS id, arg_min(event_id, n) FILTER (WHERE event_id % 3 <> 0) AS a, arg_max(event_id, n) FILTER (WHERE event_id % 3 <> 0) AS b FROM n GROUP BY user_id, n // 10),
+t AS (SELECT *, strftime(til, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(til) % 1000000 = 0 THEN '' ELSE '.' || strftime(til, '%f') END || '+00:00' AS iso FROM g)
+SELECT user_id, chunk_no, n_rows, iso AS cursor_at, id AS cursor_id,
+'shop:' || iso || ':' || id || ':' || substring(sha256('shop|' || iso || '|' || id || '|' || n_rows || '|' || coalesce('s' || a, '') || '|' || coalesce('s' || b, '')), 1, 24) AS chunk_id FROM t""")
 def chunk_cursor(spark, d):
-    c = history.chunks(table(spark, d, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], 10)
-    g = c.groupBy("user_id", "chunk_no").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.struct("ts", "event_id")).alias("c"), F.min_by("event_id", "row_no").alias("a"), F.max_by("event_id", "row_no").alias("b"))
-    return g.select("user_id", "chunk_no", "n_rows", F.col("c.ts").alias("cursor_at"), F.col("c.event_id").alias("cursor_id"), F.substring(F.sha2(F.concat_ws("|", "n_rows", "a", "b"), 256), 1, 24).alias("chunk_hash"))
+    e = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", F.expr("CASE WHEN event_id % 3 <> 0 THEN 's' || event_id ELSE ' ' END").alias("source_id"))
+    c = history.chunks(e, ["user_id"], ["ts", "event_id"], 10)
+    return history.cursors(c, ["user_id", "chunk_no"], ["ts", "event_id"], "source_id", F.lit(" Shop"), values.iso(F.col("ts")), "event_id")
 
 
 @query("""WITH u AS (SELECT regexp_replace(url, '[?#].*$', '') AS url FROM pages), q AS (SELECT sha256(url) AS dedupe_key, min(url) AS url FROM u GROUP BY 1), old AS (SELECT sha256(url) AS dedupe_key, CASE page_id % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'failed' ELSE 'pending' END AS status, CAST(page_id % 5 AS INTEGER) AS attempts FROM pages WHERE url NOT LIKE '%?%' AND url NOT LIKE '%#%')
@@ -273,24 +401,28 @@ def outbox_dedupe(spark, d):
     return outbox.enqueue(p.select(F.regexp_replace("url", "[?#].*$", "").alias("url")), old, "2024-01-02 00:00:00").select("dedupe_key", "url", "status", "attempts")
 
 
-@query("""SELECT event_id, CASE WHEN a.n + 1 >= 10 THEN 'failed' ELSE 'pending' END AS status, CAST(least(300, pow(2, greatest(0, a.n))) AS INTEGER) AS wait_seconds FROM (SELECT event_id, event_id % 12 AS n FROM events) a""")
+@query("""SELECT sha256(CAST(event_id AS VARCHAR)) AS dedupe_key, CASE WHEN event_id % 3 = 0 THEN 'done' WHEN event_id % 3 = 1 AND a.n + 1 >= 10 THEN 'failed' ELSE 'pending' END AS status, CAST(a.n + CASE WHEN event_id % 3 = 1 THEN 1 ELSE 0 END AS INTEGER) AS attempts,
+TIMESTAMP '2024-01-01' + to_seconds(CAST(CASE WHEN event_id % 3 = 1 THEN 60 + least(300, pow(2, greatest(0, a.n))) ELSE 0 END AS BIGINT)) AS available_at FROM (SELECT event_id, event_id % 12 AS n FROM events) a""")
 def outbox_backoff(spark, d):
-    e = table(spark, d, "events").withColumn("tried", F.expr("event_id % 12 + 1"))
-    return e.select("event_id", F.when(F.col("tried") >= outbox.MAX_ATTEMPTS, "failed").otherwise("pending").alias("status"), values.backoff_seconds(F.col("tried")).alias("wait_seconds"))
+    e = table(spark, d, "events").select("event_id", F.sha2(F.col("event_id").cast("string"), 256).alias("dedupe_key"))
+    queue = e.select("dedupe_key", F.lit("u").alias("url"), F.lit("pending").alias("status"), F.expr("cast(event_id % 12 AS int)").alias("attempts"), F.lit("2024-01-01").cast("timestamp").alias("available_at"))
+    results = e.where("event_id % 3 < 2").select("dedupe_key", F.expr("event_id % 3 = 0").alias("ok"))
+    out = outbox.settle(queue, results, "2024-01-01 00:01:00")
+    return out.select("dedupe_key", "status", F.col("attempts").cast("int").alias("attempts"), F.col("available_at").cast("timestamp_ntz").alias("available_at"))
 
 
-@query("""WITH c AS (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS available, min(l_shipdate) AS counted_at FROM lineitem WHERE l_linenumber > 2 GROUP BY 1)
-SELECT o.o_orderkey, coalesce(c.available, k.c_acctbal) AS available, coalesce(c.counted_at, o.o_orderdate) AS created_at, CAST(CAST(o.o_totalprice AS DECIMAL(12, 4)) AS DOUBLE) AS price FROM orders o LEFT JOIN c USING (o_orderkey) LEFT JOIN customer k ON o.o_custkey = k.c_custkey AND k.c_acctbal > 0""")
+@query("""WITH c AS (SELECT l_orderkey, sum(l_quantity) AS available, min(l_shipdate) AS counted_at FROM lineitem WHERE l_linenumber > 2 GROUP BY 1)
+SELECT o_orderkey AS id, CAST(coalesce(c.available, k.c_acctbal) AS DOUBLE) AS available_count, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END, CAST(c.counted_at AS TIMESTAMP), o_orderdate) AS created_at,
+CAST(CAST(k.c_acctbal AS DECIMAL(12, 4)) AS DOUBLE) AS price, 'generated:' || o_orderkey AS source_id, 'unknown' AS parser_name, o_orderdate AS valid_from_at
+FROM orders o LEFT JOIN c ON l_orderkey = o_orderkey LEFT JOIN customer k ON o.o_orderkey = k.c_custkey""")
 def migration_rebuild(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("snapshot_id"), "o_orderdate", "o_totalprice")
-    counts = table(spark, d, "lineitem").where("l_linenumber > 2").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("available"), F.min("l_shipdate").alias("counted_at"))
-    snaps = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("snapshot_id"), "c_acctbal")
-    counts = o.select("o_orderkey", "snapshot_id").join(counts, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("event"), "available", "counted_at")
-    e = o.withColumn("event", F.col("o_orderkey"))
-    x = migration.from_split(e, snaps, counts.limit(0).withColumn("snapshot_id", F.lit(0).cast("long"))).drop("c_event", "c_available", "c_counted_at", "c_snapshot_id")
-    c = counts.select(F.col("event").alias("ce"), "available", "counted_at")
-    y = x.join(c, x["event"] == c["ce"], "left")
-    return y.select("o_orderkey", F.coalesce("available", "s_c_acctbal").alias("available"), F.coalesce("counted_at", "o_orderdate").alias("created_at"), F.col("o_totalprice").cast("decimal(12,4)").cast("double").alias("price"))
+    """Orders stand for events, customers for snapshots, sums of lines for available counts."""
+    events = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("observed_at"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END").cast("timestamp").alias("created_at"))
+    counts = table(spark, d, "lineitem").where("l_linenumber > 2").groupBy(F.col("l_orderkey").alias("snapshot_id")).agg(F.sum("l_quantity").alias("available_count"), F.min("l_shipdate").cast("timestamp").alias("created_at"))
+    snaps = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("price"), F.col("c_acctbal").alias("available_count"))
+    out = migration.from_split(events, snaps, counts)
+    at = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return out.select("id", "available_count", at("created_at"), F.col("price").cast("double").alias("price"), "source_id", "parser_name", at("valid_from_at"))
 
 
 @query("""WITH e AS (SELECT event_id, event_type || '|' || user_id || '|' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE '.' || strftime(ts, '%f') END || '+00:00|' || event_id || '|' AS k FROM events)
@@ -315,10 +447,10 @@ def natural_id(spark, d):
     return o.select("o_orderkey", values.natural_id(pick(0, "'r:' || o_orderkey"), pick(1, "cast(o_custkey AS string)"), pick(2, "cast(o_custkey AS string)"), F.lit(None).cast("string"), F.col("o_orderdate").cast("timestamp")).alias("source_id"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'молочный продукт яйцо' WHEN 1 THEN 'напиток сок ' || p_name ELSE 'и в' END AS category FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'крупа макарон соус' WHEN 1 THEN 'овощ ягода ' || p_name ELSE 'на с' END AS category FROM part""")
 def category_text(spark, d):
-    forms = F.create_map(*[F.lit(x) for pair in {"молочные": "молочный", "продукты": "продукт", "яйца": "яйцо", "напитки": "напиток", "соки": "сок"}.items() for x in pair])
-    raw = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'Молочные продукты, яйца' WHEN 1 THEN 'Напитки и соки/' || p_name ELSE 'и в' END")
+    forms = F.create_map(*[F.lit(x) for pair in {"крупы": "крупа", "макароны": "макарон", "соусы": "соус", "овощи": "овощ", "ягоды": "ягода"}.items() for x in pair])
+    raw = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'Крупы и макароны, соусы' WHEN 1 THEN 'Овощи и ягоды/' || p_name ELSE 'на с' END")
     return table(spark, d, "part").select("p_partkey", text.normalize_category(raw, forms).alias("category"))
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark import daemon_cli
+from shelfmark import daemon_cli, ports
 from shelfmark.operators import dimensions, history, identity, migration, outbox
 from shelfmark.operators.store import Conflict, Store, with_retries
 from shelfmark.plans import catalogue, library
@@ -95,7 +95,7 @@ def receiver_file(path, rows=3):
     for k in range(rows):
         put("run_artifacts", id=10 + k, run_id=f"run-{k}", parser_name="fixprice", ingested_at=f"2026-02-27T12:0{k}:00+00:00", latitude=59.93863, longitude=30.31413)
         put("run_artifact_administrative_units", id=k, artifact_id=10 + k, country="Россия", region="Московская", name="Москва")
-        put("run_artifact_products", id=100 + k, artifact_id=10 + k, sku=f"sku-{k}", plu="1", title="Шоколад молочный, With Love, 200 г, 15 шт", price=199.9, price_unit="RUB", adult=0, categories_uid_json='["c1","c2"]', main_image="http://h/images/m.webp")
+        put("run_artifact_products", id=100 + k, artifact_id=10 + k, sku=f"sku-{k}", plu="1", title="Пастила яблочная, Silver Birch, 350 г, 12 шт", price=199.9, price_unit="RUB", adult=0, categories_uid_json='["c1","c2"]', main_image="http://h/images/m.webp")
         put("run_artifact_categories", id=k, artifact_id=10 + k, uid="c1", title="Сладости", depth=0, sort_order=0)
         put("run_artifact_product_images", id=2 * k, product_id=100 + k, url="http://h/images/a.webp", is_main=1, sort_order=0)
         put("run_artifact_product_images", id=2 * k + 1, product_id=100 + k, url="http://h/images/a.webp", is_main=0, sort_order=1)
@@ -112,11 +112,11 @@ def test_sync_end_to_end(spark, tmp_path):
     assert store.cursor("fixprice") == ("2026-02-27T12:02:00+00:00", 102)
     assert store.table("projection").count() == 3 and store.table("snapshots").count() == 3
     assert store.table("identity_map").select("canonical").distinct().count() == 1
-    assert store.table("images").count() == 1 and store.table("assets").count() == 3
+    assert store.table("images").count() == 1 and store.table("assets").count() == 6
     assert store.table("geo_points").count() == 1 and store.table("settlements").count() == 1 and store.table("sources").count() == 3
     assert {r.uid: r.title for r in store.table("categories").collect()} == {"c1": "Сладости", "c2": None}
     r = store.table("projection").first()
-    assert (r.brand, r.unit) == ("With Love", "PCE")
+    assert (r.brand, r.unit) == ("Silver Birch", "PCE")
     # a second run finds nothing
     assert sync.run(spark, sync.SyncJob(src, cat, "fixprice")) == {"batches": 0, "records": 0}
     # the same records again: snapshots go on instead of growing, a batch id is applied once
@@ -152,15 +152,20 @@ def test_library_process(spark, tmp_path):
     assert all(r.composition == "сахар" and r.image_urls == ["http://h/images/a.webp"] and r.duplicate_image_urls == [] and len(r.image_fingerprints) == 1 for r in out)
 
 
-def test_store_conflict_and_retries(spark, tmp_path):
+def test_store_runs_and_conflicts(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/s")
-    base, one = store.manifest(), spark.range(1)
-    store.commit({"t": one}, base, {"p": ("2026", 2)})
+    base, rows = store.manifest(), lambda a, b, v: spark.range(a, b).selectExpr("id", f"'{v}' AS v")
+    store.commit({"t": (rows(0, 40_000, "a"), ["id"])}, base, {"p": ("2026", 2)})
     with pytest.raises(Conflict):
-        store.commit({"t": spark.range(5)}, base)
-    assert store.table("t").count() == 1
+        store.commit({"t": (rows(0, 5, "x"), ["id"])}, base)
+    assert store.table("t").count() == 40_000
     store.commit({}, store.manifest(), {"p": ("2025", 9)})
     assert store.cursor("P") == ("2026", 2)
+    for k in range(6):
+        store.commit({"t": (rows(39_998, 40_002, str(k)), ["id"])}, store.manifest())
+    held = store.manifest()["tables"]["t"]
+    assert len(held["runs"]) == 2 and {r.v: r["count"] for r in store.table("t").groupBy("v").count().collect()} == {"a": 39_998, "5": 4}
+    assert store.vacuum() > 0 and store.table("t").count() == 40_002
     calls = []
 
     def flaky():
@@ -190,6 +195,11 @@ def test_outbox_cycle(spark):
     q, n = outbox.drain(q, "http://h", lambda name: name == "a.webp", "2026-01-01 00:00:01")
     assert n == {"processed": 2, "deleted": 1, "failed": 1}
     left = {r.url: (r.status, r.attempts) for r in q.collect()}
+
+    def broken(name):
+        raise OSError(name)
+
+    assert outbox.drain(q.withColumn("status", F.lit("pending")), "http://h", broken, "2026-01-01 00:00:05")[1] == {"processed": 2, "deleted": 0, "failed": 2}
     assert left == {"http://h/images/a.webp": ("done", 0), "http://x/images/b.webp": ("pending", 1)}
     assert outbox.eligible(q, "2026-01-01 00:00:01").count() == 0 and outbox.eligible(q, "2026-01-01 00:00:02").count() == 1
 
@@ -208,11 +218,15 @@ def test_http_delete():
 
     server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    base = f"http://127.0.0.1:{server.server_port}/"
-    assert [outbox.delete(base, "key", n) for n in ("a.webp", "gone.webp", "bad.webp")] == [True, True, False]
+    client = outbox.StorageClient(f"http://127.0.0.1:{server.server_port}/", "key", 2)
+    assert [client(n) for n in ("a b+c.webp", "gone.webp", "bad.webp")] == [True, True, False]
+    strict = outbox.StorageClient.from_env({"CONVERTER_STORAGE_BASE_URL": " ", "STORAGE_BASE_URL": client.base, "STORAGE_API_TOKEN": "key", "CONVERTER_STORAGE_DELETE_STRICT": "Yes", "CONVERTER_STORAGE_DELETE_TIMEOUT_SEC": "soon"})
+    assert strict.strict and strict.timeout == 10.0 and outbox.StorageClient.from_env({"STORAGE_BASE_URL": "http://h"}) is None
+    with pytest.raises(RuntimeError, match="500"):
+        strict("bad.webp")
     server.shutdown()
-    assert seen[0] == ("/api/images/a.webp", "Bearer key")
-    assert not outbox.delete("http://127.0.0.1:1", "key", "a.webp", 0.2)
+    assert seen[0] == ("/api/images/a%20b%2Bc.webp", "Bearer key")
+    assert not outbox.StorageClient("http://127.0.0.1:1", "key", 0.2)("a.webp")
 
 
 def test_migration_defaults(spark):
@@ -224,6 +238,110 @@ def test_migration_defaults(spark):
         validate_money(old, "snapshots")
 
 
+def test_migration_from_split_tables_and_swap(spark, tmp_path):
+    events = spark.sql("SELECT 1L AS id, 'u1' AS source_event_uid, timestamp '2026-01-02' AS observed_at, cast(NULL AS timestamp) AS created_at, 3 AS receiver_sort_order UNION ALL SELECT 2L, 'u2', timestamp '2026-01-03', timestamp '2026-01-04', NULL")
+    snaps = spark.sql("SELECT 1L AS id, 5.55555D AS price, 7D AS available_count UNION ALL SELECT 2L, NULL, 8D")
+    counts = spark.sql("SELECT 1L AS snapshot_id, 9D AS available_count, timestamp '2026-01-05' AS created_at")
+    got = {r.id: r for r in migration.from_split(events, snaps, counts).collect()}
+    assert [(got[k].available_count, str(got[k].created_at.date()), got[k].receiver_sort_order) for k in (1, 2)] == [(9.0, "2026-01-05", 3), (8.0, "2026-01-04", None)] and str(got[1].price) == "5.5556"
+    assert {r.id: str(r.created_at.date()) for r in migration.from_split(events).collect()} == {1: "2026-01-02", 2: "2026-01-04"}
+    store = Store(spark, f"file://{tmp_path}/s")
+    store.commit({"snapshots": (spark.range(9), []), "old_counts": (spark.range(3), [])}, store.manifest())
+    migration.swap(store, migration.from_split(events, snaps, counts), legacy=("old_counts",))
+    assert store.table("snapshots").count() == 2 and store.table("old_counts") is None
+    with pytest.raises(ValueError, match="u1"):
+        migration.swap(store, migration.from_split(events.union(events.where("id = 1"))))
+
+
+def test_backfill_counts_earlier_rows_and_stored_ones(spark):
+    rows = [("k", 1, "2026-01-01", None), ("k", 2, "2026-01-02", "b"), ("k", 3, "2026-01-02", None), ("k", 4, "2026-01-05", None), ("k", 5, "2026-01-06", "c")]
+    d = spark.createDataFrame(rows, "k string, i int, t string, v string").withColumn("t", F.col("t").cast("timestamp"))
+    fill = lambda **more: {r.i: r.v for r in history.backfill(d, ["k"], "t", "i", ["v"], **more).collect()}
+    assert fill() == {1: "b", 2: "b", 3: "b", 4: "c", 5: "c"}
+    assert fill(past_only=True) == {1: None, 2: "b", 3: "b", 4: "b", 5: "c"}
+    known = spark.createDataFrame([("k", "2026-01-04", "s")], "k string, t string, v string").withColumn("t", F.col("t").cast("timestamp"))
+    assert fill(past_only=True, known=known) == {1: "s", 2: "b", 3: "b", 4: "s", 5: "c"}
+
+
+def test_every_parser_has_its_cursor(spark, tmp_path):
+    src = str(tmp_path / "r.sqlite")
+    receiver_file(src, 3)
+    db = sqlite3.connect(src)
+    db.execute("UPDATE run_artifacts SET parser_name = 'chizhik', ingested_at = '2026-01-01T00:00:00+00:00' WHERE id = 11")
+    db.commit()
+    cat = f"file://{tmp_path}/cat"
+    assert sync.run(spark, sync.SyncJob(src, cat, "fixprice")) == {"batches": 1, "records": 2}
+    # a parser that lags behind the others' cursors isn't skipped
+    assert sync.run(spark, sync.SyncJob(src, cat)) == {"batches": 1, "records": 1}
+    db.execute("UPDATE run_artifacts SET parser_name = 'newshop' WHERE id = 12")
+    db.commit()
+    with pytest.raises(KeyError, match="newshop"):
+        sync.run(spark, sync.SyncJob(src, cat))
+
+
+def test_replay_changes_nothing_and_gaps_are_filled_from_the_store(spark, tmp_path):
+    receiver_file(str(tmp_path / "r.sqlite"))
+    store = Store(spark, f"file://{tmp_path}/cat")
+    t = receiver.tables(spark, str(tmp_path / "r.sqlite"))
+    raw = receiver.records(t, 100).withColumn("composition", F.when(F.col("sku") == "sku-0", "сахар"))
+    one = lambda sku: raw.where(F.col("sku") == sku)
+    first = sync.apply_chunk(store, one("sku-0"), now="2026-03-01 00:00:00")
+    assert (first["inserted"], first["reused"], first["upserted"]) == (1, 0, 1) and first["chunks"][0].startswith("fixprice:2026-02-27T12:00:00+00:00:100:")
+    before = {n: sorted(map(str, store.table(n).collect())) for n in store.manifest()["tables"]}
+    again = sync.apply_chunk(store, one("sku-0"), now="2026-03-01 00:00:00")
+    assert (again["inserted"], again["reused"]) == (0, 1)
+    same = ["snapshots", "sources", "projection", "assets", "links", "categories", "settlements", "geo_points", "identity_map", "outbox"]
+    assert all(sorted(map(str, store.table(n).collect())) == before[n] for n in same)
+    sync.apply_chunk(store, one("sku-1"), backfill=True)
+    sync.apply_chunk(store, one("sku-2"))
+    rows = {r.sku: r for r in store.table("projection").collect()}
+    assert (rows["sku-0"].composition, rows["sku-1"].composition, rows["sku-2"].composition) == ("сахар", "сахар", None)
+    assert str(rows["sku-0"].price) == "199.9000" and rows["sku-0"].primary_category_key == "fixprice:uid:c1" and rows["sku-0"].settlement_key == "россия|московская|москва" and len(store.table("projection").columns) == 37
+    assert '"run_id":"run-0"' in store.table("snapshots").orderBy("valid_from").first().payload
+
+
+def test_outbox_of_the_store_is_drained(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    assert sync.drain_outbox(store, lambda name: True, "http://h")["processed"] == 0
+    urls = spark.createDataFrame([("http://h/images/a%20b.webp",), ("http://h/images/c.webp",)], "url string")
+    store.commit({"outbox": (outbox.enqueue(urls, None, "2026-01-01 00:00:00"), ["dedupe_key"])}, store.manifest())
+    assert sync.drain_outbox(store, lambda name: name == "a b.webp", "http://h", now="2026-01-01 00:00:01") == {"processed": 2, "deleted": 1, "failed": 1}
+    assert {r.url: (r.status, r.attempts) for r in store.table("outbox").collect()} == {"http://h/images/a%20b.webp": ("done", 0), "http://h/images/c.webp": ("pending", 1)}
+
+
+def test_layout_and_filters(spark, tmp_path):
+    src = str(tmp_path / "r.sqlite")
+    receiver_file(src)
+    t = receiver.tables(spark, src)
+    receiver.lay_out(t, f"file://{tmp_path}/p")
+    laid = receiver.tables(spark, f"file://{tmp_path}/p")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    pushed = receiver.tables(spark, src)
+    assert pushed["run_artifacts"].where("id > 10").count() == 2
+    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    a, b = (sorted(map(str, receiver.records(x, 0).collect())) for x in (t, laid))
+    assert a == b and len(a) == 3 and ports.TableReceiver(spark, src).fetch_batch(1, "fixprice", (" ", 0)).count() == 1
+    reader = receiver.FilteringSqliteReader(src, "run_artifacts", t["run_artifacts"].schema, 1)
+    assert not list(reader.pushFilters([receiver.GreaterThan(("id",), 10)])) and sum(1 for _ in reader.read(reader.partitions()[0])) == 2
+    with pytest.raises(ValueError, match="MySQL"):
+        ports.open_catalog(spark, "mysql://h/db")
+
+
+def test_engine_steps_can_be_replaced(spark, tmp_path):
+    receiver_file(str(tmp_path / "r.sqlite"))
+    raw = receiver.records(receiver.tables(spark, str(tmp_path / "r.sqlite")), 100)
+    engine = library.Engine(resolve=lambda d, order, known: d.withColumn("canonical_product_id", F.col("sku")), fingerprint=lambda url: F.lit("same"), backfilled=[])
+    assert {(r.canonical_product_id, r.image_fingerprints[0]) for r in engine.process(raw, ["observed_at", "product_id"]).collect()} == {(f"sku-{k}", "same") for k in range(3)}
+
+
+def test_daemon_stops():
+    d = daemon_cli.Daemon(lambda parser: {"batches": 1, "records": 1}, [None], 0.1, lambda: {"processed": 1, "deleted": 1})
+    d.start()
+    d.stop()
+    m = d.snapshot()
+    assert not m["running"] and m["cycles"] == m["outbox_deleted"] >= 1 and len(m) == 17
+
+
 def test_daemon_recovers():
     calls = []
 

@@ -16,9 +16,9 @@ def parsed(spark, grammar, title):
 @pytest.mark.parametrize(
     ("title", "brand", "count", "package", "unit"),
     [
-        ('Ручка гелевая "Помада", With Love, 10х1,5 см, в ассортименте', "With Love", None, None, None),
-        ("Шоколад молочный, 200 г, 15 шт, в ассортименте", None, 15.0, 0.2, "KGM"),
-        ("Пакет подарочный, 12х14, в ассортименте", None, None, None, None),
+        ('Линейка "Геометрия", Silver Birch, 30х2,5 см, в ассортименте', "Silver Birch", None, None, None),
+        ("Пастила яблочная, 350 г, 12 шт, в ассортименте", None, 12.0, 0.35, "KGM"),
+        ("Скатерть льняная, 140х220, в ассортименте", None, None, None, None),
         ("", None, None, None, None),
     ],
 )
@@ -32,12 +32,12 @@ def test_grammar_a(spark, title, brand, count, package, unit):
 @pytest.mark.parametrize(
     ("title", "brand", "count", "package", "unit"),
     [
-        ("Шоколад Вдохновение классический 100г", "Вдохновение", None, 0.1, "KGM"),
-        ("Чай Greenfield Summer Bouquet травяной 25х2г", "Greenfield Summer Bouquet", 25.0, 0.002, "KGM"),
-        ("Презервативы Contex Classic 3шт", "Contex Classic", 3.0, None, None),
-        ("Молоко Простоквашино пастер. 3.4-4.5% 930мл", "Простоквашино", None, 0.93, "LTR"),
-        ("Пончик с варёной сгущёнкой, 2х64г", None, 2.0, 0.064, "KGM"),
-        ("Сумка подарочная 6.3х14.5х11.5см", None, None, None, None),
+        ("Печенье Полдник овсяное 270г", "Полдник", None, 0.27, "KGM"),
+        ("Кофе Northwind Dark Valley молотый 18х7г", "Northwind Dark Valley", 18.0, 0.007, "KGM"),
+        ("Батарейки Volten Plus 6шт", "Volten Plus", 6.0, None, None),
+        ("Кефир Луговой фермерский 2.5-3.2% 450мл", "Луговой", None, 0.45, "LTR"),
+        ("Рулет с маковой начинкой, 3х85г", None, 3.0, 0.085, "KGM"),
+        ("Коробка картонная 12.5х20х8.5см", None, None, None, None),
     ],
 )
 def test_grammar_b(spark, title, brand, count, package, unit):
@@ -46,34 +46,39 @@ def test_grammar_b(spark, title, brand, count, package, unit):
 
 
 def test_sale_by_weight_and_volume_drop_count_and_package(spark):
-    for title, unit in (("Сыр весовой 100г 3шт", "KGM"), ("Квас на розлив 500мл", "LTR")):
+    for title, unit in (("Халва весовая 250г 4шт", "KGM"), ("Лимонад на розлив 700мл", "LTR")):
         r = parsed(spark, titles.grammar_b, title)
         assert (r.title_unit, r.title_count, r.title_package) == (unit, None, None)
 
 
 def test_homoglyphs_and_clean_text(spark):
-    d = spark.createDataFrame([("Cалфетки Kitchen Collection 30x30см",), ("Xлебцы «Magic»  Grain",), (None,), ("",)], "t string")
+    d = spark.createDataFrame([("Tетрадь Paper House 48x96мм",), ("Pучка «Soft»  Line",), (None,), ("",)], "t string")
     got = [r[0] for r in d.select(text.clean_text(F.col("t"))).collect()]
-    assert got[0].startswith("салфетки kitchen collection") and got[1] == "хлебцы magic grain" and got[2] is None and got[3] == ""
+    assert got[0].startswith("тетрадь paper house") and got[1] == "ручка soft line" and got[2] is None and got[3] == ""
 
 
 def test_category_text(spark):
-    forms = F.create_map(*[F.lit(x) for p in {"молочные": "молочный", "продукты": "продукт", "яйца": "яйцо", "напитки": "напиток", "соки": "сок"}.items() for x in p])
-    d = spark.createDataFrame([("молочные продукты, яйца",), ("Напитки и соки",), ("и",), ("",)], "c string")
-    assert [r[0] for r in d.select(text.normalize_category(F.col("c"), forms)).collect()] == ["молочный продукт яйцо", "напиток сок", "и", None]
+    forms = F.create_map(*[F.lit(x) for p in {"крупы": "крупа", "соусы": "соус", "овощи": "овощ", "ягоды": "ягода"}.items() for x in p])
+    d = spark.createDataFrame([("крупы, соусы",), ("Овощи и ягоды",), ("и",), ("",)], "c string")
+    assert [r[0] for r in d.select(text.normalize_category(F.col("c"), forms)).collect()] == ["крупа соус", "овощ ягода", "и", None]
 
 
 def test_handlers_merge_raw_and_title(spark):
-    rows = [("Шоколад молочный, With Love, 200 г", "raw", None, None, 5.0, None, "Шоколад", "Россия,  Москва", "сахар ,какао", "fixprice"), ("Чай Greenfield 25х2г", None, "KGM", 7.0, 1.0, "KGM", None, None, None, "chizhik")]
-    out = {r.parser_name: r for r in titles.default_registry().handle(spark.createDataFrame(rows, RAW)).collect()}
-    a, b = out["fixprice"], out["chizhik"]
-    assert (a.brand, a.unit, a.package_quantity, a.package_unit, a.composition_normalized, a.geo_normalized) == ("With Love", "PCE", 0.2, "KGM", "сахар, какао", "россия, москва")
-    assert (b.brand, b.unit, b.available_count, b.package_quantity) == ("Greenfield", "KGM", 7.0, 1.0)
+    rows = [("Пастила яблочная, Silver Birch, 350 г", "raw", None, None, 5.0, None, "Пастила", "Россия,  Тверь", "сахар ,яблоки", "fixprice"), ("Кофе Northwind 18х7г", None, "KGM", 7.0, 1.0, "KGM", None, None, None, "chizhik"), ("Пастила Love, Love, 90 г", None, None, None, None, None, None, None, None, " FixPrice")]
+    out = {r.title: r for r in titles.default_registry().handle(spark.createDataFrame(rows, RAW)).collect()}
+    a, b, c = (out[r[0]] for r in rows)
+    assert (a.brand, a.unit, a.package_quantity, a.package_unit, a.composition_normalized, a.geo_normalized) == ("Silver Birch", "PCE", 0.35, "KGM", "сахар, яблоки", "россия, тверь")
+    assert (b.brand, b.unit, b.available_count, b.package_quantity, b.title_normalized) == ("Northwind", "KGM", 7.0, 1.0, "кофе northwind")
+    # a comma title's brand joins the name even if the name holds it
+    assert (c.brand, c.title_normalized) == ("Love", "пастила love love")
 
 
-def test_registry_names_unknown():
+def test_registry_names_unknown(spark):
     r = titles.default_registry()
     with pytest.raises(KeyError, match="chizhik"):
         r.get("other")
     with pytest.raises(ValueError, match="already"):
         r.register("FixPrice ", titles.handler_a)
+    rows = [("a", None, None, None, None, None, None, None, None, "newshop")]
+    with pytest.raises(KeyError, match="newshop"):
+        r.handle(spark.createDataFrame(rows, RAW))
