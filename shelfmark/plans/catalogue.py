@@ -152,7 +152,7 @@ def dimension_merge(spark, d):
 def image_rows(spark, d):
     """Urls of every record made canonical and distinct; a repeated url adds nothing."""
     p = table(spark, d, "pages").select("page_id", F.array("url", F.concat(F.lit(" "), "url")).alias("image_urls"))
-    rows = p.withColumn("image_urls", F.transform("image_urls", F.trim))
+    rows = p.withColumn("image_urls", F.transform("image_urls", lambda x: F.trim(x)))
     out = identity.dedup_images(rows, ["page_id"])
     return out.select("page_id", F.array_join("image_fingerprints", "|").alias("fp"), F.array_join("image_urls", "|").alias("canonical"), F.size("duplicate_image_urls").alias("n_dup"))
 
