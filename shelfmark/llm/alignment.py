@@ -8,9 +8,11 @@ verified character isn't cut. Both tokenizers give the same tokens for a segment
 and links of a text are those of its segments in order.
 
 Texts are read by blocks of bounded size. A block keeps each of its distinct segments once, and its texts as numbers of
-segments. All blocks' distinct segments are counted together and tokenised and aligned once each. What the alignments
-hold is joined back to the blocks' segments, and every block composes its documents. Links of id pairs are counted over
-distinct segments, weighted by how often these occur, so a frequent word costs a block one row.
+segments. All blocks' segments are sorted together, so that equal ones follow each other and are tokenised and aligned
+once, in bounded memory. Links of id pairs are counted over distinct segments, weighted by how often these occur. Then
+every alignment goes back to the blocks that hold its segment, packed by block, and every block composes its documents.
+A frequent word is one row for each block. Id pairs with their counts go to the tasks as sorted arrays if they are at
+most PAIRS, which is counted; beyond that they are joined by a shuffle.
 
 Groups are what lies between two byte offsets at which tokens of both end; a link is a pair of an A token and a B token
 that end together. Texts that are null, empty or hold a character that B doesn't give back (U+2581) have no tokens, and count for
@@ -31,22 +33,23 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from shelfmark.llm.bpe import byte_characters, vocabulary_path
-from shelfmark.llm.common import batches, bounded, discard, documents, stored
+from shelfmark.llm.common import batches, discard, documents, stored
 
 VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
-#: Characters of texts in a block; segments tokenised together; id pairs that are broadcast.
-BLOCK, TOGETHER, PAIRS = 1 << 24, 20_000, 300_000
+#: Characters of texts in a block; segments tokenised together and alignments packed together; id pairs that are broadcast.
+BLOCK, TOGETHER, PAIRS = 1 << 25, 20_000, 2_000_000
 #: White space that a text may be cut before, if verified; the piece vocabulary's space.
 CUTS, MARK = " \t\n\v\f\r", "▁"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 BLOCKS = "block long, rest binary, numbers binary, ends binary, segments array<string>, counts array<long>"
-ALIGNED = "segment string, n long, n_a int, n_b int, groups string, a array<int>, b array<int>"
+ALIGNED = "id long, n long, n_a int, n_b int, groups string, a array<int>, b array<int>, blocks array<long>, places array<int>"
+PACKED = "of long, n int, numbers binary, size int, groups binary"
 
 
 class Vocabularies:
@@ -86,7 +89,7 @@ class Vocabularies:
         self.cuts = [w for w in CUTS if w not in crossed]
         free = re.escape("".join(self.cuts))
         #: A run of white space and what follows up to the next place to cut.
-        self.split = re.compile(rf"\s+\S*(?:[^\S{free}]\s*\S*)*" if free else r"(?s:.+)").findall
+        self.pattern = (rf"\s+\S*(?:[^\S{free}]\s*\S*)*" if free else r"(?s:.+)")
 
     @staticmethod
     def table(tokens: dict[int, bytes]) -> list[bytes]:
@@ -98,8 +101,8 @@ class Vocabularies:
         b = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
         return a, [ids[1:] if s[0] != " " else ids or [self.space] for s, ids in zip(segments, b, strict=True)]
 
-    def align(self, segments: list[str]) -> Iterator[list]:
-        """Of all segments: numbers of tokens of A and of B, the text of groups, and the ids of A and B tokens that end together."""
+    def align(self, segments: list[str]) -> Iterator[tuple]:
+        """Of each segment: numbers of tokens of A and of B, the text of its groups, and the ids of A and B tokens that end together."""
         a, b = self.tokens(segments)
         for s, x, y in zip(segments, a, b, strict=True):
             raw = s.encode()
@@ -111,17 +114,15 @@ class Vocabularies:
         end_a, end_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
         both, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
         of = np.searchsorted(end_a[np.cumsum(n_a) - 1], both)
-        links = np.bincount(of, minlength=len(segments))
+        ends = np.cumsum(np.bincount(of, minlength=len(segments))).tolist()
         text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
         groups, p, q = [], 0, 0
         for i, j in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
             groups.append(",".join(text_a[p:i]) + "|" + ",".join(text_b[q:j]))
             p, q = i, j
-        ends = np.cumsum(links).tolist()
-        texts = [";".join(groups[s:e]) for s, e in zip([0, *ends], ends, strict=False)]
-        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-        pairs = [pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))) for ids in (flat_a[at_a], flat_b[at_b])]
-        return [pa.array(n_a.astype(np.int32)), pa.array(n_b.astype(np.int32)), pa.array(texts), *pairs]
+        last_a, last_b = flat_a[at_a].astype(np.int32), flat_b[at_b].astype(np.int32)
+        for x, y, s, e in zip(n_a.tolist(), n_b.tolist(), [0, *ends], ends, strict=False):
+            yield x, y, ";".join(groups[s:e]), last_a[s:e], last_b[s:e]
 
 
 @lru_cache(maxsize=1)
@@ -129,11 +130,23 @@ def vocabularies(a: str, b: str) -> Vocabularies:
     return Vocabularies(a, b)
 
 
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length byte by byte, all first bytes first, compressed."""
+    return pa.compress(b"".join(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in arrays), codec="zstd", asbytes=True)
+
+
+def restored(raw: bytes, n: int, *kinds: type) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize * n for k in kinds]
+    flat = np.frombuffer(pa.decompress(raw, sum(sizes), codec="zstd"), np.uint8)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    return [np.ascontiguousarray(p.reshape(np.dtype(k).itemsize, n).T).view(k).ravel() for p, k in zip(parts, kinds, strict=True)]
+
+
 class Cutter:
     """Blocks of texts: distinct segments, and texts as numbers of segments."""
 
-    def __init__(self, known: Vocabularies):
-        self.split = known.split
+    def __init__(self, pattern: str):
+        self.split = re.compile(pattern).findall
         self.clear()
 
     def clear(self) -> None:
@@ -153,21 +166,21 @@ class Cutter:
             w.write_table(table)
         flat = np.concatenate(self.numbers)
         ends = np.cumsum([len(x) for x in self.numbers], dtype=np.int64)
-        columns = [[number], [sink.getvalue().to_pybytes()], [flat.tobytes()], [ends.tobytes()]]
+        columns = [[number], [sink.getvalue().to_pybytes()], [squeezed(flat)], [ends.tobytes()]]
         lists = [pa.array(list(self.known), pa.string()), pa.array(np.bincount(flat, minlength=len(self.known)))]
         arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3), strict=True)]
         whole = pa.array([0, len(self.known)], pa.int32())
         return pa.RecordBatch.from_arrays([*arrays, *[pa.ListArray.from_arrays(whole, x) for x in lists]], names=["block", "rest", "numbers", "ends", "segments", "counts"])
 
 
-def cut(docs: DataFrame, a: str, b: str) -> DataFrame:
+def cut(docs: DataFrame, pattern: str) -> DataFrame:
     """docs, whose last column is the text, as blocks."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, number = Cutter(vocabularies(a, b)), TaskContext.get().partitionId() << 32
+        cutter, number = Cutter(pattern), TaskContext.get().partitionId() << 32
         for part in parts:
             texts, begun = part.column(part.num_columns - 1).to_pylist(), 0
-            others = part.select(range(part.num_columns - 1)) if part.num_columns > 1 else part.select([])
+            others = part.select(list(range(part.num_columns - 1)))
             for k, text in enumerate(texts):
                 cutter.add(text)
                 if cutter.size >= BLOCK:
@@ -184,42 +197,109 @@ def cut(docs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def aligned(segments: DataFrame, a: str, b: str) -> DataFrame:
-    """Every distinct segment (segment, n) with its alignment."""
+    """Alignments of segments (segment, n, block, place), of which equal ones follow each other: one for each run of equal ones in a batch."""
     arrow = to_arrow_schema(StructType.fromDDL(ALIGNED))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabularies(a, b)
-        for part in parts:
-            for at in range(0, len(part), TOGETHER):
-                some = part.slice(at, TOGETHER)
-                yield pa.RecordBatch.from_arrays([*some.columns, *known.align(some.column(0).to_pylist())], schema=arrow)
+        known, number, last = vocabularies(a, b), TaskContext.get().partitionId() << 33, (None, None)
+        for part in (p.slice(at, TOGETHER) for p in parts for at in range(0, len(p), TOGETHER)):
+            texts = part.column(0).to_pylist()
+            begins = [k for k, s in enumerate(texts) if not k or s != texts[k - 1]]
+            distinct = [texts[k] for k in begins]
+            again = distinct[0] == last[0]
+            found = [*([last[1]] if again else []), *(known.align(distinct[again:]) if len(distinct) > again else [])]
+            last = (distinct[-1], found[-1])
+            n_a, n_b, groups, of_a, of_b = zip(*found, strict=True)
+            ends = np.array([*begins, len(texts)], np.int32)
+            n = np.add.reduceat(part.column(1).to_numpy(), ends[:-1])
+            sizes = np.cumsum([0, *map(len, of_a)]).astype(np.int32)
+            links = [pa.ListArray.from_arrays(sizes, np.concatenate(x)) for x in (of_a, of_b)]
+            at = [pa.ListArray.from_arrays(ends, part.column(k)) for k in (2, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(number, number + len(begins))), pa.array(n), pa.array(n_a, pa.int32()), pa.array(n_b, pa.int32()), pa.array(groups, pa.string()), *links, *at], schema=arrow)
+            number += len(begins)
 
     return segments.mapInArrow(run, ALIGNED)
 
 
-def composed(blocks: DataFrame, scored: DataFrame, schema: StructType, digest: bool) -> DataFrame:
+def scored(found: DataFrame, links: DataFrame) -> tuple[DataFrame, Broadcast | None]:
+    """found and the broadcast pairs in order, with their links and whether they are the best of their B id; or found with n_best and
+    count_sum, and None, if there are too many pairs."""
+    pairs = stored(links.groupBy("a", "b").agg(F.sum("n").alias("links")), "pairs")
+    most = pairs.groupBy("b").agg(F.max("links").alias("most"))  # at most one row for each id of B
+    ranked = pairs.join(F.broadcast(most), "b").select("a", "b", "links", (F.col("links") == F.col("most")).cast("int").alias("best"))
+    if pairs.limit(PAIRS + 1).count() > PAIRS:
+        sums = links.join(ranked, ["a", "b"]).groupBy("id").agg(F.sum("best").alias("n_best"), F.sum("links").alias("count_sum"))
+        return found.join(sums, "id"), None
+    table = ranked.toArrow()
+    discard(pairs)
+    code = table["a"].to_numpy().astype(np.int64) << 32 | table["b"].to_numpy()
+    order = np.argsort(code)
+    sent = (code[order], table["links"].to_numpy()[order], table["best"].to_numpy().astype(np.int8)[order])
+    return found, found.sparkSession.sparkContext.broadcast(sent)
+
+
+def packed(found: DataFrame, pairs: Broadcast | None) -> DataFrame:
+    """What alignments give to each block, packed: places, counts and groups of its segments."""
+
+    def sums(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        if pairs is None:
+            return part.column("n_best").to_numpy(), part.column("count_sum").to_numpy()
+        code, links, best = pairs.value
+        a, b = part.column("a"), part.column("b")
+        at = np.searchsorted(code, a.flatten().to_numpy().astype(np.int64) << 32 | b.flatten().to_numpy())
+        begins = a.offsets.to_numpy()[:-1] - a.offsets[0].as_py()
+        return np.add.reduceat(best[at], begins, dtype=np.int64), np.add.reduceat(links[at], begins)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if not len(part):
+                continue
+            of, place = part.column("blocks"), part.column("places").flatten().to_numpy()
+            row, block = np.repeat(np.arange(len(part)), of.value_lengths().to_numpy()), of.flatten().to_numpy()
+            n_links = part.column("a").value_lengths().to_numpy()
+            n_best, count_sum = sums(part)
+            values = [part.column("n_a").to_numpy(), part.column("n_b").to_numpy(), n_links.astype(np.int32), n_best.astype(np.int32), count_sum]
+            groups = part.column("groups").to_pylist()
+            order = np.argsort(block, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                r = row[some]
+                text = "\n".join([groups[k] for k in r.tolist()]).encode()
+                columns = [[block[some[0]]], [len(some)], [squeezed(place[some], *[v[r] for v in values])], [len(text)], [pa.compress(text, codec="zstd", asbytes=True)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()), strict=True)], names=["of", "n", "numbers", "size", "groups"])
+
+    wide = [c for c in ("n_a", "n_b", "groups", "a", "b", "n_best", "count_sum", "blocks", "places") if c in found.columns]
+    return found.select(*wide).mapInArrow(run, PACKED)
+
+
+def composed(blocks: DataFrame, parts: DataFrame, schema: StructType, digest: bool) -> DataFrame:
     """The documents of every block: sums over their segments, and their groups in order."""
     arrow = to_arrow_schema(schema)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right["place"].to_numpy())
-        values = [np.concatenate([[0], right[c].to_numpy()[order]]) for c in COUNTS]
-        texts = right["groups"].take(pa.array(order)).to_pylist()
-        out = []
-        for k in range(len(left)):
-            rest = pa.ipc.open_stream(left["rest"][k].as_py()).read_all()
-            numbers, ends = (np.frombuffer(left[c][k].as_py(), t) for c, t in (("numbers", np.int32), ("ends", np.int64)))
-            begins = np.concatenate([[0], ends[:-1]])
-            sums = []
-            for v in values:
-                total = np.concatenate([[0], np.cumsum(v[numbers + 1])])
-                sums.append(pa.array(total[ends] - total[begins]))
-            groups = (";".join(map(texts.__getitem__, numbers[s:e].tolist())) for s, e in zip(begins.tolist(), ends.tolist(), strict=True))
-            last = pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups] if digest else list(groups), pa.string())
-            out.append(pa.Table.from_arrays([*rest.columns, *sums, last], schema=arrow))
-        return pa.concat_tables(out) if out else arrow.empty_table()
-
-    return blocks.select("block", "rest", "numbers", "ends").groupBy("block").cogroup(scored.groupBy("of")).applyInArrow(run, schema)
+        left = left.to_pylist()[0]
+        size = sum(right["n"].to_pylist())
+        values, texts = [np.zeros(size + 1, np.int64) for _ in range(5)], [""] * size
+        for p in right.to_batches():
+            for n, raw, length, groups in zip(*[p.column(c).to_pylist() for c in ("n", "numbers", "size", "groups")], strict=True):
+                place, *found = restored(raw, n, *[np.int32] * 5, np.int64)
+                for v, x in zip(values, found, strict=True):
+                    v[place + 1] = x
+                for k, g in zip(place.tolist(), pa.decompress(groups, length, codec="zstd", asbytes=True).decode().split("\n"), strict=True):
+                    texts[k] = g
+        ends = np.frombuffer(left["ends"], np.int64)
+        begins = np.concatenate([[0], ends[:-1]])
+        (numbers,) = restored(left["numbers"], int(ends[-1]), np.int32)
+        sums = []
+        for v in values:
+            total = np.concatenate([[0], np.cumsum(v[numbers + 1])])
+            sums.append(pa.array(total[ends] - total[begins]))
+        groups = (";".join(map(texts.__getitem__, numbers[s:e].tolist())) for s, e in zip(begins.tolist(), ends.tolist(), strict=True))
+        last = pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups] if digest else list(groups), pa.string())
+        n_a, n_b, n_links, n_best, count_sum = sums
+        rest = pa.ipc.open_stream(left["rest"]).read_all()
+        return pa.Table.from_arrays([*rest.columns, n_a, n_b, n_links, n_links, n_best, count_sum, last], schema=arrow)
+
+    return blocks.select("block", "rest", "numbers", "ends").groupBy("block").cogroup(parts.groupBy("of")).applyInArrow(run, schema)
 
 
 def align(docs: DataFrame, a: str, b: str, text: str = "text", digest: bool = False) -> DataFrame:
@@ -234,19 +314,12 @@ def align(docs: DataFrame, a: str, b: str, text: str = "text", digest: bool = Fa
     kept = [c for c in docs.columns if c not in (text, *COUNTS, last)]
     inner = [f"c{k}" for k in range(len(kept))]
     rows = docs.select(*[docs[c].alias(n) for c, n in zip(kept, inner, strict=True)], docs[text].cast("string").alias("text"))
-    blocks = stored(cut(rows, a, b), "blocks")
-    distinct = blocks.select(F.explode(F.arrays_zip("segments", "counts")).alias("s")).groupBy(F.col("s.segments").alias("segment")).agg(F.sum("s.counts").alias("n"))
-    found = stored(aligned(distinct, a, b), "alignments")
-    links = found.select("segment", "n", F.explode(F.arrays_zip("a", "b")).alias("l")).select("segment", "n", "l.a", "l.b")
-    pairs = stored(links.groupBy("a", "b").agg(F.sum("n").alias("links")), "pairs")
-    most = pairs.groupBy("b").agg(F.max("links").alias("most"))
-    pairs = pairs.join(F.broadcast(most), "b").select("a", "b", "links", (F.col("links") == F.col("most")).cast("int").alias("best"))
-    scores = links.join(bounded(pairs, PAIRS), ["a", "b"]).groupBy("segment").agg(F.count(F.lit(1)).alias("n_links"), F.sum("best").alias("n_best"), F.sum("links").alias("count_sum"))
-    ready = found.select("segment", "n_a", "n_b", "groups").join(scores, "segment")
-    places = blocks.select(F.col("block").alias("of"), F.posexplode("segments").alias("place", "segment"))
-    scored = places.join(ready, "segment").select("of", "place", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups")
+    blocks = stored(cut(rows, vocabularies(a, b).pattern), "blocks")
+    segments = blocks.select("block", F.posexplode(F.arrays_zip("segments", "counts")).alias("place", "s")).select(F.col("s.segments").alias("segment"), F.col("s.counts").alias("n"), "block", "place")
+    found = stored(aligned(segments.repartition("segment").sortWithinPartitions("segment"), a, b), "alignments")
+    links = found.select("id", "n", F.explode(F.arrays_zip("a", "b")).alias("l")).select("id", "n", "l.a", "l.b")
     schema = StructType([*(rows.schema[n] for n in inner), *StructType.fromDDL(", ".join(f"{c} long" for c in COUNTS) + f", {last} string")])
-    out = composed(blocks, scored, schema, digest)
+    out = composed(blocks, packed(*scored(found, links)), schema, digest)
     return out.select(*[F.col(n).alias(c) for n, c in zip(inner, kept, strict=True)], *COUNTS, last)
 
 

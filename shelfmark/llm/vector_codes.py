@@ -14,8 +14,8 @@ at, and the row of the block. Blocks are rows of a table in the shared folder: v
 of their documents. A round is one pass over that table that writes the next one, so a lost executor costs the tasks it
 ran. The driver gets sums of entries only. Squared distances are whole numbers and exact.
 
-Rows whose vector is null or holds null or not finite components are dropped. Vectors whose length isn't that of the
-first starting vector, or no multiple of PARTS, can't be cut: they stay with null code and error and count for nothing.
+Rows whose vector is null or holds null or not finite components are dropped. Only vectors of one length are coded: that
+of the smallest id whose vector can be cut into PARTS. The others stay with null code and error and count for nothing.
 Fewer than ENTRIES vectors give fewer entries. Rows that repeat count each; of equal ids the smaller vector starts
 first; rows without an id are coded but start nothing (if no row has an id, nothing can be coded). Components count as
 at most 2^31 / (2 sqrt(length)) in size, so that errors fit a long. Extra columns stay, in front of the new ones, which replace columns of their
@@ -243,11 +243,14 @@ def coded(blocks: DataFrame, books: np.ndarray, drifts: np.ndarray, schema: Stru
 def starts(vectors: DataFrame) -> np.ndarray | None:
     """The parts of the vectors with the smallest ids, as codebooks; None if there is none that can be cut. vectors: id, vector."""
     sound = vectors.where("id IS NOT NULL AND forall(vector, x -> coalesce(NOT isnan(x) AND abs(x) < double('Infinity'), false))")
-    rows = sound.orderBy("id", "vector").limit(ENTRIES).toArrow().column("vector")
-    order = whole(rows, SCALE)
-    length = next((n for n, (at, _) in order.items() if n and n % PARTS == 0 and 0 in at), 0)
-    if not length:
+    sound = sound.where(f"size(vector) > 0 AND size(vector) % {PARTS} = 0").orderBy("id", "vector")
+    rows = sound.limit(ENTRIES).toArrow().column("vector")
+    if not len(rows):
         return None
+    length = len(rows[0])
+    if any(len(v) != length for v in rows):
+        rows = sound.where(F.size("vector") == length).limit(ENTRIES).toArrow().column("vector")
+    order = whole(rows, SCALE)
     least = np.clip(order[length][1], -limit(length), limit(length))
     return np.ascontiguousarray(least.reshape(-1, PARTS, length // PARTS).transpose(1, 0, 2))
 
