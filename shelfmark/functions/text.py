@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from shelfmark.functions.lemmas import default_lemmatizer
+
 # They decide what the normalised texts are.
 LATIN_LOOKALIKES, CYRILLIC_LOOKALIKES = "abcehkmoptxy", "авсенкмортху"
 UNIT_TOKENS = ["см", "мм", "м", "км", "г", "кг", "мг", "л", "мл", "шт", "вт", "квт"]
 ASSORTMENT = r"(?iuU)\bв\s+ассортименте\b"
 QUOTES = r"[\"“”«»]"
 NON_WORD = r"(?U)[^\w\s.,xх×-]+"
-#: Stop-words of the default list; pass others to remove_stopwords() where a caller has its own.
+#: Stop-words of the default list: the Russian one of the Snowball project, as NLTK spreads it (BSD licence); pass others to remove_stopwords() where a caller has its own.
 STOP_WORDS = (
     "и в во не что он на я с со как а то все она так его но да ты к у же вы за бы по только ее мне было вот от меня еще нет о из ему теперь когда даже ну вдруг ли если уже или ни быть был него до вас нибудь опять уж вам ведь там потом себя ничего ей "
     "может они тут где есть надо ней для мы тебя их чем была сам чтоб без будто чего раз тоже себе под будет ж тогда кто этот того потому этого какой совсем ним здесь этом один почти мой тем чтобы нее сейчас были куда зачем всех никогда можно при "
@@ -59,16 +62,29 @@ def clean_text(c: Column) -> Column:
     return collapse(F.regexp_replace(F.regexp_replace(c, QUOTES, ""), NON_WORD, " "))
 
 
+#: A letter of neither alphabet; a word of letters; an atom, with a whole or decimal number; a token: atoms joined by single hyphens,
+#: or a run of hyphens.
+OTHER = r"[^\sa-zа-я\d.,×-]"
+LETTERS = rf"(?:[а-я]+|[a-z]+)?(?:{OTHER}+(?:[а-я]+|[a-z]+)?)+|[а-я]+|[a-z]+"
+ATOM = rf"(?:\d+(?:[.,]\d+)*|{LETTERS})"
+TOKEN = rf"(?U)({ATOM}(?:-{ATOM})*|-+)"
+
+
 def tokens(c: Column) -> Column:
-    """Words (with inner hyphens) and numbers of cleaned text; digits and letters part, as in 30 х 30 см."""
-    return F.regexp_extract_all(clean_text(c), F.lit(r"((?:[a-zа-я]+(?:-[a-zа-я]+)*)|\d+)"), F.lit(1))
+    """Tokens of cleaned text that consist of Latin and Cyrillic letters, whole numbers and hyphens.
+
+    Alphabets and digits part (30, х, 30, см); hyphens join what they touch on both sides (мясо-молочный); a number with a
+    decimal part, and what a hyphen joins to it, is one token and, as it holds another character, dropped; so are words with
+    letters of other alphabets. Hyphens that join nothing stand for themselves.
+    """
+    return F.filter(F.regexp_extract_all(clean_text(c), F.lit(TOKEN), F.lit(1)), lambda t: t.rlike("^[a-zа-я0-9-]+$"))
 
 
-def lemmas(words: Column, dictionary: Column | None = None) -> Column:
-    """Words with their dictionary forms (a map column); unit tokens and words unknown to it stay as they are."""
-    if dictionary is None:
-        return words
-    return F.transform(words, lambda w: F.when(w.isin(UNIT_TOKENS), w).otherwise(F.coalesce(F.try_element_at(dictionary, w), w)))
+def lemmas(words: Column, dictionary: Column | None = None, lemmatizer: Callable[[Column], Column] | None = None) -> Column:
+    """Words with their dictionary forms: a map column's, else the lemmatizer's (the suffix trie by default). Unit tokens stay."""
+    form = lemmatizer or default_lemmatizer()
+    known = lambda w: form(w) if dictionary is None else F.coalesce(F.try_element_at(dictionary, w), form(w))
+    return F.transform(words, lambda w: F.when(w.isin(UNIT_TOKENS), w).otherwise(known(w)))
 
 
 def remove_stopwords(c: Column, words: Iterable[str] = STOP_WORDS) -> Column:
@@ -76,14 +92,43 @@ def remove_stopwords(c: Column, words: Iterable[str] = STOP_WORDS) -> Column:
     return F.array_join(F.filter(tokens(F.regexp_replace(clean_text(c), ASSORTMENT, " ")), lambda t: ~F.array_contains(stop, t)), " ")
 
 
-def normalize_category(c: Column, dictionary: Column | None = None, words: Iterable[str] = STOP_WORDS) -> Column:
+def normalize_category(c: Column, dictionary: Column | None = None, words: Iterable[str] = STOP_WORDS, lemmatizer: Callable[[Column], Column] | None = None) -> Column:
     """Lemmas without stop-words; all lemmas if nothing else is left; null if empty."""
-    found = lemmas(tokens(F.regexp_replace(c, "[/,]+", " ")), dictionary)
+    found = lemmas(tokens(F.regexp_replace(c, "[/,]+", " ")), dictionary, lemmatizer)
     stop = F.array(*[F.lit(w) for w in words])
     kept = F.array_join(F.filter(found, lambda t: ~F.array_contains(stop, t)), " ")
     return F.nullif(F.coalesce(F.nullif(kept, F.lit("")), F.array_join(found, " ")), F.lit(""))
 
 
+@dataclass(frozen=True)
+class TextNormalizer:
+    """The text steps with a caller's own stop-words, dictionary and lemmatizer, as one object. Stop-words are compared in small
+    letters with ё as е."""
+
+    extra_stopwords: Iterable[str] = ()
+    dictionary: Column | None = None
+    lemmatizer: Callable[[Column], Column] | None = None
+
+    @property
+    def stopwords(self) -> list[str]:
+        return list(dict.fromkeys([*STOP_WORDS, *(w.strip().lower().replace("ё", "е") for w in self.extra_stopwords)]))
+
+    def clean_text(self, c: Column) -> Column:
+        return clean_text(c)
+
+    def tokenize(self, c: Column) -> Column:
+        return tokens(c)
+
+    def lemmatize(self, c: Column) -> Column:
+        return F.array_join(lemmas(tokens(c), self.dictionary, self.lemmatizer), " ")
+
+    def remove_stopwords(self, c: Column) -> Column:
+        return remove_stopwords(c, self.stopwords)
+
+    def normalize_category(self, c: Column) -> Column:
+        return normalize_category(c, self.dictionary, self.stopwords, self.lemmatizer)
+
+
 def join_distinct(parts: Column, sep: str) -> Column:
     """Non-blank parts, the first of those equal without regard to case, joined."""
     good = F.filter(F.transform(parts, blank_to_null), lambda p: p.isNotNull())

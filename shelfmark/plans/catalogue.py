@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.functions import text, values
+from shelfmark.functions.lemmas import LONGEST, SHORTEST, WHOLE, default_lemmatizer
 from shelfmark.operators import dimensions, history, identity, migration, outbox
 from shelfmark.plans import titles
 from shelfmark.schemas import struct
@@ -447,6 +448,32 @@ def natural_id(spark, d):
     return o.select("o_orderkey", values.natural_id(pick(0, "'r:' || o_orderkey"), pick(1, "cast(o_custkey AS string)"), pick(2, "cast(o_custkey AS string)"), F.lit(None).cast("string"), F.col("o_orderdate").cast("timestamp")).alias("source_id"))
 
 
+#: Inflected words of a retail title, most of them unknown to the lexicon.
+INFLECTED = "пельменей вареники шампиньонов маринованных подгузники гусеницы станками бритвенные колбасками резаную ватных дисков щеткой напитками салфеток хлебцы сметаной ткани мультизлаковые настольную упаковок серии кг и".split()
+
+
+def lemmas_sql() -> str:
+    """The rules of the default lemmatizer as a table, asked for the longest ending of every word."""
+    form = default_lemmatizer()
+    rules = ", ".join(f"('{e}', {n}, '{add}')" for e, (n, add) in form.rules.items())
+    words = "[" + ", ".join(f"'{w}'" for w in INFLECTED) + "]"
+    return f"""WITH rules(ending, n, add) AS (VALUES {rules}),
+t AS (SELECT p_partkey, {words}[1 + p_partkey % {len(INFLECTED)}] || ' ' || {words}[1 + p_partkey * 7 % {len(INFLECTED)}] || ' ' || p_size || 'г' AS title FROM part),
+w AS (SELECT p_partkey, pos, word FROM (SELECT p_partkey, string_split(regexp_replace(title, '(\\d+)', '\\1 '), ' ') AS words FROM t), unnest(words) WITH ORDINALITY u(word, pos)),
+e AS (SELECT w.*, k, CASE WHEN k = {LONGEST + 1} THEN '{WHOLE}' || word WHEN length(word) >= k THEN right(word, k) END AS ending FROM w, range(1, {LONGEST + 2}) r(k)),
+r AS (SELECT p_partkey, pos, word, arg_max(left(word, length(word) - n) || add, k) AS lemma FROM e JOIN rules USING (ending) WHERE length(word) >= {SHORTEST} AND regexp_full_match(word, '[а-я-]+') GROUP BY ALL)
+SELECT p_partkey, string_agg(coalesce(lemma, word), ' ' ORDER BY pos) AS lemmas FROM w LEFT JOIN r USING (p_partkey, pos, word) GROUP BY p_partkey"""
+
+
+@query(lemmas_sql())
+def lemmas(spark, d):
+    """Titles of inflected words in their dictionary forms."""
+    words = F.array(*[F.lit(w) for w in INFLECTED])
+    pick = lambda k: F.element_at(words, (F.expr(k) % len(INFLECTED) + 1).cast("int"))
+    title = F.concat_ws(" ", pick("p_partkey"), pick("p_partkey * 7"), F.concat(F.col("p_size").cast("string"), F.lit("г")))
+    return table(spark, d, "part").select("p_partkey", text.TextNormalizer().lemmatize(title).alias("lemmas"))
+
+
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'крупа макарон соус' WHEN 1 THEN 'овощ ягода ' || p_name ELSE 'на с' END AS category FROM part""")
 def category_text(spark, d):
     forms = F.create_map(*[F.lit(x) for pair in {"крупы": "крупа", "макароны": "макарон", "соусы": "соус", "овощи": "овощ", "ягоды": "ягода"}.items() for x in pair])
