@@ -6,6 +6,7 @@ succeeds a bounded part of the delete outbox is drained, if the environment desc
 
 from __future__ import annotations
 
+import itertools
 import json
 import signal
 import threading
@@ -91,11 +92,25 @@ class Daemon:
         return asdict(self.metrics)
 
 
+def upkeep(drain: Callable[[], dict] | None, store: Store, every: int) -> Callable[[], dict]:
+    """What follows a cycle: the outbox drain, and after each `every` cycles a sweep of the store. No commit is under way then."""
+    cycles = itertools.count(1)
+
+    def after() -> dict:
+        done = drain() if drain else {}
+        if every and next(cycles) % every == 0:
+            store.vacuum()
+        return done
+
+    return after
+
+
 def main() -> None:
     p = arguments()
     p.add_argument("--poll-interval", type=float, default=5.0)
     p.add_argument("--cycles", type=int, default=0)
     p.add_argument("--outbox-limit", type=int, default=200)
+    p.add_argument("--vacuum-every", type=int, default=100, help="cycles between two sweeps of replaced files; 0: never")
     a = p.parse_args()
     spark, stop = session(), threading.Event()
     for name in (signal.SIGINT, signal.SIGTERM):
@@ -103,7 +118,8 @@ def main() -> None:
     parsers = default_registry().names() if a.parser_name == "all" else [a.parser_name]
     client = StorageClient.from_env()
     drain = (lambda: drain_outbox(Store(spark, a.catalog), client, client.base, a.outbox_limit)) if client else None
-    m = poll(lambda parser: run(spark, SyncJob(a.receiver, a.catalog, parser, a.batch_size, a.max_batches, a.backfill)), parsers, a.poll_interval, a.cycles, drain, stop)
+    work = upkeep(drain, Store(spark, a.catalog), a.vacuum_every)
+    m = poll(lambda parser: run(spark, SyncJob(a.receiver, a.catalog, parser, a.batch_size, a.max_batches, a.backfill)), parsers, a.poll_interval, a.cycles, work, stop)
     print(json.dumps(asdict(m)))
 
 

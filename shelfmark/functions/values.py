@@ -124,3 +124,19 @@ def safe_reference(value: str) -> str:
         return value
     at = parse_dsn(value)
     return f"mysql://{at['host']}:{at['port']}/{at['database']}"
+
+
+def json_safe(c: Column) -> Column:
+    """Any value as JSON text: structs, maps, arrays and what they hold at any depth; instants as ISO-8601 in UTC with microseconds,
+    nulls of structs kept."""
+    return F.to_json(c, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
+
+
+def payload(c: Column) -> Column:
+    """A payload of any shape as VARIANT: a text that is JSON by its content, another value through json_safe(); null if neither."""
+    return F.try_parse_json(c)
+
+
+def payload_value(c: Column, path: str, kind: str) -> Column:
+    """The value at a path ($.a.b[0]) of a VARIANT as a Spark type; null if it isn't there or of another kind."""
+    return F.try_variant_get(c, path, kind)

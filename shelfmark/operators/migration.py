@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfmark.functions.values import as_uuid, content_fingerprint
+from shelfmark.operators.history import source_rows
 from shelfmark.operators.store import Store
-from shelfmark.schemas import validate_money
+from shelfmark.schemas import MONEY, validate_money
 
 #: Columns of the rebuilt table with their types and what stands where the old table has none (fixed values).
 TARGET = {
@@ -58,8 +60,22 @@ def checked(df: DataFrame) -> DataFrame:
     return df
 
 
-def swap(store: Store, rebuilt: DataFrame, live: str = "snapshots", legacy: tuple[str, ...] = ()) -> int:
-    """Puts the rebuilt table in place of the live one and drops the legacy tables, in one commit; vacuum() then frees their files."""
+def live(rebuilt: DataFrame) -> DataFrame:
+    """The rebuilt table in the layout of the live one: ids from event uids (or the old id), missing fingerprints from the prices, one
+    row a snapshot, and the receiver's ids as payload."""
+    uid = F.coalesce("source_event_uid", F.concat(F.lit("migrated:"), F.col("id").cast("string")))
+    old = F.to_json(F.struct(F.col("source_run_id").alias("run_id"), F.col("receiver_artifact_id").alias("artifact_id"), F.col("receiver_product_id").alias("product_id"), F.col("receiver_sort_order").alias("sort_order")))
+    fingerprint = F.coalesce("content_fingerprint", content_fingerprint({c: F.col(c).cast("double") for c in MONEY}))
+    return rebuilt.select(
+        as_uuid(uid).alias("snapshot_id"), "parser_name", "source_id", fingerprint.alias("content_fingerprint"), F.col("valid_from_at").alias("valid_from"), F.col("valid_to_at").alias("valid_to"), F.lit(1).cast("long").alias("n_rows"),
+        uid.alias("source_event_uid"), "canonical_product_id", *MONEY, "price_unit", "available_count", old.alias("payload"),
+    )
+
+
+def swap(store: Store, rebuilt: DataFrame, table: str = "snapshots", legacy: tuple[str, ...] = ()) -> int:
+    """Puts the rebuilt table, in the live layout, in place of the live one, its sources beside it, and drops the legacy tables, all in
+    one commit: the sync goes on from it. vacuum() then frees the old files."""
     base = store.manifest()
-    base["tables"] = {n: t for n, t in base["tables"].items() if n not in (live, *legacy)}
-    return store.commit({live: (checked(rebuilt), ["id"])}, base)
+    base["tables"] = {n: t for n, t in base["tables"].items() if n not in (table, "sources", *legacy)}
+    rows = live(checked(rebuilt))
+    return store.commit({table: (rows, ["snapshot_id"]), "sources": (source_rows(rows, None), ["parser_name", "source_id"])}, base)

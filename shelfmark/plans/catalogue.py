@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.functions import text, values
 from shelfmark.functions.lemmas import LONGEST, SHORTEST, WHOLE, default_lemmatizer
-from shelfmark.operators import dimensions, history, identity, migration, outbox
+from shelfmark.operators import dimensions, history, identity, migration, outbox, store
 from shelfmark.plans import titles
 from shelfmark.schemas import struct
 from shelfmark.sources import receiver
@@ -487,3 +487,65 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+@query("""WITH RECURSIVE p AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n,
+  list_filter([CASE WHEN p_partkey % 4 = 0 THEN 'plu:p' || (p_partkey // 200) END, 'sku:s' || (p_partkey // 100), 'source_id:r:' || p_partkey, 'normalized_name:' || trim(p_name)], lambda k: k IS NOT NULL) AS keys FROM part),
+f AS (SELECT p_brand, 0::BIGINT AS n, 0::BIGINT AS p_partkey, 0::BIGINT AS choice, MAP {'': 0::BIGINT} AS ids FROM p GROUP BY p_brand UNION ALL
+  SELECT p.p_brand, p.n, p.p_partkey, c.choice, map_concat(f.ids, map_from_entries(list_transform(p.keys, lambda k: {'k': k, 'v': c.choice}))) FROM f JOIN p ON p.p_brand = f.p_brand AND p.n = f.n + 1,
+  LATERAL (SELECT coalesce(list_filter(list_transform(p.keys, lambda k: f.ids[k]), lambda v: v IS NOT NULL)[-1], p.p_partkey) AS choice) c)
+SELECT p_partkey, p_brand AS parser_name, choice AS first_partkey FROM f WHERE n > 0""")
+def identity_fold(spark, d):
+    """The exact fold in order of arrival: for every record the first one that has its canonical id."""
+    out = identity_resolve(spark, d)
+    first = out.groupBy(F.col("parser_name").alias("n"), F.col("canonical_product_id").alias("c")).agg(F.min("p_partkey").alias("first_partkey"))
+    return out.join(first, (F.col("parser_name") == F.col("n")) & (F.col("canonical_product_id") == F.col("c"))).select("p_partkey", "parser_name", "first_partkey")
+
+
+@query("""SELECT page_id, 'http://h/' || (page_id % 7) || '/' || min(page_id) OVER (PARTITION BY page_id % 7) AS canonical, CASE WHEN page_id = min(page_id) OVER (PARTITION BY page_id % 7) THEN 0 ELSE 1 END AS n_dup FROM pages""")
+def image_canonical(spark, d):
+    """Equal images of different records: the first url stands for all, and what it replaced is listed."""
+    url = F.expr("'http://h/' || (page_id % 7) || '/' || page_id")
+    rows = table(spark, d, "pages").select("page_id", F.array(url).alias("image_urls"))
+    out = identity.dedup_images(rows, ["page_id"], fingerprint=lambda u: F.sha2(F.split(u, "/")[3], 256))
+    return out.select("page_id", F.get("image_urls", F.lit(0)).alias("canonical"), F.size("duplicate_image_urls").alias("n_dup"))
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS at, event_type AS kind, CAST(json_extract(props, '$.k') AS INTEGER) * 2 AS twice FROM events""")
+def payload_paths(spark, d):
+    """A nested payload with an instant, as VARIANT, and values at its paths."""
+    k = values.payload_value(values.payload(F.col("props")), "$.k", "int")
+    whole = F.struct(F.col("ts").cast("timestamp").alias("at"), F.struct(F.array(k, k * 2).alias("list"), F.lit(None).cast("string").alias("none")).alias("inner"), F.create_map(F.lit("kind"), F.col("event_type")).alias("map"))
+    p = table(spark, d, "events").select("event_id", values.payload(values.json_safe(whole)).alias("p"))
+    at = lambda path, kind: values.payload_value(F.col("p"), path, kind)
+    return p.select("event_id", at("$.inner.list[0]", "int").alias("k"), at("$.at", "string").alias("at"), at("$.map.kind", "string").alias("kind"), at("$.inner.list[1]", "int").alias("twice"))
+
+
+#: Raw records of the receiver tables: artifacts of the third parser have no handler.
+@query("""SELECT 'receiver:run-' || c_custkey || ':' || o_orderkey AS source_id, 'no handler for its parser' AS reason FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 3 = 2""")
+def quarantine_rows(spark, d):
+    """Records that can't be applied, with the reason."""
+    raw = receiver.records(receiver_tables(spark, d), 0)
+    return sync.quarantined(raw, titles.default_registry(), F.lit("2024-01-01").cast("timestamp"))[1].select("source_id", "reason")
+
+
+@query("""SELECT CASE c_custkey % 3 WHEN 0 THEN 'fixprice' ELSE 'chizhik' END AS parser_name, 'receiver:run-' || c_custkey || ':' || o_orderkey AS source_id, CASE WHEN o_orderkey % 7 = 3 THEN 'Unnamed product' ELSE 'Item ' || o_orderkey END AS title_original,
+CASE WHEN o_orderkey % 5 <> 0 THEN 'sku-' || o_orderkey END AS sku, CAST(round(o_totalprice, 4) AS DOUBLE) AS price, lower('land|' || c_mktsegment || '|' || c_name || '1') AS settlement_key FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 3 < 2""")
+def stream_projection(spark, d):
+    """The current projection after the raw records went through the sync as a stream: handlers, identity, snapshots, dimensions and
+    cursors, each micro-batch in one commit."""
+    at = f"{identity.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    raw = receiver.records(receiver_tables(spark, d), 0)
+    raw.write.parquet(f"{at}/raw")
+    target = store.Store(spark, f"{at}/catalog")
+    query_ = sync.stream(spark.readStream.schema(raw.schema).parquet(f"{at}/raw"), target, "projection", f"{at}/state")
+    query_.awaitTermination()
+    return target.table("projection").select("parser_name", "source_id", "title_original", "sku", F.col("price").cast("double").alias("price"), "settlement_key")
+
+
+@query("""WITH e AS (SELECT event_id, user_id, date_trunc('day', ts) AS at, CASE WHEN event_type <> 'error' THEN value END AS v FROM events)
+SELECT event_id, user_id, coalesce(v, (SELECT c.v FROM e c WHERE c.user_id = e.user_id AND c.v IS NOT NULL AND (c.at < e.at OR c.at = e.at AND c.event_id < e.event_id) ORDER BY c.at DESC, c.event_id LIMIT 1)) AS value FROM e""")
+def backfill_ties(spark, d):
+    """Values from earlier records of the same key where many share an instant: the latest instant first, then the least id."""
+    rows = table(spark, d, "events").select("event_id", "user_id", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("at"), F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    return history.backfill(rows, ["user_id"], "at", "event_id", ["value"], past_only=True).select("event_id", "user_id", "value")

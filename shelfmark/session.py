@@ -10,7 +10,7 @@ def session(name: str = "shelfmark", master: str | None = None, **conf: str) ->
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.checkpoint.compress": "true", "spark.sql.execution.arrow.pyspark.enabled": "true", **conf}
+    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.checkpoint.compress": "true", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.sql.python.filterPushdown.enabled": "true", "spark.python.sql.dataFrameDebugging.enabled": "false", **conf}
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()

@@ -10,7 +10,7 @@ def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "3g").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", f"file://{shared}")
+        .config("spark.driver.memory", "3g").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import http.server
+import os
 import random
 import sqlite3
 import threading
@@ -68,6 +69,15 @@ def test_identity_fold_by_component_is_the_same(spark):
         assert a == b and len(a) == 60
 
 
+def test_identity_fold_leaves_other_columns_alone(spark):
+    rows = [("p", k, "1" if k < 2 else None, None, f"r{k}", None, big, [(k, None)]) for k, big in enumerate([2**60 + 1, None, -(2**60) - 1])]
+    d = spark.createDataFrame(rows, "parser_name string, seq long, plu string, sku string, source_id string, normalized_name string, big long, nested array<struct<a:long,b:string>>")
+    for c in (False, True):
+        got = identity.resolve(d, ["seq"], by_component=c)
+        assert got.columns == [*d.columns, "canonical_product_id"]
+        assert {(r.seq, r.big, r.nested[0].a) for r in got.collect()} == {(0, 2**60 + 1, 0), (1, None, 1), (2, -(2**60) - 1, 2)}
+
+
 def test_components_chain(spark):
     rows = [(k, f"p{k // 2}", f"s{(k + 1) // 2}", None, None) for k in range(40)] + [(99, None, " ", None, None)]
     got = {r.i: r.canonical for r in identity.components(spark.createDataFrame(rows, "i int, plu string, sku string, source_id string, normalized_name string"), "i").collect()}
@@ -220,7 +230,7 @@ def test_http_delete():
     threading.Thread(target=server.serve_forever, daemon=True).start()
     client = outbox.StorageClient(f"http://127.0.0.1:{server.server_port}/", "key", 2)
     assert [client(n) for n in ("a b+c.webp", "gone.webp", "bad.webp")] == [True, True, False]
-    strict = outbox.StorageClient.from_env({"CONVERTER_STORAGE_BASE_URL": " ", "STORAGE_BASE_URL": client.base, "STORAGE_API_TOKEN": "key", "CONVERTER_STORAGE_DELETE_STRICT": "Yes", "CONVERTER_STORAGE_DELETE_TIMEOUT_SEC": "soon"})
+    strict = outbox.StorageClient.from_env({"SHELFMARK_STORAGE_BASE_URL": " ", "STORAGE_BASE_URL": client.base, "STORAGE_API_TOKEN": "key", "SHELFMARK_STORAGE_DELETE_STRICT": "Yes", "SHELFMARK_STORAGE_DELETE_TIMEOUT_SEC": "soon"})
     assert strict.strict and strict.timeout == 10.0 and outbox.StorageClient.from_env({"STORAGE_BASE_URL": "http://h"}) is None
     with pytest.raises(RuntimeError, match="500"):
         strict("bad.webp")
@@ -249,10 +259,31 @@ def test_migration_from_split_tables_and_swap(spark, tmp_path):
     store.commit({"snapshots": (spark.range(9), []), "old_counts": (spark.range(3), [])}, store.manifest())
     migration.swap(store, migration.from_split(events, snaps, counts), legacy=("old_counts",))
     assert store.table("snapshots").count() == 2 and store.table("old_counts") is None
+    assert {r.source_id: str(r.last_seen.date()) for r in store.table("sources").collect()} == {"generated:1": "2026-01-02", "generated:2": "2026-01-03"}
     with pytest.raises(ValueError, match="u1"):
         migration.swap(store, migration.from_split(events.union(events.where("id = 1"))))
 
 
+def test_sync_goes_on_after_swap(spark, tmp_path):
+    receiver_file(str(tmp_path / "r.sqlite"), 2)
+    raw = receiver.records(receiver.tables(spark, str(tmp_path / "r.sqlite")), 100)
+    store = Store(spark, f"file://{tmp_path}/cat")
+    one = raw.where("sku = 'sku-0'")
+    sync.apply_chunk(store, one)
+    old = spark.sql("SELECT 7L AS id, 'fixprice' AS parser_name, 'receiver:run-0:100' AS source_id, 'old-event' AS source_event_uid, timestamp '2026-02-26 10:00:00' AS observed_at, 199.9D AS price, 'RUB' AS price_unit, 12D AS available_count")
+    migration.swap(store, migration.from_single(old))
+    assert store.table("snapshots").count() == 1
+    shared = identity.shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(shared))
+    got = sync.apply_chunk(store, raw)
+    # the migrated snapshot goes on, as its prices are the record's; the other record is new
+    assert (got["inserted"], got["reused"]) == (1, 1)
+    rows = {r.source_id: r for r in store.table("snapshots").collect()}
+    assert len(rows) == 2 and str(rows["receiver:run-0:100"].valid_from.date()) == "2026-02-26" and str(rows["receiver:run-0:100"].valid_to.date()) == "2026-02-27"
+    # what a chunk cut is gone
+    assert not {f for f in set(os.listdir(shared)) - before if f.startswith("cut-")}
+
+
 def test_backfill_counts_earlier_rows_and_stored_ones(spark):
     rows = [("k", 1, "2026-01-01", None), ("k", 2, "2026-01-02", "b"), ("k", 3, "2026-01-02", None), ("k", 4, "2026-01-05", None), ("k", 5, "2026-01-06", "c")]
     d = spark.createDataFrame(rows, "k string, i int, t string, v string").withColumn("t", F.col("t").cast("timestamp"))
