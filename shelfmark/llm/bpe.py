@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import added, documents
+from shelfmark.llm.common import added, documents, free
 
 #: The vocabulary of the contract, by its name among the public tokenizers.
 VOCABULARY = "byte_bpe_50k.json"
@@ -252,8 +252,8 @@ def encode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     def run(texts: list[str | None]) -> list[list]:
         return [[x.astype(np.int32) for x in codec(path).encode_batch([t or "" for t in texts])]]
 
-    d = docs.drop(ids).withColumn("_text", docs[text].cast("string"))
-    return added(d, ["_text"], f"`{ids}` array<int>", run)
+    own = free(docs, "_text")
+    return added(docs.drop(ids).withColumn(own, docs[text].cast("string")), [own], f"`{ids}` array<int>", run)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -262,7 +262,8 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
     def run(rows: list[list[int] | None]) -> list[list]:
         return [[codec(path).decode(x) if x is not None else "" for x in rows]]
 
-    return added(tokens.drop(text).withColumn("_ids", tokens[ids]), ["_ids"], f"`{text}` string", run)
+    own = free(tokens, "_ids")
+    return added(tokens.drop(text).withColumn(own, tokens[ids]), [own], f"`{text}` string", run)
 
 
 def digests(docs: DataFrame, path: str, most: int = MAX_PIECES) -> DataFrame:

@@ -65,6 +65,14 @@ def batches(spark: SparkSession) -> None:
             spark.conf.set(name, most)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, with as many underscores behind it as it takes to differ from df's columns."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def mapped(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """df.mapInPandas in batches of bounded size. Only for columns without nulls: pandas reads whole numbers beside nulls as floats."""
     batches(df.sparkSession)

@@ -66,10 +66,11 @@ def around(tokens_: str, at: str) -> str:
 
 def marked(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """The benchmark's hashes: key, imask, item_id, the tokens around (near) with the place of the hit in them (iat), the window's
-    size, the tokens that must agree (need), and the first and last start of a window relative to the hit."""
+    size, the tokens that must agree (need), and the first and last start of a window relative to the hit. Places of an item with
+    equal tokens around count once."""
     x = seeds(items, "ipos", masks).withColumn("window", F.expr(f"least(size(h), {WINDOW})"))
     need = f"window - CASE WHEN window = {WINDOW} THEN {SUBSTITUTIONS} ELSE 1 END"
-    return x.select("key", F.col("mask").alias("imask"), "item_id", F.expr(around("h", "ipos")).alias("near"), F.expr(f"least(ipos, {WINDOW - 1})").alias("iat"), "window", F.expr(need).alias("need"), F.expr(f"greatest(-ipos, {by_mask([len(m) for m in masks])} - window)").alias("lo"), F.expr("least(size(h) - window - ipos, 0)").alias("hi"))
+    return x.select("key", F.col("mask").alias("imask"), "item_id", F.expr(around("h", "ipos")).alias("near"), F.expr(f"least(ipos, {WINDOW - 1})").alias("iat"), "window", F.expr(need).alias("need"), F.expr(f"greatest(-ipos, {by_mask([len(m) for m in masks])} - window)").alias("lo"), F.expr("least(size(h) - window - ipos, 0)").alias("hi")).distinct()
 
 
 #: Tokens that agree in the best window around a hit. Columns part, at (the document's), near, iat, window, lo, hi.
@@ -116,15 +117,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: list[str]) -> DataFrame:
     return hits.groupBy(*keys, "item_id").agg(F.count(F.lit(1)).alias("n_seeds"), F.min("pos").cast("long").alias("first_token"), F.max("n_equal").cast("long").alias("n_equal"))
 
 
+def text_mark():
+    """What tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that share a passage with the benchmark."""
-    mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    found = leaks(docs.select("doc_id", "text", mark.alias("_mark")), benchmark, ["doc_id", "_mark"])
-    gone = stored(found.select(F.col("doc_id").alias("_gone"), F.col("_mark").alias("_same")).distinct(), "contaminated")
-    here = docs.withColumn("_mark", mark)
-    return here.join(bounded(gone, MAX_BROADCAST_DOCS), here["doc_id"].eqNullSafe(gone["_gone"]) & (here["_mark"] == gone["_same"]), "left_anti").drop("_mark")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_mark().alias("same"))
+    found = leaks(docs.select(F.col("doc_id").alias("id"), text_mark().alias("same"), "text"), benchmark, ["id", "same"])
+    gone = stored(found.select(F.col("id").alias("gone"), F.col("same").alias("gone_same")).distinct(), "contaminated")
+    return rows.join(bounded(gone, MAX_BROADCAST_DOCS), rows["id"].eqNullSafe(gone["gone"]) & (rows["same"] == gone["gone_same"]), "left_anti").select("row.*")
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pair of a document and a benchmark item that share a passage."""
-    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"])
+    """Every pair of a document and a benchmark item that share a passage; texts of one id count apart."""
+    docs = documents(spark, sf_dir).select("doc_id", text_mark().alias("same"), "text")
+    return leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id", "same"]).drop("same")

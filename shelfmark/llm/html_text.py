@@ -25,7 +25,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm.common import added
+from shelfmark.llm.common import added, free
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -251,8 +251,9 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, text: str = "text", source: str = "html") -> DataFrame:
     """pages with the main text in place of the html, and of a column of that name."""
-    kept = pages.select(*[c for c in pages.columns if c not in (source, text)], pages[source].cast("string").alias("_html"))
-    return added(kept, ["_html"], f"`{text}` string", lambda rows: [[main_text(p) for p in rows]])
+    own = free(pages, "_html")
+    kept = pages.select(*[c for c in pages.columns if c not in (source, text)], pages[source].cast("string").alias(own))
+    return added(kept, [own], f"`{text}` string", lambda rows: [[main_text(p) for p in rows]])
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from shelfmark.llm.common import added, documents
 
 #: The patterns of the contract, in their order, with the group and length that count.
 PATTERNS = [
-    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
+    ("assign", re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     # the leftmost run of 16 or more is a whole run, as runs are maximal
     ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16),

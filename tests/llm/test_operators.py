@@ -270,6 +270,10 @@ def test_base_spans():
     assert secrets.written(sorted(secrets.base_spans(t), key=lambda x: (x[0], x[2]))) == "assign:0:24,access:28:48,hex:49:65"
 
 
+def test_letters_that_fold_to_ascii_are_no_keywords():
+    assert secrets.base_spans("pa\u017f\u017fword=abcdefghijklmnop to\u212aen=abcdefghijklmnop") == []
+
+
 #: Formats of keys that the patterns miss and the generator doesn't make: prefixes, parts, dots.
 FORMATS = {
     "ghp": lambda d: "ghp_" + d(string.ascii_letters + string.digits, 36), "AIza": lambda d: "AIza" + d(string.ascii_letters + string.digits + "-_", 35), "sk_live": lambda d: "sk_live_" + d(string.ascii_letters + string.digits, 24),
@@ -497,6 +501,28 @@ def test_columns_with_clashing_names(spark):
     assert near_dedup.keep_one(d).columns == d.columns and line_dedup.dedup_lines(d).columns == d.columns
 
 
+def test_columns_named_like_inner_ones(spark):
+    d = spark.createDataFrame([(1, "one two three four five six seven eight", "a", "b", "c", "d")], "doc_id long, text string, _text string, _ids string, _html string, _mark string")
+    path = bpe.vocabulary_path()
+    assert bpe.decode(bpe.encode(d, path), path).select("_text", "_ids", "_html", "_mark", "decoded").first() == ("a", "b", "c", "d", d.first().text)
+    assert html_text.extract(d.withColumnRenamed("text", "html")).select("_html", "text").first()._html == "c"
+    kept = decontamination.decontaminated(d, spark.createDataFrame([(1, "other words")], "item_id long, text string"))
+    assert kept.columns == d.columns and kept.first() == d.first()
+
+
+def test_texts_of_one_id_leak_apart(spark):
+    words = " ".join(f"w{k}" for k in range(20))
+    d = spark.createDataFrame([(1, words), (1, "x " + words), (1, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, words)], "item_id long, text string")
+    assert [r.text for r in decontamination.decontaminated(d, bench).collect()] == ["clean"]
+    found = decontamination.leaks(d.withColumn("same", decontamination.text_mark()), bench, ["doc_id", "same"])
+    assert sorted((r.doc_id, r.first_token) for r in found.collect()) == [(1, 0), (1, 1)]
+    # an item of one repeated token counts its places once
+    same = spark.createDataFrame([(8, "ha " * 40)], "item_id long, text string")
+    hits = decontamination.leaks(spark.createDataFrame([(2, "ha " * 200)], "doc_id long, text string"), same, ["doc_id"]).first()
+    assert hits.n_equal == 13 and hits.n_seeds < 200 * 2 * 30
+
+
 def test_very_long_texts(spark):
     long = " ".join(f"word{k % 700} is here. " + ("\n" if k % 40 == 0 else "") for k in range(60_000))
     d = spark.createDataFrame([(1, long, "en"), (2, long + " and more", "en"), (3, "z" * 300_000, "en")], "doc_id long, text string, lang string")
