@@ -16,7 +16,7 @@ from shelfmark.operators import dimensions, history, identity, migration, outbox
 from shelfmark.plans import titles
 from shelfmark.schemas import struct
 from shelfmark.sources import receiver
-from shelfmark.streaming import sync
+from shelfmark.streaming import state, sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -549,3 +549,14 @@ def backfill_ties(spark, d):
     """Values from earlier records of the same key where many share an instant: the latest instant first, then the least id."""
     rows = table(spark, d, "events").select("event_id", "user_id", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("at"), F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
     return history.backfill(rows, ["user_id"], "at", "event_id", ["value"], past_only=True).select("event_id", "user_id", "value")
+
+
+@query(RUNS)
+def state_snapshot(spark, d):
+    """The same from keyed state: every source's open run is in the state store, and micro-batches give what changed."""
+    at = f"{identity.shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    schema = table(spark, d, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).select("user_id", "event_id", "ts", F.sha2("event_type", 256).alias("fp"))
+    state.run_stream(source, at, ["user_id"], ["ts", "event_id"], "fp", "ts")
+    out = state.current_runs(spark, at, ["user_id"])
+    return out.select(F.col("user_id").cast("long").alias("user_id"), "snapshot_no", "fp", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), F.col("valid_to").cast("timestamp_ntz").alias("valid_to"), "n_rows")

@@ -8,11 +8,12 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import history
 from shelfmark.operators.store import Store
 from shelfmark.sinks import database
 from shelfmark.sources import receiver
 from shelfmark.sources.receiver_stream import ReceiverStreamReader, arrivals
-from shelfmark.streaming import sync
+from shelfmark.streaming import state, sync
 from test_catalogue import receiver_file
 
 
@@ -128,8 +129,8 @@ def test_sqlite_sink_is_all_or_nothing(spark, tmp_path):
     assert os.listdir(tmp_path) == ["out.db"]
     # keys replace, and a batch of one name counts once
     database.to_sqlite(rows.where("id < 2").withColumn("price", F.lit(7).cast("decimal(12,4)")), path, "t", ["id"], "b2")
-    database.to_sqlite(rows.withColumn("price", F.lit(9).cast("decimal(12,4)")), path, "t", ["id"], "b2")
-    assert count()[0] == 50 and count("price = '7.0000'")[0] == 2 and count("price = '9.0000'")[0] == 0
+    database.to_sqlite(rows.withColumn("price", F.lit(9.1).cast("decimal(12,4)")), path, "t", ["id"], "b2")
+    assert count()[0] == 50 and count("price = '7.0000'")[0] == 2 and count("price = '9.1000'")[0] == 0
     store = Store(spark, f"file://{tmp_path}/s")
     store.commit({"t": (rows.drop("list"), ["id"]), "other": (spark.range(2), [])}, store.manifest())
     assert database.mirror(store, str(tmp_path / "mirror.db"), ["t"]) == {"t": 50}
@@ -145,3 +146,25 @@ def test_jdbc_sink_replaces_in_one_transaction(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         database.to_jdbc(spark.range(2).select("id", F.lit("c").alias("missing_column")), url, "t", ["id"], driver)
     assert read()[0] == "a"
+
+
+def test_state_of_runs_goes_on_after_restarts(spark, tmp_path):
+    """Three starts over growing input give what one batch gives, and the state holds one row a source."""
+    rows = [(f"s{k % 5}" if k % 11 else None, k, f"2026-01-01 00:{k:02d}:00", ["a", "a", "b", None][(k // 5) % 4]) for k in range(50)]
+    d = spark.createDataFrame(rows, "source string, id long, at string, fp string").withColumn("at", F.col("at").cast("timestamp"))
+    for part in range(3):
+        d.where(f"id BETWEEN {part * 20} AND {part * 20 + 19}").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+        source = spark.readStream.schema(d.schema).parquet(f"file://{tmp_path}/in")
+        size = state.run_stream(source, f"file://{tmp_path}/s", ["source"], ["at", "id"], "fp", "at")
+    assert size["rows"] == 6 and size["bytes"] > 0
+    names = ["source", "snapshot_no", "fp", "valid_from", "valid_to", "n_rows"]
+    got = sorted(map(str, state.current_runs(spark, f"file://{tmp_path}/s", ["source"]).select(names).collect()))
+    want = sorted(map(str, history.snapshots(d, ["source"], ["at", "id"], "fp", "at").select(names).collect()))
+    assert got == want and len(got) > 10
+
+
+def test_catalogs_of_another_layout_are_refused(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/cat")
+    store.commit({"images": (spark.range(1).selectExpr("'f' AS fingerprint", "id AS canonical_url"), ["fingerprint"]), "own": (spark.range(1), [])}, store.manifest())
+    with pytest.raises(ValueError, match="images.n_uses is missing; images.canonical_url is bigint, not string"):
+        sync.check_catalog(store)
