@@ -78,6 +78,18 @@ def test_identity_fold_leaves_other_columns_alone(spark):
         assert {(r.seq, r.big, r.nested[0].a) for r in got.collect()} == {(0, 2**60 + 1, 0), (1, None, 1), (2, -(2**60) - 1, 2)}
 
 
+def test_key_map_spills(monkeypatch):
+    monkeypatch.setattr(identity, "MOST_KEYS", 5)
+    rng, plain, held = random.Random(8), {}, identity.KeyMap()
+    for k in range(300):
+        keys = [("a", str(rng.randrange(60))), ("b", str(rng.randrange(60)))]
+        assert [held.get(x) for x in keys] == [plain.get(x) for x in keys]
+        held.put(keys, f"id{k}")
+        plain |= dict.fromkeys(keys, f"id{k}")
+        assert len(held.near) <= 7
+    held.close()
+
+
 def test_components_chain(spark):
     rows = [(k, f"p{k // 2}", f"s{(k + 1) // 2}", None, None) for k in range(40)] + [(99, None, " ", None, None)]
     got = {r.i: r.canonical for r in identity.components(spark.createDataFrame(rows, "i int, plu string, sku string, source_id string, normalized_name string"), "i").collect()}
