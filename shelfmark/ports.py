@@ -15,6 +15,9 @@ class Receiver(Protocol):
     def fetch_batch(self, limit: int, parser_name: str | None = None, after: tuple | None = None) -> DataFrame:
         """Raw records after a cursor (instant, product id), in its order."""
 
+    def parser_names(self) -> list[str]:
+        """The parsers that have records."""
+
 
 class Catalog(Protocol):
     def cursor(self, parser: str) -> tuple | None: ...
@@ -45,9 +48,12 @@ class TableReceiver:
     def fetch_batch(self, limit: int, parser_name: str | None = None, after: tuple | None = None) -> DataFrame:
         return receiver.records(self.tables, limit, parser_name, after)
 
+    def parser_names(self) -> list[str]:
+        return receiver.parser_names(self.tables)
+
 
 def open_catalog(spark: SparkSession, where: str) -> Catalog:
-    """The store at a path of any file system that Spark reads. Databases are sources only."""
+    """The store at a path of any file system that Spark reads. Databases are receivers, or get copies (sinks.database)."""
     if is_mysql_dsn(where):
         raise ValueError("the catalog is a folder of Parquet runs; a MySQL address can only be a receiver")
     return Store(spark, where)

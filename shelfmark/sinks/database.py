@@ -1,11 +1,12 @@
 """Tables into databases in two phases: tasks stage their rows, one transaction publishes them.
 
 SQLite (format "shelfmark_sqlite_sink"): every task writes a file of its own beside the database, in a folder that all
-executors share. commit() copies them row by row and upserts by keys in one transaction, which also notes the batch; abort()
-drops the files. A batch that is noted already changes nothing, so a job that runs again is harmless. A SQLite file has one
+executors share. commit() deletes the rows with the batch's keys and copies the files row by row, in one transaction, which
+also notes the batch; abort() drops the files. A batch that is noted already changes nothing, so a job that runs again is harmless. A SQLite file has one
 writer, so its size bounds what it is for. JDBC: executors write a staging table; then one transaction in the database
 replaces the rows with equal keys, and no row passes through the driver.
-Equal keys within a batch are the caller's error: SQLite keeps one of them, JDBC raises if the table has a key.
+As in the store, a key may have several rows: those of the batch all stay, older ones all go. Null keys equal each other in
+SQLite; over JDBC rows with null keys replace nothing.
 """
 
 from __future__ import annotations
@@ -51,8 +52,13 @@ class SqliteWriter(DataSourceWriter):
 
     def _create(self, name: str) -> str:
         columns = ", ".join(f'"{f.name}" {TYPES.get(f.dataType.simpleString(), "TEXT")}' for f in self.schema)
-        keys = f", PRIMARY KEY ({', '.join(f'"{k}"' for k in self.keys)})" if self.keys and name != "staged" else ""
-        return f'CREATE TABLE IF NOT EXISTS "{name}" ({columns}{keys})'
+        return f'CREATE TABLE IF NOT EXISTS "{name}" ({columns})'
+
+    @staticmethod
+    def _parts(paths: list[str]) -> Iterator[sqlite3.Connection]:
+        for path in paths:
+            with closing(sqlite3.connect(f"file:{path}?mode=ro", uri=True)) as part:
+                yield part
 
     def write(self, iterator: Iterator[Row]) -> Staged:
         os.makedirs(self.folder, exist_ok=True)
@@ -82,9 +88,14 @@ class SqliteWriter(DataSourceWriter):
                 done = self.batch and db.execute("SELECT 1 FROM _batches WHERE target = ? AND batch = ?", (self.table, self.batch)).fetchone()
                 if not done:
                     db.execute(self._create(self.table))
-                    for path in staged:
-                        with closing(sqlite3.connect(f"file:{path}?mode=ro", uri=True)) as part:
-                            db.executemany(f'INSERT OR REPLACE INTO "{self.table}" ({names}) VALUES ({", ".join("?" * len(self.schema))})', part.execute(f"SELECT {names} FROM staged"))
+                    if self.keys:
+                        keys = ", ".join(f'"{k}"' for k in self.keys)
+                        db.execute(f'CREATE INDEX IF NOT EXISTS "{self.table}_keys" ON "{self.table}" ({keys})')
+                        same = " AND ".join(f'"{k}" IS ?' for k in self.keys)
+                        for part in self._parts(staged):
+                            db.executemany(f'DELETE FROM "{self.table}" WHERE {same}', part.execute(f"SELECT DISTINCT {keys} FROM staged"))
+                    for part in self._parts(staged):
+                        db.executemany(f'INSERT INTO "{self.table}" ({names}) VALUES ({", ".join("?" * len(self.schema))})', part.execute(f"SELECT {names} FROM staged"))
                     if self.batch:
                         db.execute("INSERT INTO _batches VALUES (?, ?)", (self.table, self.batch))
                 db.execute("COMMIT")

@@ -6,7 +6,9 @@ import argparse
 import json
 
 from shelfmark.functions.values import safe_reference
+from shelfmark.operators.store import Store
 from shelfmark.session import session
+from shelfmark.sinks.database import mirror
 from shelfmark.streaming.sync import SyncJob, run
 
 
@@ -22,8 +24,12 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def main() -> None:
-    a = arguments().parse_args()
-    out = run(session(), SyncJob(a.receiver, a.catalog, a.parser_name, a.batch_size, a.max_batches, a.backfill), lambda e: print(json.dumps(e, default=str), flush=True))
+    p = arguments()
+    p.add_argument("--mirror", help="a SQLite file that gets the catalogue's tables afterwards")
+    a, spark = p.parse_args(), session()
+    out = run(spark, SyncJob(a.receiver, a.catalog, a.parser_name, a.batch_size, a.max_batches, a.backfill), lambda e: print(json.dumps(e, default=str), flush=True))
+    if a.mirror:
+        out["mirrored"] = mirror(Store(spark, a.catalog), a.mirror)
     print(json.dumps({"receiver": safe_reference(a.receiver), **out}))
 
 

@@ -168,3 +168,20 @@ def test_catalogs_of_another_layout_are_refused(spark, tmp_path):
     store.commit({"images": (spark.range(1).selectExpr("'f' AS fingerprint", "id AS canonical_url"), ["fingerprint"]), "own": (spark.range(1), [])}, store.manifest())
     with pytest.raises(ValueError, match="images.n_uses is missing; images.canonical_url is bigint, not string"):
         sync.check_catalog(store)
+
+
+def test_run_takes_any_receiver(spark, tmp_path):
+    receiver_file(str(tmp_path / "r.sqlite"), 2)
+    raw = receiver.records(receiver.tables(spark, str(tmp_path / "r.sqlite")), 100)
+
+    class Own:
+        def fetch_batch(self, limit, parser_name=None, after=None):
+            return raw if after is None else raw.limit(0)
+
+        def parser_names(self):
+            return ["fixprice"]
+
+    assert sync.run(spark, sync.SyncJob("", f"file://{tmp_path}/cat"), source=Own()) == {"batches": 1, "records": 2}
+    assert database.mirror(Store(spark, f"file://{tmp_path}/cat"), str(tmp_path / "m.db"), ["projection", "links"]) == {"projection": 2, "links": 4}
+    db = sqlite3.connect(tmp_path / "m.db")
+    assert db.execute("SELECT count(*), max(price) FROM projection").fetchone() == (2, "199.9000") and db.execute("SELECT count(*) FROM links").fetchone() == (4,)
