@@ -46,6 +46,7 @@ def receiver_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         return df.select(*[F.expr(made.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in struct(name)])
 
     child = {"id": "l_partkey", "product_id": "l_orderkey", "sort_order": "l_linenumber"}
+    place = "(l_linenumber * 1000000L + l_partkey)"  # the SQL's order of images, which isn't that of lines once parts pass a million
     two = c.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(2))))
     return {
         "run_artifacts": shaped("run_artifacts", c, {"id": "c_custkey", "run_id": "'run-' || c_custkey", "parser_name": "CASE c_custkey % 3 WHEN 0 THEN ' FixPrice' WHEN 1 THEN 'chizhik' END", "ingested_at": "'2024-01-' || lpad(cast(1 + c_custkey % 28 AS string), 2, '0') || 'T10:00:00Z'", "latitude": "c_acctbal"}),
@@ -55,7 +56,7 @@ def receiver_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         }),
         "run_artifact_categories": shaped("run_artifact_categories", two, {"id": "c_custkey * 2 + k", "artifact_id": "c_custkey", "uid": "'c' || k", "title": "'Group ' || (c_custkey % 2) || k"}),
         "run_artifact_administrative_units": shaped("run_artifact_administrative_units", two, {"id": "c_custkey * 2 + k", "artifact_id": "c_custkey", "country": "'Land'", "region": "c_mktsegment", "name": "c_name || k"}),
-        "run_artifact_product_images": shaped("run_artifact_product_images", li.where("l_linenumber <> 5"), child | {"url": "CASE WHEN l_linenumber = 3 THEN ' ' ELSE 'http://h/images/' || l_partkey || '.webp' END"}),
+        "run_artifact_product_images": shaped("run_artifact_product_images", li.where("l_linenumber <> 5"), child | {"id": place, "sort_order": f"{place} DIV 1000000", "url": "CASE WHEN l_linenumber = 3 THEN ' ' ELSE 'http://h/images/' || l_partkey || '.webp' END"}),
         "run_artifact_product_meta": shaped("run_artifact_product_meta", li, child | {"name": "'flag'", "value_text": "l_returnflag || l_partkey"}),
         "run_artifact_product_wholesale_prices": shaped("run_artifact_product_wholesale_prices", li.where("l_linenumber < 3"), child | {"from_items": "l_partkey * 1D", "price": "l_extendedprice"}),
         "run_artifact_product_categories": shaped("run_artifact_product_categories", o.where("o_orderkey % 11 = 0"), {"id": "o_orderkey", "product_id": "o_orderkey", "category_uid": "'c1'", "sort_order": "0"}),

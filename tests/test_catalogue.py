@@ -39,6 +39,17 @@ def test_query_equals_sql(spark, con, name):
     assert rows(got) == rows(want)
 
 
+def test_images_of_parts_beyond_a_million_are_in_the_order_of_the_sql(spark, tmp_path):
+    c = duckdb.connect()
+    for t in ("customer", "orders"):
+        c.execute(f"COPY (SELECT * FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    c.execute(f"COPY (SELECT * REPLACE (l_partkey + CASE WHEN l_linenumber < 3 THEN 3500000 ELSE 0 END AS l_partkey) FROM '{SF}/lineitem.parquet') TO '{tmp_path}/lineitem.parquet'")
+    for t in ("customer", "orders", "lineitem"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = {r.source_id: r.images for r in catalogue.receiver_records(spark, str(tmp_path)).collect()}
+    assert got == {r[1]: r[8] for r in c.execute(catalogue.SQL["receiver_records"]).fetchall()}
+
+
 def test_identity_fold_equals_loop(spark):
     rows = [("p", k, a, b, f"r{k}", n) for k, (a, b, n) in enumerate([("1", "a", "x"), ("2", "b", "y"), ("1", "b", "z"), (None, " ", "x"), ("2", None, "z"), (None, None, None)])]
     d = spark.createDataFrame(rows, "parser_name string, seq int, plu string, sku string, source_id string, normalized_name string")
