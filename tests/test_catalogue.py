@@ -101,6 +101,28 @@ def test_key_map_spills(monkeypatch):
     held.close()
 
 
+def test_components_write_less_each_round(spark, monkeypatch):
+    rng = random.Random(7)
+    edges = [(a, b) for a, b in ((rng.randrange(400), rng.randrange(400)) for _ in range(300))]
+    rows = [(k, None, None, f"only-{k}", None) for k in range(400)] + [(x, f"e{k}", None, None, None) for k, e in enumerate(edges) for x in e]
+    d = spark.createDataFrame(rows, "row int, plu string, sku string, source_id string, normalized_name string")
+    sizes, cut = [], identity.cut
+
+    def counted(df):
+        out = cut(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(identity, "cut", counted)
+    got = {r.row: r.canonical for r in identity.components(d, "row").collect()}
+    want = list(range(400))
+    while (now := [min([want[k], *(want[a if b == k else b] for a, b in edges if k in (a, b))]) for k in range(400)]) != want:
+        want = now
+    assert got == dict(enumerate(want))
+    assert sum(s == 400 for s in sizes) == 1  # all rows once, at the end; before, in every round
+    assert sizes[-2] < sizes[0] / 10
+
+
 def test_components_chain(spark):
     rows = [(k, f"p{k // 2}", f"s{(k + 1) // 2}", None, None) for k in range(40)] + [(99, None, " ", None, None)]
     got = {r.i: r.canonical for r in identity.components(spark.createDataFrame(rows, "i int, plu string, sku string, source_id string, normalized_name string"), "i").collect()}
