@@ -498,7 +498,7 @@ f AS (SELECT p_brand, 0::BIGINT AS n, 0::BIGINT AS p_partkey, 0::BIGINT AS choic
 SELECT p_partkey, p_brand AS parser_name, choice AS first_partkey FROM f WHERE n > 0""")
 def identity_fold(spark, d):
     """The exact fold in order of arrival: for every record the first one that has its canonical id."""
-    out = identity_resolve(spark, d)
+    out = identity.cut(identity_resolve(spark, d))  # the fold runs once for both sides of the join
     first = out.groupBy(F.col("parser_name").alias("n"), F.col("canonical_product_id").alias("c")).agg(F.min("p_partkey").alias("first_partkey"))
     return out.join(first, (F.col("parser_name") == F.col("n")) & (F.col("canonical_product_id") == F.col("c"))).select("p_partkey", "parser_name", "first_partkey")
 
