@@ -17,7 +17,9 @@ min(i, t - i) at most: about t * t / 2 keys a line. Keys are hashes made where t
 shuffled; a line is its class's first 64 bits in them. A segment that more than HOT lines share isn't joined. Its lines
 are compared with the earliest of them, which settles those that are similar to it. Then they are joined by grams: lines
 within t edits differ in GRAM * t of their substrings of GRAM characters at most, so the GRAM * t + 1 rarest of a line
-(its prefix) hold one that the other line's prefix has too, at most t characters away. Lines that differ in whole words
+(its prefix) hold one that the other line's prefix has too, at most t characters away. Any order of all grams will do for
+that, so rare is what a table of SKETCH counts says, in which grams of equal last bits share a count: tasks count their
+own lines' grams, and each line is ranked where it is read. Lines that differ in whole words
 have rare grams there, however many segments they share. A pair whose letter counts differ by more than t edits can
 explain doesn't leave that join. Where more than HOT lines share a gram, the earliest settles those similar to it once more. Pairs of
 which neither is open aren't made. The texts of candidates alone are read again, and each pair is verified with a banded
@@ -50,6 +52,8 @@ MIN_CHARS = 30
 LAST_BAND = 4096
 #: Lines that may share a segment before they are joined by grams, the length of these, and classes of characters that are counted.
 HOT, GRAM, LETTERS = 32, 4, 32
+#: Counts that order the grams (4 bytes each, sent to every task).
+SKETCH = 1 << 18
 #: Shared segments, and documents with candidate lines up to which they are broadcast (8 and 16 bytes each); beyond, a shuffle join does it.
 MAX_BROADCAST_DOCS = 500_000
 #: Line numbers to stay that may be broadcast with their documents' keys (4 bytes each); beyond, texts are joined by a shuffle.
@@ -189,11 +193,41 @@ def prefixes(lines: DataFrame, threshold: int | None) -> DataFrame:
         return [[line_grams(x) for x in texts], [len(x) for x in texts], [GRAM * edits_of(len(x), threshold) + 1 for x in texts], [letter_counts(x) for x in texts]]
 
     grams = stored(added(lines.select("h1", "place", "line"), ["line"], "grams array<bigint>, n int, most int, bag array<smallint>", run), "hot-grams")
-    each = grams.select("h1", F.posexplode("grams").alias("pos", "k"))
-    often = each.groupBy(F.col("k").alias("g")).agg(F.count(F.lit(1)).alias("often"))
-    ranked = each.join(often, each["k"] == often["g"]).groupBy(F.col("h1").alias("l1")).agg(F.sort_array(F.collect_list(F.struct("often", "k", "pos"))).alias("r"))
-    out = grams.select("h1", "place", "n", "most", "bag").join(ranked, F.col("h1") == F.col("l1")).withColumn("z", F.expr("element_at(r, least(most, size(r)))"))
-    return out.select(F.explode(F.expr("filter(r, x -> x.often < z.often OR x.often = z.often AND x.k <= z.k)")).alias("x"), "h1", "place", "n", "bag").select("x.k", "x.pos", "h1", "place", "n", "bag")
+    counts = gram_counts(grams)
+
+    def rarest(grams_: list[list[int]], most: list[int]) -> list[list]:
+        return [[rare_grams(g, m, counts) for g, m in zip(grams_, most, strict=True)]]
+
+    ranked = added(grams, ["grams", "most"], "rare array<struct<k:bigint,pos:int>>", rarest)
+    return ranked.select(F.explode("rare").alias("x"), "h1", "place", "n", "bag").select("x.k", "x.pos", "h1", "place", "n", "bag")
+
+
+def gram_counts(grams: DataFrame) -> np.ndarray:
+    """How often the grams of each slot of the sketch occur. A task counts its own, and the driver gets SKETCH sums at most."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(SKETCH, np.int64)
+        for f in frames:
+            for g in f["grams"]:
+                np.add.at(own, np.asarray(g, np.int64) & (SKETCH - 1), 1)
+        slots = np.flatnonzero(own)
+        yield pd.DataFrame({"slot": slots.astype(np.int32), "n": own[slots]})
+
+    sums = mapped(grams.select("grams"), run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(SKETCH, np.int32)
+    out[sums["slot"].to_numpy(np.int64)] = np.minimum(sums["n"].to_numpy(np.int64), 2**31 - 1)
+    return out
+
+
+def rare_grams(grams: list[int], most: int, counts: np.ndarray) -> list[dict]:
+    """k and pos of the `most` grams that come first in the order of (count, gram), and of all other places of the last of them."""
+    if not grams:
+        return []
+    g = np.array(grams, np.int64)
+    c = counts[g & (len(counts) - 1)]
+    z = np.lexsort((g, c))[min(most, len(g)) - 1]
+    at_ = np.flatnonzero((c < c[z]) | ((c == c[z]) & (g <= g[z])))
+    return [{"k": int(g[k]), "pos": int(k)} for k in at_]
 
 
 def candidates(classes: DataFrame, docs: DataFrame, threshold: int | None, min_chars: int | None) -> tuple[DataFrame, DataFrame | None]:

@@ -618,6 +618,28 @@ def test_line_dedup_scales_with_length(spark, monkeypatch, hot):
     assert [got[d] != "" for d in range(len(lines))] == want and 20 < sum(want) < 100
 
 
+@pytest.mark.parametrize("slots", [4, 1 << 18])
+def test_line_dedup_ranks_grams_in_the_tasks(spark, monkeypatch, slots):
+    monkeypatch.setattr(line_dedup, "HOT", 2)
+    monkeypatch.setattr(line_dedup, "SKETCH", slots)
+    rng = random.Random(3)
+    base = "the quick brown fox jumps over the lazy dog by the river bank at noon"
+    texts = [base[: (k := rng.randrange(len(base)))] + rng.choice("xyz") + base[k + 1 :] for _ in range(40)] + [f"the quick brown fox jumps over the {w} by the river bank at noon" for w in ("sleeping cat", "old grey wall", "sleepinq cat")]
+    lines = spark.createDataFrame([(k, k, (k, 0, 0), x) for k, x in enumerate(texts)], "h1 long, h2 long, place struct<doc_id:long,mark:long,line_no:int>, line string")
+    out = line_dedup.prefixes(lines, 2)
+    plan = out._jdf.queryExecution().toString()
+    assert "Join" not in plan and "explode(grams" not in plan  # a row for each prefix gram, not for each character
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.h1, set()).add((r.k, r.pos))
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if line_dedup.within(texts[a], texts[b], 2)]
+    assert near and all({k for k, _ in got[a]} & {k for k, _ in got[b]} for a, b in near)
+    assert all(9 <= len(x) < len(base) // 2 for x in got.values())
+    first = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = {k for k, x in enumerate(texts) if not any(line_dedup.within(x, y, 2) for y in texts[:k])}
+    assert {r.doc_id for r in first if r.text} == want
+
+
 def test_line_dedup_drops_short_copies(spark):
     docs = [(1, "All rights reserved.\n1.\n---\nÜ"), (2, " All rights reserved.\n1.\n---\nAll rights reserves."), (3, "Ü\n\n\nAll rights reserved."), (4, None)]
     got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
