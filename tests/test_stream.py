@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import sqlite3
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import history
+from shelfmark.operators import history, identity
 from shelfmark.operators.store import Store
+from shelfmark.plans import catalogue
 from shelfmark.sinks import database
 from shelfmark.sources import receiver
 from shelfmark.sources.receiver_stream import ReceiverStreamReader, arrivals
@@ -185,3 +187,24 @@ def test_run_takes_any_receiver(spark, tmp_path):
     assert database.mirror(Store(spark, f"file://{tmp_path}/cat"), str(tmp_path / "m.db"), ["projection", "links"]) == {"projection": 2, "links": 4}
     db = sqlite3.connect(tmp_path / "m.db")
     assert db.execute("SELECT count(*), max(price) FROM projection").fetchone() == (2, "199.9000") and db.execute("SELECT count(*) FROM links").fetchone() == (4,)
+
+
+def test_stream_projection_goes_by_batches_and_leaves_the_catalogue_only(spark, monkeypatch):
+    batches, apply = [], sync.apply_chunk
+    monkeypatch.setattr(catalogue, "BATCH_BYTES", 1)
+    monkeypatch.setattr(catalogue, "FILE_RECORDS", 600)
+    monkeypatch.setattr(sync, "apply_chunk", lambda *a, **k: batches.append(k["batch"]) or apply(*a, **k))
+    shared = identity.shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(shared))
+    d = "/root/testdata/sf0.001"
+    out = catalogue.stream_projection(spark, d)
+    c = duckdb.connect()
+    for t in ("customer", "orders"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(c.execute(catalogue.SQL["stream_projection"]).fetchall(), key=str)
+    assert len(batches) > 1
+    new = set(os.listdir(shared)) - before
+    assert [x.split("-")[0] for x in new] == ["stream"]
+    at = f"{shared}/{new.pop()}"
+    assert not os.path.exists(f"{at}/raw")
+    assert len(os.listdir(f"{at}/catalog/_manifest")) <= 2  # the last one and its checksum
