@@ -50,6 +50,15 @@ def test_images_of_parts_beyond_a_million_are_in_the_order_of_the_sql(spark, tmp
     assert got == {r[1]: r[8] for r in c.execute(catalogue.SQL["receiver_records"]).fetchall()}
 
 
+def test_records_of_repeated_product_ids_keep_their_own_categories(spark, tmp_path):
+    c = duckdb.connect()
+    for t, made in (("customer", "*"), ("orders", "* REPLACE (o_orderkey // 2 AS o_orderkey)"), ("lineitem", "*")):
+        c.execute(f"COPY (SELECT {made} FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = catalogue.receiver_records(spark, str(tmp_path)).select("source_id", "category", "uids").collect()
+    assert sorted(map(tuple, got)) == sorted(c.execute(f"SELECT source_id, category, uids FROM ({catalogue.SQL['receiver_records']})").fetchall())
+
+
 def test_identity_fold_equals_loop(spark):
     rows = [("p", k, a, b, f"r{k}", n) for k, (a, b, n) in enumerate([("1", "a", "x"), ("2", "b", "y"), ("1", "b", "z"), (None, " ", "x"), ("2", None, "z"), (None, None, None)])]
     d = spark.createDataFrame(rows, "parser_name string, seq int, plu string, sku string, source_id string, normalized_name string")
