@@ -94,3 +94,14 @@ def test_tokens_equal_state_machine(spark):
     wrong = [(r.t, r.c, r.got, machine(r.c)) for r in rows if r.got != machine(r.c)]
     assert not wrong, wrong[:5]
     assert len(rows) > 450
+
+
+def test_a_text_is_evaluated_once_and_cleaned_again_where_it_changes(spark):
+    rows = ['Чай "a"б в Ассортименте', 'Mo"локо 3,2% и сыр', "Item 12  x", "в ассортименте", "  Ёж ×　", "", None, "wа м\u0085и"]
+    d = spark.createDataFrame([(r,) for r in rows], "title string")
+    twice = text.tokens(F.regexp_replace(text.clean_text(F.col("title")), text.ASSORTMENT, " "))
+    want = F.array_join(F.filter(twice, lambda t: ~t.isin(text.STOP_WORDS)), " ")
+    out = d.select(text.remove_stopwords(F.col("title")).alias("got"), want.alias("want"), text.trim_ws(F.col("title")).alias("trimmed"), F.regexp_replace("title", r"(?U)^\s+|\s+$", "").alias("by_pattern"))
+    assert all(r.got == r.want and r.trimmed == r.by_pattern for r in out.collect())
+    plan = d.select(text.remove_stopwords(F.col("title")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.split("\n")[0].count("title#") == 1
